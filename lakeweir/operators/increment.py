@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakeweir.sources.scratch import written
 
 _AT, _PART, _POS, _BEFORE, _ROWS = "__at", "__part", "__pos", "__before", "__rows"
+_NO_STOP = 2**63 - 1
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
 
@@ -85,8 +86,7 @@ def before_stop(
     df: DataFrame, stop: DataFrame, page: str = "page", max_pages: int | None = None
 ) -> DataFrame:
     """Rows of the pages before the stop page, within the page bound if there is one."""
-    limit = stop.scalar()
-    kept = df.where(limit.isNull() | (F.col(page) < limit))
+    kept = df.where(F.col(page) < F.coalesce(stop.scalar(), F.lit(_NO_STOP)))
     return kept if max_pages is None else kept.where(F.col(page) <= max_pages)
 
 

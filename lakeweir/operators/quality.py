@@ -16,6 +16,7 @@ from lakeweir.schemas import record
 ERROR, WARNING = "error", "warning"
 SUCCESS, FAILURE = "success", "failure"
 UNIQUE, COMPLETE, DATA_TYPE = "unique", "complete", "data_type"
+UNKNOWN = "Unknown"
 
 REPORT = record(
     check="string",
@@ -137,10 +138,16 @@ def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def uniqueness(df: DataFrame, column: str) -> DataFrame:
-    """One row: share of the non-NULL rows whose value occurs exactly once."""
+def uniqueness(df: DataFrame, column: str, by_digest: bool = False) -> DataFrame:
+    """One row: share of the non-NULL rows whose value occurs exactly once.
+
+    ``by_digest`` shuffles SHA-256 digests in place of the values, for long texts.
+    """
+    value = F.unhex(F.sha2(column, 256)) if by_digest else F.col(column)
     occurrences = (
-        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        df.where(F.col(column).isNotNull())
+        .groupBy(value.alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     return occurrences.agg(
         F.try_divide(
@@ -150,21 +157,32 @@ def uniqueness(df: DataFrame, column: str) -> DataFrame:
 
 
 def data_type_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per column and value class (``Unknown`` for NULL), from one pass."""
-    pairs = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.coalesce(value_class(F.col(c), df.schema[c].dataType), F.lit("Unknown")).alias(
-                "value_class"
-            ),
-        )
-        for c in columns
-    ]
-    return (
-        df.select(F.inline(F.array(*pairs)))
-        .groupBy("column", "value_class")
-        .agg(F.count(F.lit(1)).alias("n_values"))
+    """Rows per column and value class (``Unknown`` for NULL), from one pass.
+
+    Every class of every column is a counter of one aggregate; no row is multiplied.
+    """
+    classes = {
+        f"k{i}": F.coalesce(value_class(F.col(c), df.schema[c].dataType), F.lit(UNKNOWN))
+        for i, c in enumerate(columns)
+    }
+    counters = [(i, cls) for i in range(len(columns)) for cls in (*VALUE_CLASSES, UNKNOWN)]
+    wide = df.select(*[expr.alias(name) for name, expr in classes.items()]).agg(
+        *[F.count_if(F.col(f"k{i}") == cls).alias(f"n{i}{cls}") for i, cls in counters]
     )
+    return wide.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(columns[i]).alias("column"),
+                        F.lit(cls).alias("value_class"),
+                        F.col(f"n{i}{cls}").alias("n_values"),
+                    )
+                    for i, cls in counters
+                ]
+            )
+        )
+    ).where(F.col("n_values") > 0)
 
 
 # -- suite -----------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DUPLICATE_MARK = "DUPLICATE_SOURCE_KEY"
@@ -20,34 +20,37 @@ def _all_set(keys: Sequence[str]):
     return condition
 
 
-def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left outer join to a relation that is unique on ``keys`` and has no NULL key.
+def _spread(columns: Sequence[str], ways) -> Column:
+    return F.pmod(F.xxhash64(*columns), ways).cast("int")
 
-    Left rows with a NULL key cannot match. They get a second join column from their
-    content, so that a shuffle spreads them instead of sending them all to one task.
+
+def match_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], measure: Column
+) -> DataFrame:
+    """``left`` with ``measure`` aggregated over the ``right`` rows of the same key.
+
+    Left rows with a NULL key cannot match, but a shuffle on the key alone would send them
+    all to one task. The join therefore also compares a spread number: 0 for a complete
+    key, a number drawn from the row content otherwise. The right side computes its 0 from
+    the key, since a constant would be optimised out of the join keys, and is grouped by
+    it, so that one shuffle serves both the grouping and the join.
     """
+    grouped = right.where(_all_set(keys))
     if not any(left.schema[key].nullable for key in keys):
-        return left.join(right, list(keys), "left")
-    spread = F.when(_all_set(keys), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*left.columns), F.lit(_SPREAD_WAYS)).cast("int")
-    )
+        return left.join(grouped.groupBy(*keys).agg(measure), list(keys), "left")
+    ways = F.when(_all_set(keys), F.lit(1)).otherwise(F.lit(_SPREAD_WAYS))
+    matches = grouped.groupBy(*keys, _spread(keys, F.lit(1)).alias(_SPREAD)).agg(measure)
     return (
-        left.withColumn(_SPREAD, spread)
-        .join(right.withColumn(_SPREAD, F.lit(0)), [*keys, _SPREAD], "left")
+        left.withColumn(_SPREAD, _spread(left.columns, ways))
+        .join(matches, [*keys, _SPREAD], "left")
         .drop(_SPREAD)
     )
 
 
-def key_hits(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per non-NULL source key with the number of rows that carry it."""
-    return (
-        source.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_HITS))
-    )
-
-
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source keys carried by more than one row."""
-    return key_hits(source, keys).where(F.col(_HITS) > 1).select(*keys)
+    hits = source.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_HITS))
+    return hits.where(F.col(_HITS) > 1).select(*keys)
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,7 +74,7 @@ def merge_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         ).cast("boolean"),
     ).otherwise(hits.isNull())
     kept = (
-        join_on_keys(target, key_hits(incoming, keys), keys)
+        match_keys(target, incoming, keys, F.count(F.lit(1)).alias(_HITS))
         .where(untouched)
         .select(*target.columns)
     )

@@ -107,6 +107,8 @@ def check(spark: SparkSession, lake: Lake) -> DataFrame:
     table = lake.curated(spark)
     quality.require_schema(table.stored_schema(), lake.curated_schema)
     report = quality.fixed_report(quality.verify(table.read_snapshot(), lake.checks))
+    for row in report.toLocalIterator():
+        log.info("%s: %s(%s) %s %s", row.check, row.constraint, row.column, row.status, row.message)
     quality.gate(report)
     return report
 

@@ -22,7 +22,7 @@ from lakeweir.operators.upsert import (
     DUPLICATE_MARK,
     ambiguous_keys,
     duplicate_keys,
-    join_on_keys,
+    match_keys,
     merge_by_key,
 )
 from lakeweir.sources import storage
@@ -51,7 +51,7 @@ class Table:
     keys: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     max_upserts: int = 8
-    max_upsert_share: float = 0.25
+    max_upsert_share: float = 0.1
 
     # -- commits -----------------------------------------------------------------------
 
@@ -64,21 +64,24 @@ class Table:
                 found.append(Commit(int(match[1]), match[2], match[3], path))
         return sorted(found, key=lambda commit: commit.version)
 
-    def commits(self) -> list[Commit]:
-        """Finished commits, oldest first."""
-        return [c for c in self._folders() if storage.exists(self.spark, f"{c.path}/_SUCCESS")]
+    def _finished(self, commit: Commit) -> bool:
+        return storage.exists(self.spark, f"{commit.path}/_SUCCESS")
 
     def live(self) -> list[Commit]:
-        """The newest base and the upserts after it."""
-        commits = self.commits()
-        bases = [c.version for c in commits if c.kind == BASE]
-        return [c for c in commits if c.version >= bases[-1]] if bases else []
+        """The newest finished base and the finished upserts after it, oldest first."""
+        found = []
+        for commit in reversed(self._folders()):
+            if self._finished(commit):
+                found.insert(0, commit)
+                if commit.kind == BASE:
+                    return found
+        return []
 
     def exists(self) -> bool:
         return bool(self.live())
 
     def has_token(self, token: str) -> bool:
-        return any(commit.token == token for commit in self.commits())
+        return any(c.token == token and self._finished(c) for c in self._folders())
 
     # -- reading -----------------------------------------------------------------------
 
@@ -113,12 +116,13 @@ class Table:
         for commit in upserts:
             part = self._scan(commit).withColumn(_VERSION, F.lit(commit.version))
             changed = part if changed is None else changed.unionByName(part)
-        newest = (
-            changed.dropna(subset=keys).groupBy(*keys).agg(F.max(_VERSION).alias(_NEWEST))
-        )
         rows = self._scan(base).withColumn(_VERSION, F.lit(base.version)).unionByName(changed)
         current = F.col(_NEWEST).isNull() | (F.col(_VERSION) >= F.col(_NEWEST))
-        return join_on_keys(rows, newest, keys).where(current).select(*self.schema.names)
+        return (
+            match_keys(rows, changed, keys, F.max(_VERSION).alias(_NEWEST))
+            .where(current)
+            .select(*self.schema.names)
+        )
 
     # -- writing -----------------------------------------------------------------------
 

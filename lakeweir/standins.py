@@ -176,7 +176,9 @@ def rollup_region(spark, sf_dir):
 
 
 def upsert_by_key(spark, sf_dir):
-    return merge_by_key(accounts(spark, sf_dir), changes(spark, sf_dir), ["id"])
+    # the source is read for its keys and for its rows, so it is evaluated once beforehand
+    source = written(changes(spark, sf_dir), "changes")
+    return merge_by_key(accounts(spark, sf_dir), source, ["id"])
 
 
 def cast_projection(spark, sf_dir):
@@ -271,7 +273,7 @@ def uniqueness(spark, sf_dir):
         quality.uniqueness(relation, "id")
         .unionByName(quality.uniqueness(relation, "country"))
         .unionByName(quality.uniqueness(relation, "postal_code"))
-        .unionByName(quality.uniqueness(texts, "text"))
+        .unionByName(quality.uniqueness(texts, "text", by_digest=True))
     )
 
 

@@ -1,0 +1,168 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeweir.errors import DuplicateSourceKey, SchemaConflict
+from lakeweir.plans.tables import Table, read_snapshot
+from lakeweir.schemas import record
+from lakeweir.sources.scratch import written
+
+SCHEMA = record(id="string", place="string", v="integer")
+
+
+def keyed(spark, root, **more):
+    return Table(spark, f"{root}/t", SCHEMA, ("id",), ("place",), **more)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_of(table):
+    return sorted(map(tuple, table.read_snapshot().collect()), key=repr)
+
+
+def test_init_is_empty_typed_and_repeatable(spark, root):
+    table = keyed(spark, root)
+    assert not table.exists()
+    table.init_table()
+    table.init_table()
+    assert table.exists() and len(table.live()) == 1
+    assert table.read_snapshot().schema == SCHEMA
+    assert rows_of(table) == []
+    assert table.stored_schema() == SCHEMA
+
+
+def test_reading_nothing_raises(spark, root):
+    with pytest.raises(FileNotFoundError):
+        keyed(spark, root).read_snapshot()
+
+
+@pytest.mark.parametrize("rewrite", [True, False])
+def test_upsert_cases(spark, root, rewrite):
+    table = keyed(spark, root)
+    table.upsert(frame(spark, [("a", "x", 1), ("b", "x", 1), (None, "x", 1)]))
+    source = frame(spark, [("a", "y", 2), ("c", "x", 2), (None, "x", 2)])
+    commit = table.upsert(source, rewrite=rewrite)
+    assert commit.kind == ("base" if rewrite else "upsert")
+    want = [("a", "y", 2), ("b", "x", 1), ("c", "x", 2), (None, "x", 1), (None, "x", 2)]
+    assert rows_of(table) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("rewrite", [True, False])
+def test_upsert_again_changes_nothing(spark, root, rewrite):
+    table = keyed(spark, root)
+    table.upsert(frame(spark, [("a", "x", 1), ("b", "x", 1)]))
+    source = frame(spark, [("b", "y", 2), ("c", "y", 2)])
+    table.upsert(source, rewrite=rewrite)
+    before = rows_of(table)
+    table.upsert(source, rewrite=rewrite)
+    assert rows_of(table) == before
+
+
+@pytest.mark.parametrize("rewrite", [True, False])
+def test_ambiguous_source_is_refused_and_table_stays(spark, root, rewrite):
+    table = keyed(spark, root)
+    table.upsert(frame(spark, [("a", "x", 1)]))
+    with pytest.raises(DuplicateSourceKey):
+        table.upsert(frame(spark, [("a", "x", 2), ("a", "x", 3)]), rewrite=rewrite)
+    assert rows_of(table) == [("a", "x", 1)]
+    table.upsert(frame(spark, [("n", "x", 2), ("n", "x", 3)]), rewrite=rewrite)
+    assert rows_of(table) == [("a", "x", 1), ("n", "x", 2), ("n", "x", 3)]
+
+
+def test_small_sources_append_until_they_pile_up(spark, root):
+    table = keyed(spark, root, max_upserts=2, max_upsert_share=0.9)
+    base = spark.range(5000).select(
+        F.col("id").cast("string"), F.lit("x").alias("place"), F.lit(1).alias("v")
+    )
+    table.upsert(written(base, "base"))
+    kinds = []
+    for step in range(4):
+        one = frame(spark, [(str(step), "y", 2)])
+        kinds.append(table.upsert(written(one, "one")).kind)
+    assert kinds == ["upsert", "upsert", "base", "upsert"]
+    assert table.read_snapshot().count() == 5000
+    assert table.read_snapshot().where("place = 'y'").count() == 4
+
+
+def test_compact(spark, root):
+    table = keyed(spark, root)
+    table.upsert(frame(spark, [("a", "x", 1)]))
+    table.upsert(frame(spark, [("a", "x", 2)]), rewrite=False)
+    before = rows_of(table)
+    assert table.compact().kind == "base"
+    assert table.compact() is None
+    assert rows_of(table) == before and len(table.live()) == 1
+
+
+def test_token_makes_a_replay_a_no_op(spark, root):
+    table = keyed(spark, root)
+    assert table.upsert(frame(spark, [(None, "x", 1)]), token="job-0")
+    assert table.upsert(frame(spark, [(None, "x", 1)]), token="job-0") is None
+    assert rows_of(table) == [(None, "x", 1)]
+
+
+def test_unfinished_commit_is_not_read(spark, root):
+    table = keyed(spark, root)
+    table.upsert(frame(spark, [("a", "x", 1)]))
+    broken = table.upsert(frame(spark, [("a", "x", 2)]), rewrite=True, token="late")
+    os.remove(f"{broken.path}/_SUCCESS")
+    assert rows_of(table) == [("a", "x", 1)]
+    assert not table.has_token("late")
+    table.upsert(frame(spark, [("a", "x", 3)]), rewrite=True, token="late")
+    assert rows_of(table) == [("a", "x", 3)]
+
+
+def test_partition_values_keep_their_text(spark, root):
+    table = keyed(spark, root)
+    table.write_snapshot(
+        frame(spark, [("a", "01", 1), ("b", "", 1), ("c", None, 1), ("d", "São Paulo/1", 1)])
+    )
+    assert rows_of(table) == [("a", "01", 1), ("b", None, 1), ("c", None, 1), ("d", "São Paulo/1", 1)]
+    assert table.stored_schema()["place"].dataType.simpleString() == "string"
+    again = read_snapshot(spark, f"{root}/t", SCHEMA, ["id"])
+    assert again.where("place = '01'").count() == 1
+
+
+def test_one_partition_value_is_split_over_files(spark, root):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    try:
+        table = keyed(spark, root)
+        hot = spark.range(40000).repartition(4).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("id"),
+            F.lit("hot").alias("place"),
+            F.col("id").cast("int").alias("v"),
+        )
+        commit = table.write_snapshot(hot)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(f"{commit.path}/place=hot") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert table.read_snapshot().count() == 40000
+
+
+def test_overwrite_replaces_even_with_nothing(spark, root):
+    mart = Table(spark, f"{root}/m")
+    one = spark.createDataFrame([("a", 1)], "k string, n int")
+    mart.overwrite(one)
+    mart.overwrite(one.where("n > 5"), skip_if_empty=True)
+    assert mart.read_snapshot().count() == 1
+    mart.overwrite(one.where("n > 5"))
+    assert mart.read_snapshot().count() == 0
+
+
+def test_overwrite_evolves_only_when_asked(spark, root):
+    mart = Table(spark, f"{root}/m")
+    mart.overwrite(spark.createDataFrame([("a", 1)], "k string, n int"))
+    wider = spark.createDataFrame([("b", "x")], "k string, more string")
+    with pytest.raises(SchemaConflict, match="more, n"):
+        mart.overwrite(wider)
+    mart.overwrite(wider, evolve=True)
+    assert mart.read_snapshot().columns == ["k", "n", "more"]
+    assert [tuple(r) for r in mart.read_snapshot().collect()] == [("b", None, "x")]
+    with pytest.raises(SchemaConflict, match="type: n"):
+        mart.overwrite(spark.createDataFrame([("b", "x")], "k string, n string"), evolve=True)
