@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeweir import schemas
+from lakeweir.errors import DuplicateSourceKey, NoRunFound, QualityGateError, SchemaCheckFailed
+from lakeweir.plans import flow
+from lakeweir.plans.flow import Lake
+from lakeweir.streaming.upsert import upsert_new_files
+
+NOW = "2024-05-06 07:08:09"
+RUNS = ["2024_01_01_00_00_00_000000", "2024_01_02_00_00_00_000000", "2024_01_03_00_00_00_000000"]
+
+
+def site(key, **more):
+    base = dict(
+        id=f"s-{key}", name=f"Site {key}", brewery_type="micro", city="Bergen", state="Vestland",
+        state_province="Vestland", country="Norway", postal_code="05003",
+        longitude="5.32", latitude=60.39, phone=None, website_url=None, street="x",
+        address_1="x", address_2=None, address_3=None,
+    )
+    return base | more
+
+
+def land(lake, run, *pages):
+    folder = f"{lake.raw_data}/{run}"
+    os.makedirs(folder, exist_ok=True)
+    for number, page in enumerate(pages):
+        with open(f"{folder}/{number}.json", "w", encoding="utf-8") as file:
+            file.write(page if isinstance(page, str) else json.dumps(page, indent=2))
+
+
+@pytest.fixture
+def lake(root):
+    return Lake(f"{root}/lake", raw_layout="pages")
+
+
+def mart_rows(frame):
+    return sorted(
+        (r["country"], r["state"], r["city"], r["brewery_type"], r["brewery_count"])
+        for r in frame.collect()
+    )
+
+
+def test_two_runs_end_to_end(spark, lake):
+    land(lake, RUNS[0], [site("a"), site("b")], [site("c", city="Oslo")], [])
+    first = flow.run(spark, lake, as_of=NOW)
+    assert first.columns == ["country", "state", "city", "brewery_type", "brewery_count", "update_at"]
+    assert mart_rows(first) == [
+        ("Norway", "Vestland", "Bergen", "micro", 2),
+        ("Norway", "Vestland", "Oslo", "micro", 1),
+    ]
+    land(lake, RUNS[1], [site("b", city="Oslo"), site("d", brewery_type="large")])
+    second = flow.run(spark, lake, as_of=NOW)
+    assert mart_rows(second) == [
+        ("Norway", "Vestland", "Bergen", "large", 1),
+        ("Norway", "Vestland", "Bergen", "micro", 1),
+        ("Norway", "Vestland", "Oslo", "micro", 2),
+    ]
+    again = flow.run(spark, lake, as_of=NOW)
+    assert mart_rows(again) == mart_rows(second)
+    silver = lake.curated(spark).read_snapshot()
+    assert silver.schema == schemas.CURATED and silver.count() == 4
+    row = silver.where("id = 's-a'").first()
+    assert (row["postal_code"], row["longitude"], str(row["ingestion_at"])) == ("05003", 5.32, NOW)
+
+
+def test_only_the_latest_run_is_curated(spark, lake):
+    land(lake, RUNS[0], [site("a")])
+    land(lake, RUNS[1], [site("b")])
+    land(lake, "not_a_run", [site("z")])
+    os.makedirs(lake.path("bronze", "_metadata"))
+    assert [r["id"] for r in flow.curate(spark, lake).collect()] == ["s-b"]
+    assert flow.curate(spark, lake, point_in_time=RUNS[0]).count() == 2
+
+
+def test_no_run(spark, lake):
+    with pytest.raises(NoRunFound):
+        flow.curate(spark, lake)
+
+
+def test_failed_gate_keeps_the_old_mart(spark, lake):
+    land(lake, RUNS[0], [site("a")])
+    before = mart_rows(flow.run(spark, lake))
+    land(lake, RUNS[1], [site("b", name=None)])
+    with pytest.raises(QualityGateError, match=r"complete\(name\)"):
+        flow.run(spark, lake)
+    assert mart_rows(lake.mart(spark).read_snapshot()) == before
+    assert lake.curated(spark).read_snapshot().count() == 2
+
+
+def test_null_key_is_inserted_and_refused_by_the_gate(spark, lake):
+    land(lake, RUNS[0], [site("a"), site("b", id=None)])
+    assert flow.curate(spark, lake).count() == 2
+    with pytest.raises(QualityGateError, match=r"complete\(id\)"):
+        flow.check(spark, lake)
+
+
+def test_duplicate_keys(spark, lake):
+    land(lake, RUNS[0], [site("a"), site("a", name="other")])
+    assert flow.curate(spark, lake).count() == 2
+    with pytest.raises(QualityGateError, match=r"unique\(id\)"):
+        flow.check(spark, lake)
+    with pytest.raises(DuplicateSourceKey):
+        flow.curate(spark, lake)
+
+
+def test_dedupe_is_opt_in(spark, root):
+    lake = Lake(f"{root}/lake", raw_layout="pages", dedupe_by=[F.desc("name")])
+    land(lake, RUNS[0], [site("a"), site("a", name="Zed")])
+    assert [r["name"] for r in flow.curate(spark, lake).collect()] == ["Zed"]
+
+
+def test_damaged_page_goes_to_quarantine(spark, lake):
+    land(lake, RUNS[0], [site("a")], '[{"id": "s-x", ')
+    assert [r["id"] for r in flow.curate(spark, lake).collect()] == ["s-a"]
+    assert spark.read.text(lake.path("quarantine", RUNS[0])).count() == 1
+
+
+def test_empty_run_makes_an_empty_typed_table(spark, lake):
+    land(lake, RUNS[0], [])
+    silver = flow.curate(spark, lake)
+    assert silver.schema == schemas.CURATED and silver.count() == 0
+
+
+def test_field_absent_from_a_whole_run(spark, lake):
+    record = site("a")
+    del record["phone"]
+    land(lake, RUNS[0], [record])
+    assert flow.curate(spark, lake).first()["phone"] is None
+
+
+def test_schema_check_looks_at_the_files(spark, lake):
+    land(lake, RUNS[0], [site("a")])
+    flow.curate(spark, lake)
+    table = lake.curated(spark)
+    other = table.read_snapshot().drop("phone").withColumn("longitude", F.col("longitude").cast("string"))
+    other.withColumn("more", F.lit(1)).write.parquet(f"{table.root}/version=00000009.base")
+    with pytest.raises(SchemaCheckFailed, match="longitude: type; phone: missing; more: extra"):
+        flow.check(spark, lake)
+
+
+def test_mart_gains_a_column_by_evolution(spark, lake):
+    land(lake, RUNS[0], [site("a")])
+    lake.mart(spark).overwrite(spark.createDataFrame([("old", 1)], "brewery_type string, extra int"))
+    mart = flow.run(spark, lake)
+    assert mart.columns[:2] == ["brewery_type", "extra"] and mart.count() == 1
+
+
+def test_emptied_table_empties_the_mart(spark, lake):
+    land(lake, RUNS[0], [site("a")])
+    flow.run(spark, lake)
+    nothing = lake.curated(spark).read_snapshot().where("id IS NULL")
+    assert flow.publish(spark, nothing, lake, skip_if_empty=True).count() == 1
+    assert flow.publish(spark, nothing, lake).count() == 0
+
+
+# -- stream ----------------------------------------------------------------------------
+
+
+def drain(spark, lake, **more):
+    upsert_new_files(spark, lake, lake.path("_checkpoint"), **more).awaitTermination()
+    return lake.curated(spark).read_snapshot()
+
+
+def test_stream_takes_every_file_once(spark, lake):
+    land(lake, RUNS[0], [site("a"), site("b")])
+    land(lake, RUNS[1], [site("b", name="new")], '[{"id"')
+    got = drain(spark, lake, max_files_per_batch=1)
+    assert {r["id"]: r["name"] for r in got.collect()} == {"s-a": "Site a", "s-b": "new"}
+    versions = len(lake.curated(spark)._folders())
+    assert drain(spark, lake).count() == 2
+    assert len(lake.curated(spark)._folders()) == versions
+    land(lake, RUNS[2], [site("c")])
+    assert drain(spark, lake).count() == 3
+    assert len(os.listdir(lake.path("quarantine"))) == 1
+
+
+def test_replayed_batch_adds_nothing(spark, lake):
+    land(lake, RUNS[0], [site("a"), site("b", id=None)])
+    assert drain(spark, lake).count() == 2
+    commits = lake.path("_checkpoint", "commits")
+    for name in os.listdir(commits):
+        if name.lstrip(".").startswith("0"):
+            os.remove(f"{commits}/{name}")
+    assert drain(spark, lake).count() == 2
