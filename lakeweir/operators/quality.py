@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,8 @@ from lakeweir.errors import QualityGateError, SchemaCheckFailed
 from lakeweir.functions.values import VALUE_CLASSES, declared_class, value_class
 from lakeweir.schemas import record
 
+log = logging.getLogger(__name__)
+
 ERROR, WARNING = "error", "warning"
 SUCCESS, FAILURE = "success", "failure"
 UNIQUE, COMPLETE, DATA_TYPE = "unique", "complete", "data_type"
@@ -262,14 +265,16 @@ def publish_if_passed(df: DataFrame, report: DataFrame) -> DataFrame:
     return df.where(~failures(report).exists())
 
 
-def fixed_report(report: DataFrame) -> DataFrame:
-    """The evaluated report. It has one row per constraint, whatever the data size."""
-    spark: SparkSession = report.sparkSession
-    return spark.createDataFrame(report.collect(), report.schema)
-
+def gate(report: DataFrame) -> DataFrame:
+    """Raise when an error-level constraint failed; warnings pass.
 
-def gate(report: DataFrame) -> None:
-    """Raise when an error-level constraint failed; warnings pass."""
-    failed = [row.asDict() for row in failures(report).collect()]
+    Evaluates the report once (one row per constraint, whatever the data size), logs it
+    and returns it as a relation that does not touch the data again.
+    """
+    rows = report.collect()
+    for row in rows:
+        log.info("%s: %s(%s) %s %s", row.check, row.constraint, row.column, row.status, row.message)
+    failed = [r.asDict() for r in rows if r.level == ERROR and r.status == FAILURE]
     if failed:
         raise QualityGateError(failed)
+    return report.sparkSession.createDataFrame(rows, REPORT)

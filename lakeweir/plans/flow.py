@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweir import schemas
@@ -69,12 +70,34 @@ def fetch(spark: SparkSession, lake: Lake, run: str | None = None) -> Ingested:
     )
 
 
-def prepare(raw: DataFrame, lake: Lake, as_of=None) -> DataFrame:
-    """Raw records as curated rows, before the upsert."""
-    rows = conform(raw, lake.curated_schema)
+def upsert_raw(
+    raw: DataFrame, lake: Lake, batch: str, as_of=None, token: str | None = None
+) -> None:
+    """Conform raw records and upsert them; damaged ones go to the quarantine folder.
+
+    The JSON text is parsed once, into a written copy; the steps after it read columns.
+    """
+    rows = conform(raw, T.StructType([*lake.curated_schema, raw.schema[schemas.CORRUPT]]))
     if lake.audit:
-        rows = stamp(rows, lake.audit, as_of).select(*lake.curated_schema.names)
-    return dedupe_latest(rows, lake.keys, lake.dedupe_by) if lake.dedupe_by else rows
+        rows = stamp(rows, lake.audit, as_of)
+    table = lake.curated(raw.sparkSession)
+    with staged(rows, "curated") as parsed:
+        good, damaged = split_corrupt(parsed)
+        seen = parsed.agg(
+            F.count(F.lit(1)).alias("all"), F.count(schemas.CORRUPT).alias("damaged")
+        ).first()
+        if seen["damaged"]:
+            target = lake.path("quarantine", batch)
+            damaged.write.mode("overwrite").json(target)
+            log.warning("%s damaged records of %s went to %s", seen["damaged"], batch, target)
+        if seen["all"] == seen["damaged"]:
+            log.info("no records in %s", batch)
+            table.init_table()
+        elif lake.dedupe_by:
+            with staged(dedupe_latest(good, lake.keys, lake.dedupe_by), "deduped") as latest:
+                table.upsert(latest, token)
+        else:
+            table.upsert(good, token)
 
 
 def curate(
@@ -84,33 +107,16 @@ def curate(
     run = latest_run(spark, lake.raw_data, lake.run_format, point_in_time)
     if run is None:
         raise NoRunFound(f"no run folder under {lake.raw_data}")
-    table = lake.curated(spark)
     raw = read_raw_json(spark, run, lake.raw_schema, lake.raw_layout)
-    # the JSON text is parsed once; what follows reads columns of the written copy
-    with staged(raw, "raw") as parsed:
-        good, damaged = split_corrupt(parsed)
-        if not damaged.isEmpty():
-            target = lake.path("quarantine", run.rsplit("/", 1)[-1])
-            damaged.write.mode("overwrite").json(target)
-            log.warning("damaged records of %s went to %s", run, target)
-        if good.isEmpty():
-            log.info("no records in %s", run)
-            table.init_table()
-        else:
-            with staged(prepare(good, lake, as_of), "curated") as rows:
-                table.upsert(rows)
-    return table.read_snapshot()
+    upsert_raw(raw, lake, run.rsplit("/", 1)[-1], as_of)
+    return lake.curated(spark).read_snapshot()
 
 
 def check(spark: SparkSession, lake: Lake) -> DataFrame:
     """Evaluated quality report; raises on a wrong schema or a failed error-level check."""
     table = lake.curated(spark)
     quality.require_schema(table.stored_schema(), lake.curated_schema)
-    report = quality.fixed_report(quality.verify(table.read_snapshot(), lake.checks))
-    for row in report.toLocalIterator():
-        log.info("%s: %s(%s) %s %s", row.check, row.constraint, row.column, row.status, row.message)
-    quality.gate(report)
-    return report
+    return quality.gate(quality.verify(table.read_snapshot(), lake.checks))
 
 
 def publish(

@@ -12,6 +12,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,15 +87,18 @@ class Table:
     # -- reading -----------------------------------------------------------------------
 
     def stored_schema(self) -> T.StructType:
-        """The schema found in the files; partition columns have their declared type."""
-        commits = self.live()
-        if not commits or self._scan(commits[-1]).isEmpty():
-            return self.schema
-        found = self.spark.read.parquet(commits[-1].path).schema
-        declared = {f.name: f for f in self.schema} if self.schema is not None else {}
-        return T.StructType(
-            [declared.get(f.name, f) if f.name in self.partition_by else f for f in found]
-        )
+        """The schema found in the files of the live commits: the first that is not the
+        declared one, if any. Partition columns have their declared type."""
+        declared = {field.name: field for field in self.schema}
+        for commit in self.live():
+            try:
+                found = self.spark.read.parquet(commit.path).schema
+            except AnalysisException:  # a partitioned commit without rows has no files
+                continue
+            fields = [declared.get(f.name, f) if f.name in self.partition_by else f for f in found]
+            if {f.name: f.dataType for f in fields} != {f.name: f.dataType for f in self.schema}:
+                return T.StructType(fields)
+        return self.schema
 
     def _scan(self, commit: Commit) -> DataFrame:
         reader = self.spark.read
@@ -233,8 +237,12 @@ def _fit(df: DataFrame, published: T.StructType, evolve: bool) -> DataFrame:
         raise SchemaConflict(f"columns change their type: {', '.join(changed)}")
     if old.keys() != new.keys() and not evolve:
         raise SchemaConflict(f"columns differ: {', '.join(sorted(old.keys() ^ new.keys()))}")
-    empty = df.sparkSession.createDataFrame([], published)
-    return empty.unionByName(df, allowMissingColumns=True)
+    return df.select(
+        *[
+            F.col(f"`{name}`") if name in new else F.lit(None).cast(old[name]).alias(name)
+            for name in [*old, *[name for name in new if name not in old]]
+        ]
+    )
 
 
 def read_snapshot(

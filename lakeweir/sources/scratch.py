@@ -26,9 +26,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _application_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/lakeweir/{spark.sparkContext.applicationId}"
+
+
 def new_area(spark: SparkSession, name: str) -> str:
-    """A fresh folder path below the checkpoint folder."""
-    return f"{checkpoint_root(spark)}/lakeweir/{name}-{uuid.uuid4().hex}"
+    """A fresh folder path for this application below the checkpoint folder."""
+    return f"{_application_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application wrote here, once no relation over it is needed."""
+    storage.remove(spark, _application_root(spark))
 
 
 def _write_and_read(df: DataFrame, path: str) -> DataFrame:

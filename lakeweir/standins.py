@@ -32,10 +32,42 @@ from lakeweir.sources.runs import latest_of, latest_run
 from lakeweir.sources.scratch import new_area, written
 from lakeweir.streaming.upsert import upsert_new_files
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
+# The columns in use, declared so that no job is spent on reading footers.
+TABLES = {
+    "region": record(r_regionkey="integer", r_name="string"),
+    "nation": record(n_nationkey="integer", n_name="string", n_regionkey="integer"),
+    "customer": record(
+        c_custkey="long",
+        c_name="string",
+        c_nationkey="integer",
+        c_acctbal="double",
+        c_mktsegment="string",
+    ),
+    "supplier": record(s_suppkey="long", s_nationkey="integer", s_acctbal="double"),
+    "part": record(p_partkey="long", p_type="string", p_size="integer", p_retailprice="double"),
+    "orders": record(
+        o_orderkey="long",
+        o_custkey="long",
+        o_orderstatus="string",
+        o_totalprice="double",
+        o_orderpriority="string",
+    ),
+    "lineitem": record(l_orderkey="long", l_returnflag="string", l_linestatus="string"),
+    "events": record(
+        event_id="long",
+        ts="timestamp_ntz",
+        user_id="long",
+        event_type="string",
+        value="double",
+        props="string",
+    ),
+    "documents": record(doc_id="long", text="string", lang="string", n_chars="long"),
+    "embeddings": record(vec_id="long"),
+    "pages": record(page_id="long"),
+    "benchmark": record(item_id="long"),
+    "labels": record(doc_id="long"),
+    "conversations": record(conv_id="long"),
+}
 POINT_IN_TIME = "2024_01_15_12_00_00_000000"
 
 
@@ -43,7 +75,7 @@ POINT_IN_TIME = "2024_01_15_12_00_00_000000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def padded(prefix: str, number: str, width: int = 12):

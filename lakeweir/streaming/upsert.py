@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lakeweir.plans.flow import Lake, prepare
+from lakeweir.plans.flow import Lake, upsert_raw
 from lakeweir.schemas import CORRUPT
-from lakeweir.sources.raw_json import split_corrupt
-from lakeweir.sources.scratch import staged
 
 
 def upsert_new_files(
@@ -35,14 +33,7 @@ def upsert_new_files(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         token = f"{name}-{batch_id}"
-        table = lake.curated(batch.sparkSession)
-        with staged(batch, "batch") as parsed:
-            good, damaged = split_corrupt(parsed)
-            if not damaged.isEmpty():
-                damaged.write.mode("overwrite").json(lake.path("quarantine", token))
-            if not good.isEmpty():
-                with staged(prepare(good, lake, as_of), "curated") as rows:
-                    table.upsert(rows, token=token)
+        upsert_raw(batch, lake, token, as_of, token)
 
     return (
         reader.json(f"{lake.raw_data}/*")

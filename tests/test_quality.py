@@ -115,7 +115,7 @@ def test_no_constraints(spark):
 def test_gate_stops_on_errors_only(spark):
     df = spark.createDataFrame([(None,)], "id string")
     quality.gate(quality.verify(df, [Check("w", quality.WARNING).is_complete("id")]))
-    report = quality.fixed_report(quality.verify(df, [Check("e").is_complete("id")]))
+    report = quality.verify(df, [Check("e").is_complete("id")])
     with pytest.raises(QualityGateError, match=r"complete\(id\)"):
         quality.gate(report)
     assert quality.publish_if_passed(df, report).count() == 0
