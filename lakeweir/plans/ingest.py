@@ -8,14 +8,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeweir.errors import PageFetchError
 from lakeweir.functions.runs import new_run_name
 from lakeweir.operators.increment import before_stop, new_watermark, newer_than, stop_page
-from lakeweir.schemas import CORRUPT, RAW, WATERMARK
+from lakeweir.schemas import WATERMARK
 from lakeweir.sources import storage
-from lakeweir.sources.paged_json import items, read_pages
+from lakeweir.sources.paged_json import read_pages, record_texts, text_field
 from lakeweir.sources.scratch import new_area
 
 log = logging.getLogger(__name__)
@@ -49,15 +48,10 @@ class PagedSource:
     """``url`` may hold ``{page}``, ``{per_page}`` and ``{sort}``."""
 
     url: str
-    schema: T.StructType = field(default_factory=lambda: RAW)
     key: str = "id"
     max_pages: int = MAX_PAGES
     options: dict = field(default_factory=dict)
 
-    @property
-    def record(self) -> T.StructType:
-        return T.StructType([f for f in self.schema if f.name != CORRUPT])
-
 
 # -- high-water mark -------------------------------------------------------------------
 
@@ -126,9 +120,10 @@ def _written_pages(spark: SparkSession, area: str) -> DataFrame:
 def _new_items(source: PagedSource, plan: LoadPlan):
     if plan.mode == FULL:
         return F.col("n_items")
-    key = T.StructType([T.StructField(source.key, T.StringType())])
-    above = F.filter(items(key), lambda item: item[source.key] > F.lit(plan.watermark))
-    return F.size(above).cast("long")
+    fresh = F.filter(
+        record_texts(), lambda text: text_field(text, source.key) > F.lit(plan.watermark)
+    )
+    return F.size(fresh).cast("long")
 
 
 def land_raw(records: DataFrame, data_root: str, run: str) -> str:
@@ -138,6 +133,13 @@ def land_raw(records: DataFrame, data_root: str, run: str) -> str:
     return path
 
 
+def land_texts(texts: DataFrame, data_root: str, run: str) -> str:
+    """Like :func:`land_raw` for records that are JSON texts already: nothing is dropped."""
+    path = f"{data_root.rstrip('/')}/{run}"
+    texts.write.mode("overwrite").text(path)
+    return path
+
+
 def ingest(
     spark: SparkSession, source: PagedSource, data_root: str, state: str, run: str | None = None
 ) -> Ingested:
@@ -149,15 +151,19 @@ def ingest(
         pages, bound_reached = fetch_pages(spark, source, plan, area)
         if bound_reached:
             log.warning("page bound %s reached in %s load", source.max_pages, plan.mode)
-        fetched = pages.select(F.inline(items(source.record)))
+        fetched = pages.select(F.explode(record_texts()).alias("record")).withColumn(
+            "key", text_field(F.col("record"), source.key)
+        )
         if plan.mode == INCREMENTAL:
-            fetched = newer_than(fetched, source.key, plan.watermark)
-        summary = new_watermark(fetched, source.key, plan.watermark).withColumn(
-            "n_rows", pages.agg(F.coalesce(F.sum("n_new"), F.lit(0))).scalar()
-        ).first()
+            fetched = newer_than(fetched, "key", plan.watermark)
+        summary = (
+            new_watermark(fetched, "key", plan.watermark)
+            .withColumn("n_rows", pages.agg(F.coalesce(F.sum("n_new"), F.lit(0))).scalar())
+            .first()
+        )
         rows, mark = summary["n_rows"], summary["max_id"]
         if rows:
-            land_raw(fetched, data_root, run)
+            land_texts(fetched.select("record"), data_root, run)
         # a full load that finds nothing records that it ran; the next one is full again
         if rows or (plan.mode == FULL and not bound_reached):
             save_watermark(spark, state, mark)

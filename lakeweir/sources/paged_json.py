@@ -118,11 +118,16 @@ def read_pages(
     )
 
 
-def items(schema: T.StructType, body: Column | None = None) -> Column:
-    """The records of a page body, every field as text."""
-    return F.from_json(F.col("body") if body is None else body, T.ArrayType(schema))
+def records(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per record with its page number and the fields of ``schema``."""
+    return pages.select("page", F.inline(F.from_json("body", T.ArrayType(schema))))
 
 
-def records(pages: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row per record, with its page number."""
-    return pages.select("page", F.inline(items(schema)))
+def record_texts() -> Column:
+    """The records of a page body, each as its own JSON text with all its fields."""
+    return F.from_json("body", T.ArrayType(T.StringType()))
+
+
+def text_field(record: Column, name: str) -> Column:
+    """A top-level field of a JSON text, as text."""
+    return F.get_json_object(record, f"$.{name}")

@@ -23,6 +23,7 @@ class Api:
 
     def __init__(self, root):
         self.root = f"{root}/api"
+        self.more = {"other": [1]}
 
     def serve(self, ids, full=200, incremental=50):
         for sort, size in (("id:asc", full), ("id:desc", incremental)):
@@ -34,12 +35,12 @@ class Api:
             chunks = [ordered[i : i + size] for i in range(0, len(ordered), size)]
             for number, chunk in enumerate(chunks, 1):
                 with open(f"{folder}/{number}.json", "w") as file:
-                    json.dump([{"id": i, "n": 1, "other": [1]} for i in chunk], file)
+                    json.dump([{"id": i, "n": 1, **self.more} for i in chunk], file, indent=2)
 
     def source(self, **more):
         options = {"missing": "empty", "backoff": 0, "pages_per_task": 2} | more.pop("options", {})
         url = f"file://{self.root}/{{sort}}/{{page}}.json"
-        return PagedSource(url, RAW, options=options, **more)
+        return PagedSource(url, options=options, **more)
 
 
 @pytest.fixture
@@ -78,6 +79,20 @@ def test_full_then_incremental(spark, root, api):
     assert not os.path.exists(f"{root}/data/r3")
 
 
+def test_landed_records_keep_every_field(spark, root, api):
+    api.more = {
+        "text": 'a "quoted"\nSão Paulo\t\u2028 line',
+        "deep": {"list": [1, {"x": None}], "flag": True},
+        "number": 12345678901234567890,
+        "fraction": 0.1000,
+        "none": None,
+    }
+    api.serve(keys(3))
+    do(spark, root, api.source(), "r")
+    rows = [json.loads(r[0]) for r in spark.read.text(f"{root}/data/r").collect()]
+    assert sorted(rows, key=lambda r: r["id"]) == [{"id": i, "n": 1, **api.more} for i in keys(3)]
+
+
 def test_mark_above_every_key_lands_nothing(spark, root, api):
     api.serve(keys(10))
     save_watermark(spark, f"{root}/state", "z")
