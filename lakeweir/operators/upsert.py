@@ -32,17 +32,17 @@ def match_keys(
     Left rows with a NULL key cannot match, but a shuffle on the key alone would send them
     all to one task. The join therefore also compares a spread number: 0 for a complete
     key, a number drawn from the row content otherwise. The right side computes its 0 from
-    the key, since a constant would be optimised out of the join keys, and is grouped by
-    it, so that one shuffle serves both the grouping and the join.
+    the key, since a constant would be optimised out of the join keys.
+
+    The 0 is added after the grouping. The join then shuffles the grouped keys again, which
+    is little, and in return AQE sees a plain shuffle on both sides and can split a key
+    that many left rows share.
     """
-    grouped = right.where(_all_set(keys))
-    if not any(left.schema[key].nullable for key in keys):
-        return left.join(grouped.groupBy(*keys).agg(measure), list(keys), "left")
     ways = F.when(_all_set(keys), F.lit(1)).otherwise(F.lit(_SPREAD_WAYS))
-    matches = grouped.groupBy(*keys, _spread(keys, F.lit(1)).alias(_SPREAD)).agg(measure)
+    grouped = right.where(_all_set(keys)).groupBy(*keys).agg(measure)
     return (
         left.withColumn(_SPREAD, _spread(left.columns, ways))
-        .join(matches, [*keys, _SPREAD], "left")
+        .join(grouped.withColumn(_SPREAD, _spread(keys, F.lit(1))), [*keys, _SPREAD], "left")
         .drop(_SPREAD)
     )
 
@@ -55,7 +55,8 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Duplicate source keys that the target holds: the upsert cannot choose between them."""
-    return duplicate_keys(source, keys).join(target.select(*keys), list(keys), "left_semi")
+    doubtful = duplicate_keys(source, keys)
+    return target.select(*keys).join(doubtful, list(keys), "left_semi").distinct()
 
 
 def merge_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,7 +64,7 @@ def merge_by_key(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 
     NULL keys never match. Extra source columns are ignored. Evaluating the result fails
     with ``DUPLICATE_SOURCE_KEY`` when two source rows carry a key the target holds; the
-    check rides on the join, which sees every matched key once, and adds no shuffle.
+    check rides on the join, which sees every matched key with its number of source rows.
     """
     incoming = source.select(*target.columns)
     hits = F.col(_HITS)

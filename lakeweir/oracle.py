@@ -299,6 +299,10 @@ ORACLE: dict[str, str] = {
                text
         FROM documents
     """,
+    "quarantined_records": """
+        SELECT CASE WHEN lang = 'es' THEN 'damaged' ELSE lang END AS lang, count(*) AS n_records
+        FROM documents GROUP BY ALL
+    """,
     "snapshot_rewrite": UPSERTED,
     "snapshot_append": UPSERTED,
     "evolved_overwrite": f"""

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="lakeweir-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"lakeweir-{application_id}-")
 
 
 def _application_root(spark: SparkSession) -> str:

@@ -375,6 +375,21 @@ def raw_json_scan(spark, sf_dir):
     return conform(good, DOCUMENT)
 
 
+def quarantined_records(spark, sf_dir):
+    """Land documents as JSON texts, those in one language cut short, and split them."""
+    root = new_area(spark, "raw-damaged")
+    text = F.to_json(F.struct("id", "text", "lang", "n_chars"))
+    cut = F.when(F.col("lang") == "es", F.expr("left(record, length(record) - 1)"))
+    texts = raw_documents(spark, sf_dir).select(text.alias("record"), "lang")
+    damaged_texts = texts.select(F.coalesce(cut, F.col("record")).alias("record"))
+    path = ingest.land_texts(damaged_texts, root, "2024_01_01_00_00_00_000000")
+    scan = read_raw_json(spark, path, raw_of(DOCUMENT, audit=None))
+    good, damaged = split_corrupt(written(scan, "raw"))
+    return count_by(good, ["lang"], "n_records").unionByName(
+        count_by(damaged.select(F.lit("damaged").alias("lang")), ["lang"], "n_records")
+    )
+
+
 def _account_table(spark, **limits) -> Table:
     return Table(
         spark, new_area(spark, "accounts"), ACCOUNT, keys=("id",), partition_by=("kind",), **limits
@@ -500,6 +515,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_report": schema_report,
     "row_count": row_count,
     "raw_json_scan": raw_json_scan,
+    "quarantined_records": quarantined_records,
     "snapshot_rewrite": snapshot_rewrite,
     "snapshot_append": snapshot_append,
     "evolved_overwrite": evolved_overwrite,

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 from urllib.error import HTTPError, URLError
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from lakeweir.errors import PageFetchError
 from lakeweir.plans import ingest as plan
@@ -150,6 +153,21 @@ def test_pages_as_a_relation(spark, api):
     assert [(r["page"], r["id"], r["n"]) for r in rows][-1] == (3, "k00006", 1.0)
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(first=st.integers(1, 90), more=st.integers(0, 70))
+def test_two_loads_land_what_one_load_would(spark, first, more):
+    root = tempfile.mkdtemp(prefix="lakeweir-two-")
+    api = Api(root)
+    api.serve(keys(first), full=20, incremental=15)
+    one = do(spark, root, api.source(), "r1")
+    api.serve(keys(first + more), full=20, incremental=15)
+    two = do(spark, root, api.source(), "r2")
+    assert (one.rows, two.rows) == (first, more)
+    assert load_watermark(spark, f"{root}/state") == keys(first + more)[-1]
+    new = landed(spark, root, "r2") if more else []
+    assert landed(spark, root, "r1") + new == keys(first + more)
+
+
 # -- reader ----------------------------------------------------------------------------
 
 

@@ -58,10 +58,10 @@ def test_watermark_filter_reaches_the_scan(spark):
     assert "GreaterThan(event_id,5)" in text and "ReadSchema: struct<event_id:bigint>" in text
 
 
-def test_merge_shuffles_each_side_once(spark, no_broadcast):
+def test_merge_shuffles_the_target_once(spark, no_broadcast):
     source = written(standins.changes(spark, SF_DIR), "changes")
     text = plan(merge_by_key(standins.accounts(spark, SF_DIR), source, ["id"]))
-    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("Exchange hashpartitioning") == 3  # target, and source keys twice
     assert re.search(r"SortMergeJoin \[id#\d+, __spread#\d+\], \[id#\d+, __spread#\d+\]", text)
     assert "NestedLoop" not in text and "Cartesian" not in text
 
@@ -88,6 +88,32 @@ def test_rows_without_a_key_spread_over_the_tasks(spark, no_broadcast):
     assert sum(r["count"] for r in sizes) == 2000
 
 
+def test_a_hot_target_key_is_split(spark, no_broadcast):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        target = spark.range(60000).repartition(8).select(
+            F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("hot").alias("id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        )
+        source = spark.range(1000).select(F.col("id").cast("string"), F.lit("new").alias("v"))
+        merged = merge_by_key(target, source, ["id"])
+        rows = merged.collect()
+        text = plan(merged)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "SortMergeJoin(skew=true)" in text
+    assert sum(r["id"] == "hot" for r in rows) == 20000
+    assert len(rows) == 60000 - 666 + 1000
+
+
 def test_scalar_constraints_share_one_scan(spark):
     relation = table(spark, "orders")
     check = (
