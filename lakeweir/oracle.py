@@ -178,6 +178,12 @@ MOVED = "CASE WHEN country = 'ASIA' THEN 'MOVED' ELSE brewery_type END"
 
 ORACLE: dict[str, str] = {
     "count_by_type_location": f"WITH {SITES} {MART}",
+    "stamped_mart": f"""
+        WITH {SITES}
+        SELECT country, brewery_type, count(*) AS brewery_count,
+               '2024-05-06 07:08:09' AS update_at
+        FROM sites GROUP BY country, brewery_type
+    """,
     "rollup_region": f"""
         WITH {SITES}
         SELECT country, state, city, brewery_type,
@@ -314,6 +320,15 @@ ORACLE: dict[str, str] = {
         WITH {KEYED_EVENTS}
         SELECT 'incremental' AS mode, mark, (SELECT max(key) FROM keyed) AS max_id FROM mark
     """,
+    "paged_full_load": f"""
+        WITH {SITES}
+        SELECT id, name, longitude, (SELECT max(id) FROM sites) AS next_mark FROM sites
+    """,
+    "paged_incremental_load": f"""
+        WITH {KEYED_EVENTS}
+        SELECT key, event_type, value, (SELECT max(key) FROM keyed) AS next_mark
+        FROM keyed WHERE key > (SELECT mark FROM mark)
+    """,
     "layered_flow": f"""
         WITH {SITES},
         moved AS (SELECT * REPLACE ({MOVED} AS brewery_type) FROM sites)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakeweir.functions.runs import run_name
 from lakeweir.operators import quality
 from lakeweir.operators.counts import count_by, rollup_count
-from lakeweir.operators.curate import conform, dedupe_latest
+from lakeweir.operators.curate import conform, dedupe_latest, stamp
 from lakeweir.operators.increment import (
     assign_pages,
     before_stop,
@@ -26,7 +26,7 @@ from lakeweir.operators.increment import (
 from lakeweir.operators.upsert import merge_by_key
 from lakeweir.plans import flow, ingest
 from lakeweir.plans.tables import Table
-from lakeweir.schemas import MART_COUNT, MART_DIMENSIONS, raw_of, record
+from lakeweir.schemas import MART_AUDIT, MART_COUNT, MART_DIMENSIONS, raw_of, record
 from lakeweir.sources.raw_json import read_raw_json, split_corrupt
 from lakeweir.sources.runs import latest_of, latest_run
 from lakeweir.sources.scratch import new_area, written
@@ -203,6 +203,16 @@ def count_by_type_location(spark, sf_dir):
     return count_by(sites(spark, sf_dir), MART_DIMENSIONS, MART_COUNT)
 
 
+def stamped_mart(spark, sf_dir):
+    """The mart with its audit time, shown as text."""
+    mart = stamp(
+        count_by(sites(spark, sf_dir), ["country", "brewery_type"], MART_COUNT),
+        MART_AUDIT,
+        "2024-05-06 07:08:09",
+    )
+    return mart.withColumn(MART_AUDIT, F.date_format(MART_AUDIT, "yyyy-MM-dd HH:mm:ss"))
+
+
 def rollup_region(spark, sf_dir):
     return rollup_count(sites(spark, sf_dir), MART_DIMENSIONS, MART_COUNT)
 
@@ -441,6 +451,67 @@ def saved_watermark(spark, sf_dir):
     )
 
 
+def _serve(paged: DataFrame, folder: str) -> str:
+    """Write page files as a server would answer and return their URL template.
+
+    The paged source opens URLs with the Python standard library, so the checkpoint folder
+    must be a path that every executor has mounted.
+    """
+    root = folder.removeprefix("file://").removeprefix("file:")
+    if ":/" in root:
+        raise ValueError(f"page files need a mounted path, not {folder}")
+    fields = [name for name in paged.columns if name != "page"]
+    # a page holds per_page records at most
+    bodies = paged.groupBy("page").agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("body")
+    )
+
+    def write(rows):
+        import os
+
+        os.makedirs(root, exist_ok=True)
+        for row in rows:
+            with open(f"{root}/{row.page}.json", "w", encoding="utf-8") as file:
+                file.write(row.body)
+
+    bodies.foreachPartition(write)
+    return f"file://{root}/{{page}}.json"
+
+
+def _paged_load(spark, paged: DataFrame, key: str, mark: str | None, schema) -> DataFrame:
+    """Serve ``paged``, ingest it above ``mark`` and read the landed run."""
+    root = new_area(spark, "paged-load")
+    url = _serve(paged, f"{root}/api")
+    last = paged.agg(F.coalesce(F.max("page"), F.lit(0))).first()[0]
+    source = ingest.PagedSource(url, key, max_pages=last + 1, options={"missing": "empty"})
+    state = f"{root}/state"
+    if mark is not None:
+        ingest.save_watermark(spark, state, mark)
+    done = ingest.ingest(spark, source, f"{root}/data", state)
+    landed = read_raw_json(spark, f"{root}/data/{done.run}", raw_of(schema, audit=None))
+    return conform(landed, schema).withColumn(
+        "next_mark", F.lit(ingest.load_watermark(spark, state))
+    )
+
+
+def paged_full_load(spark, sf_dir):
+    """Sites served in pages of 200 and loaded without a mark."""
+    relation = sites(spark, sf_dir).select("id", "name", "longitude")
+    paged = assign_pages(relation, ["id"], ingest.PER_PAGE[ingest.FULL])
+    schema = record(id="string", name="string", longitude="double")
+    return _paged_load(spark, paged, "id", None, schema)
+
+
+def paged_incremental_load(spark, sf_dir):
+    """Events served newest first in pages of 50 and loaded above the mark of a past load."""
+    events = keyed_events(spark, sf_dir).select("key", "event_type", "value", "ts")
+    paged = assign_pages(
+        events.drop("ts"), [F.desc("key")], ingest.PER_PAGE[ingest.INCREMENTAL]
+    )
+    schema = record(key="string", event_type="string", value="double")
+    return _paged_load(spark, paged, "key", seen_mark(events).first()["mark"], schema)
+
+
 SITE = record(
     id="string",
     name="string",
@@ -495,6 +566,7 @@ def stream_upsert(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_by_type_location": count_by_type_location,
+    "stamped_mart": stamped_mart,
     "rollup_region": rollup_region,
     "upsert_by_key": upsert_by_key,
     "cast_projection": cast_projection,
@@ -520,6 +592,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_append": snapshot_append,
     "evolved_overwrite": evolved_overwrite,
     "saved_watermark": saved_watermark,
+    "paged_full_load": paged_full_load,
+    "paged_incremental_load": paged_incremental_load,
     "layered_flow": layered_flow,
     "stream_upsert": stream_upsert,
 }
