@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 DUPLICATE_MARK = "DUPLICATE_SOURCE_KEY"
 _HITS = "__hits"
+_NEWEST = "__newest"
 _SPREAD = "__spread"
 _SPREAD_WAYS = 4096
 
@@ -47,6 +48,23 @@ def match_keys(
     )
 
 
+def keep_newest(
+    rows: DataFrame, keys: Sequence[str], version: str, replacing: DataFrame | None = None
+) -> DataFrame:
+    """Rows that no row of the same key with a higher ``version`` replaces.
+
+    Rows of one key and version stay together; rows with a NULL key are all kept.
+    ``replacing`` narrows the rows that can replace others, where that is known.
+    """
+    newest = F.col(_NEWEST)
+    replacing = rows if replacing is None else replacing
+    return (
+        match_keys(rows, replacing, keys, F.max(version).alias(_NEWEST))
+        .where(newest.isNull() | (F.col(version) >= newest))
+        .drop(_NEWEST)
+    )
+
+
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source keys carried by more than one row."""
     hits = source.where(_all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(_HITS))

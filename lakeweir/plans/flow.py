@@ -16,6 +16,7 @@ from lakeweir.functions.runs import RUN_FORMAT
 from lakeweir.operators import quality
 from lakeweir.operators.counts import count_by
 from lakeweir.operators.curate import conform, dedupe_latest, stamp
+from lakeweir.operators.upsert import keep_newest
 from lakeweir.plans.ingest import Ingested, PagedSource, ingest
 from lakeweir.plans.presets import SITE_CHECK
 from lakeweir.plans.tables import Table
@@ -76,15 +77,22 @@ def upsert_raw(
     """Conform raw records and upsert them; damaged ones go to the quarantine folder.
 
     The JSON text is parsed once, into a written copy; the steps after it read columns.
+    Where ``raw`` tells the run time of its records, a later run replaces an earlier one.
     """
-    rows = conform(raw, T.StructType([*lake.curated_schema, raw.schema[schemas.CORRUPT]]))
+    slots = [raw.schema[n] for n in (schemas.CORRUPT, schemas.RUN_TIME) if n in raw.columns]
+    rows = conform(raw, T.StructType([*lake.curated_schema, *slots]))
     if lake.audit:
         rows = stamp(rows, lake.audit, as_of)
     table = lake.curated(raw.sparkSession)
     with staged(rows, "curated") as parsed:
         good, damaged = split_corrupt(parsed)
+        run_time = (
+            F.col(schemas.RUN_TIME) if schemas.RUN_TIME in parsed.columns else F.lit(None)
+        )
         seen = parsed.agg(
-            F.count(F.lit(1)).alias("all"), F.count(schemas.CORRUPT).alias("damaged")
+            F.count(F.lit(1)).alias("all"),
+            F.count(schemas.CORRUPT).alias("damaged"),
+            (F.min(run_time) < F.max(run_time)).alias("several_runs"),
         ).first()
         if seen["damaged"]:
             target = lake.path("quarantine", batch)
@@ -93,8 +101,13 @@ def upsert_raw(
         if seen["all"] == seen["damaged"]:
             log.info("no records in %s", batch)
             table.init_table()
-        elif lake.dedupe_by:
-            with staged(dedupe_latest(good, lake.keys, lake.dedupe_by), "deduped") as latest:
+            return
+        if seen["several_runs"]:
+            good = keep_newest(good, lake.keys, schemas.RUN_TIME)
+        if lake.dedupe_by:
+            good = dedupe_latest(good, lake.keys, lake.dedupe_by)
+        if seen["several_runs"] or lake.dedupe_by:
+            with staged(good, "latest") as latest:
                 table.upsert(latest, token)
         else:
             table.upsert(good, token)

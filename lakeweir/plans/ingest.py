@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeweir.errors import PageFetchError
 from lakeweir.functions.runs import new_run_name
-from lakeweir.operators.increment import before_stop, new_watermark, newer_than, stop_page
+from lakeweir.operators.increment import new_watermark, newer_than, stop_page
 from lakeweir.schemas import WATERMARK
 from lakeweir.sources import storage
 from lakeweir.sources.paged_json import read_pages, record_texts, text_field
@@ -50,6 +50,7 @@ class PagedSource:
     url: str
     key: str = "id"
     max_pages: int = MAX_PAGES
+    first_wave: int = 8
     options: dict = field(default_factory=dict)
 
 
@@ -94,8 +95,7 @@ def fetch_pages(
     so no page is fetched twice.
     """
     url = source.url.replace("{sort}", plan.sort)
-    wave = max(1, spark.sparkContext.defaultParallelism)
-    first = 1
+    first, wave = 1, source.first_wave
     stop = None
     while first <= source.max_pages and stop is None:
         last = min(first + wave - 1, source.max_pages)
@@ -110,7 +110,7 @@ def fetch_pages(
         stop = stop_page(_written_pages(spark, area), F.col("n_new")).first()["stop"]
         first, wave = last + 1, wave * 2
     pages = _written_pages(spark, area)
-    return before_stop(pages, stop_page(pages, F.col("n_new"))), stop is None
+    return (pages, True) if stop is None else (pages.where(F.col("page") < stop), False)
 
 
 def _written_pages(spark: SparkSession, area: str) -> DataFrame:

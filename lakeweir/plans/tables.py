@@ -23,7 +23,7 @@ from lakeweir.operators.upsert import (
     DUPLICATE_MARK,
     ambiguous_keys,
     duplicate_keys,
-    match_keys,
+    keep_newest,
     merge_by_key,
 )
 from lakeweir.sources import storage
@@ -31,7 +31,7 @@ from lakeweir.sources.scratch import planned_bytes
 
 BASE, UPSERT = "base", "upsert"
 _FOLDER = re.compile(r"version=(\d+)\.(base|upsert)(?:\.(.+))?")
-_VERSION, _NEWEST = "__version", "__newest"
+_VERSION = "__version"
 
 
 @dataclass(frozen=True)
@@ -115,18 +115,13 @@ class Table:
             raise FileNotFoundError(f"no finished snapshot under {self.root}")
         if not upserts:
             return self._scan(base)
-        keys = list(self.keys)
         changed = None
         for commit in upserts:
             part = self._scan(commit).withColumn(_VERSION, F.lit(commit.version))
             changed = part if changed is None else changed.unionByName(part)
         rows = self._scan(base).withColumn(_VERSION, F.lit(base.version)).unionByName(changed)
-        current = F.col(_NEWEST).isNull() | (F.col(_VERSION) >= F.col(_NEWEST))
-        return (
-            match_keys(rows, changed, keys, F.max(_VERSION).alias(_NEWEST))
-            .where(current)
-            .select(*self.schema.names)
-        )
+        # only the upserts can replace rows, so only their keys are grouped
+        return keep_newest(rows, self.keys, _VERSION, changed).select(*self.schema.names)
 
     # -- writing -----------------------------------------------------------------------
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+RUN_TIME = "_run_time"
 AUDIT = "ingestion_at"
 
 

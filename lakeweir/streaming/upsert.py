@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeweir.functions.runs import run_time
 from lakeweir.plans.flow import Lake, upsert_raw
-from lakeweir.schemas import CORRUPT
+from lakeweir.schemas import CORRUPT, RUN_TIME
 
 
 def upsert_new_files(
@@ -20,7 +22,8 @@ def upsert_new_files(
     """Start a query that drains all raw files not seen before, then ends.
 
     The checkpoint takes the place of both the high-water mark and the search for the
-    latest run. A replayed batch finds its commit token and changes nothing.
+    latest run. A replayed batch finds its commit token and changes nothing. Where one batch
+    covers several runs, the later run wins; folders whose name is not a run are ignored.
     """
     lake.curated(spark).init_table()
     reader = (
@@ -35,9 +38,14 @@ def upsert_new_files(
         token = f"{name}-{batch_id}"
         upsert_raw(batch, lake, token, as_of, token)
 
-    return (
+    run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    records = (
         reader.json(f"{lake.raw_data}/*")
-        .writeStream.foreachBatch(apply)
+        .withColumn(RUN_TIME, run_time(run, lake.run_format))
+        .where(F.col(RUN_TIME).isNotNull())
+    )
+    return (
+        records.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .queryName(name)
         .trigger(availableNow=True)

@@ -180,6 +180,17 @@ def test_stream_takes_every_file_once(spark, lake):
     assert len(os.listdir(lake.path("quarantine"))) == 1
 
 
+def test_one_batch_over_several_runs_takes_the_later_one(spark, lake):
+    land(lake, RUNS[1], [site("b", name="second"), site("c")])
+    land(lake, RUNS[0], [site("a"), site("b", name="first"), site("n", id=None)])
+    land(lake, "not_a_run", [site("b", name="stray"), site("z")])
+    land(lake, RUNS[2], [site("n", id=None)])
+    got = drain(spark, lake).collect()
+    assert sorted((r["id"] or "", r["name"]) for r in got) == [
+        ("", "Site n"), ("", "Site n"), ("s-a", "Site a"), ("s-b", "second"), ("s-c", "Site c"),
+    ]
+
+
 def test_replayed_batch_adds_nothing(spark, lake):
     land(lake, RUNS[0], [site("a"), site("b", id=None)])
     assert drain(spark, lake).count() == 2
