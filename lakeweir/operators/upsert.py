@@ -21,35 +21,46 @@ def _all_set(keys: Sequence[str]):
     return condition
 
 
-def _spread(columns: Sequence[str], ways) -> Column:
-    return F.pmod(F.xxhash64(*columns), ways).cast("int")
+def _spread(columns: Sequence[str], ways: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(ways)).cast("int")
 
 
 def match_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], measure: Column
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    measure: Column,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``left`` with ``measure`` aggregated over the ``right`` rows of the same key.
 
     Left rows with a NULL key cannot match, but a shuffle on the key alone would send them
     all to one task. The join therefore also compares a spread number: 0 for a complete
-    key, a number drawn from the row content otherwise. The right side computes its 0 from
-    the key, since a constant would be optimised out of the join keys.
+    key, otherwise a number drawn from the columns ``spread_by`` (by default all, which
+    keeps them all in the scan). The 0 is computed from the key, since a constant would be
+    optimised out of the join keys.
 
     The 0 is added after the grouping. The join then shuffles the grouped keys again, which
     is little, and in return AQE sees a plain shuffle on both sides and can split a key
     that many left rows share.
     """
-    ways = F.when(_all_set(keys), F.lit(1)).otherwise(F.lit(_SPREAD_WAYS))
+    spread = F.when(_all_set(keys), _spread(keys, 1)).otherwise(
+        _spread(spread_by or left.columns, _SPREAD_WAYS)
+    )
     grouped = right.where(_all_set(keys)).groupBy(*keys).agg(measure)
     return (
-        left.withColumn(_SPREAD, _spread(left.columns, ways))
-        .join(grouped.withColumn(_SPREAD, _spread(keys, F.lit(1))), [*keys, _SPREAD], "left")
+        left.withColumn(_SPREAD, spread)
+        .join(grouped.withColumn(_SPREAD, _spread(keys, 1)), [*keys, _SPREAD], "left")
         .drop(_SPREAD)
     )
 
 
 def keep_newest(
-    rows: DataFrame, keys: Sequence[str], version: str, replacing: DataFrame | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    replacing: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows that no row of the same key with a higher ``version`` replaces.
 
@@ -59,7 +70,7 @@ def keep_newest(
     newest = F.col(_NEWEST)
     replacing = rows if replacing is None else replacing
     return (
-        match_keys(rows, replacing, keys, F.max(version).alias(_NEWEST))
+        match_keys(rows, replacing, keys, F.max(version).alias(_NEWEST), spread_by)
         .where(newest.isNull() | (F.col(version) >= newest))
         .drop(_NEWEST)
     )

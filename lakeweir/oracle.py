@@ -142,14 +142,10 @@ REPORT_ROWS = [
     ("optional", "warning", "brewery_type", "complete", _complete("brewery_type")),
     ("optional", "warning", "postal_code", "complete", _complete("postal_code")),
     ("optional", "warning", "latitude", "complete", "NULL"),
-    ("optional", "warning", "postal_code", "data_type[String]", _class_share("postal_code", "String")),
-    (
-        "optional",
-        "warning",
-        "postal_code",
-        "data_type[Integral]",
-        _class_share("postal_code", "Integral"),
-    ),
+    *[
+        ("optional", "warning", "postal_code", f"data_type[{c}]", _class_share("postal_code", c))
+        for c in ("String", "Integral")
+    ],
 ]
 STRICT_ROWS = [
     ("strict", "error", "id", "unique", _unique("id")),
@@ -169,7 +165,9 @@ def _union(parts) -> str:
     return " UNION ALL ".join(parts)
 
 
-SITE_COLUMNS = ["id", "name", "brewery_type", "country", "state", "city", "postal_code", "longitude"]
+SITE_COLUMNS = [
+    "id", "name", "brewery_type", "country", "state", "city", "postal_code", "longitude",
+]
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",

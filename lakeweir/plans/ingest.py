@@ -62,7 +62,10 @@ def load_watermark(spark: SparkSession, state: str) -> str | None:
     if not storage.exists(spark, state):
         return None
     marks = (
-        spark.read.schema(WATERMARK).option("multiLine", True).option("mode", "FAILFAST").json(state)
+        spark.read.schema(WATERMARK)
+        .option("multiLine", True)
+        .option("mode", "FAILFAST")
+        .json(state)
     )
     latest = marks.agg(F.max_by("max_id", F.coalesce("timestamp", F.lit(""))).alias("max_id"))
     return latest.first()["max_id"]

@@ -31,7 +31,7 @@ from lakeweir.sources.scratch import planned_bytes
 
 BASE, UPSERT = "base", "upsert"
 _FOLDER = re.compile(r"version=(\d+)\.(base|upsert)(?:\.(.+))?")
-_VERSION = "__version"
+_VERSION, _ORIGIN = "__version", "__origin"
 
 
 @dataclass(frozen=True)
@@ -115,13 +115,24 @@ class Table:
             raise FileNotFoundError(f"no finished snapshot under {self.root}")
         if not upserts:
             return self._scan(base)
-        changed = None
-        for commit in upserts:
-            part = self._scan(commit).withColumn(_VERSION, F.lit(commit.version))
-            changed = part if changed is None else changed.unionByName(part)
-        rows = self._scan(base).withColumn(_VERSION, F.lit(base.version)).unionByName(changed)
+        changed = self._versioned(upserts[0])
+        for commit in upserts[1:]:
+            changed = changed.unionByName(self._versioned(commit))
+        rows = self._versioned(base).unionByName(changed)
         # only the upserts can replace rows, so only their keys are grouped
-        return keep_newest(rows, self.keys, _VERSION, changed).select(*self.schema.names)
+        return keep_newest(rows, self.keys, _VERSION, changed, [_ORIGIN]).select(
+            *self.schema.names
+        )
+
+    def _versioned(self, commit: Commit) -> DataFrame:
+        """The rows with their version and the file block they come from, which spreads
+        rows without a key and costs no column to read."""
+        block = F.concat("_metadata.file_name", F.col("_metadata.file_block_start").cast("string"))
+        return (
+            self.spark.read.schema(self.schema)
+            .parquet(commit.path)
+            .select(*self.schema.names, F.lit(commit.version).alias(_VERSION), block.alias(_ORIGIN))
+        )
 
     # -- writing -----------------------------------------------------------------------
 

@@ -18,7 +18,8 @@ def latest_of(
     ``as_of`` (a run name) ignores later runs.
     """
     moment = run_time(basename(F.col(column)), fmt)
-    named = runs.select(F.col(column).alias("run"), moment.alias("at")).where(F.col("at").isNotNull())
+    named = runs.select(F.col(column).alias("run"), moment.alias("at"))
+    named = named.where(F.col("at").isNotNull())
     if as_of is not None:
         named = named.where(F.col("at") <= run_time(F.lit(as_of), fmt))
     return named.agg(F.max_by("run", "at").alias("run"))

@@ -258,7 +258,12 @@ def test_a_mark_means_incremental():
 
 @pytest.mark.parametrize(
     ("text", "want"),
-    [("{}", None), ('{"max_id": null}', None), ('{"max_id": ""}', ""), ('{\n  "max_id": "k"\n}', "k")],
+    [
+        ("{}", None),
+        ('{"max_id": null}', None),
+        ('{"max_id": ""}', ""),
+        ('{\n  "max_id": "k"\n}', "k"),
+    ],
 )
 def test_state_documents(spark, root, text, want):
     os.makedirs(f"{root}/state")

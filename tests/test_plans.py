@@ -133,13 +133,19 @@ def test_gated_mart_has_no_cross_join(spark):
 
 
 def test_reading_over_small_increments_does_not_shuffle_the_base(spark, root):
-    lines = Table(spark, root, record(id="string", v="long"), ("id",))
+    schema = record(id="string", place="string", v="long", wide="string")
+    lines = Table(spark, root, schema, ("id",), ("place",))
     base = table(spark, "lineitem").select(
-        F.monotonically_increasing_id().cast("string").alias("id"), F.col("l_orderkey").alias("v")
+        F.monotonically_increasing_id().cast("string").alias("id"),
+        F.col("l_returnflag").alias("place"),
+        F.col("l_orderkey").alias("v"),
+        F.lit("text").alias("wide"),
     )
     lines.upsert(written(base, "base"))
-    lines.upsert(spark.createDataFrame([("3", 1)], "id string, v long"), rewrite=False)
+    lines.upsert(spark.createDataFrame([("3", "A", 1, "x")], schema), rewrite=False)
     text = plan(lines.read_snapshot())
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    pruned = plan(count_by(lines.read_snapshot(), ["id"]))
-    assert "ReadSchema: struct<id:string>" in pruned
+    pruned = plan(count_by(lines.read_snapshot().where("place = 'A' AND v > 3"), ["place"]))
+    assert "wide" not in pruned
+    scan = next(line for line in pruned.splitlines() if "FileScan" in line)
+    assert "GreaterThan(v,3)" in scan and re.search(r"PartitionFilters: \[.*place#\d+ = A", scan)

@@ -122,7 +122,8 @@ def test_partition_values_keep_their_text(spark, root):
     table.write_snapshot(
         frame(spark, [("a", "01", 1), ("b", "", 1), ("c", None, 1), ("d", "São Paulo/1", 1)])
     )
-    assert rows_of(table) == [("a", "01", 1), ("b", None, 1), ("c", None, 1), ("d", "São Paulo/1", 1)]
+    want = [("a", "01", 1), ("b", None, 1), ("c", None, 1), ("d", "São Paulo/1", 1)]
+    assert rows_of(table) == want
     assert table.stored_schema()["place"].dataType.simpleString() == "string"
     again = read_snapshot(spark, f"{root}/t", SCHEMA, ["id"])
     assert again.where("place = '01'").count() == 1

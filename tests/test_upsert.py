@@ -37,7 +37,8 @@ def test_two_source_rows_for_one_target_row_fail(spark):
 
 
 def test_duplicate_reports(spark):
-    source = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 1), (None, 2)], SCHEMA)
+    rows = [("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 1), (None, 2)]
+    source = spark.createDataFrame(rows, SCHEMA)
     target = spark.createDataFrame([("b", 0), (None, 0)], SCHEMA)
     assert {r["id"] for r in duplicate_keys(source, ["id"]).collect()} == {"a", "b"}
     assert [r["id"] for r in ambiguous_keys(target, source, ["id"]).collect()] == ["b"]
