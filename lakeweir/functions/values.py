@@ -43,5 +43,15 @@ def value_class(column: Column, data_type: T.DataType) -> Column:
     return expr.otherwise(F.lit("String"))
 
 
+def in_class(column: Column, wanted: str) -> Column:
+    """Whether a value read as text is of a class. No text is of two, so that the pattern of
+    the class alone decides; "String" is what no pattern takes."""
+    text = column.cast("string")
+    patterns = dict(VALUE_PATTERNS)
+    if wanted in patterns:
+        return text.rlike(patterns[wanted])
+    return ~text.rlike("|".join(patterns.values()))
+
+
 def blank_to_null(column: Column) -> Column:
     return F.when(column != "", column)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweir.errors import QualityGateError, SchemaCheckFailed
-from lakeweir.functions.values import VALUE_CLASSES, declared_class, value_class
+from lakeweir.functions.values import VALUE_CLASSES, declared_class, in_class, value_class
 from lakeweir.schemas import record
 
 log = logging.getLogger(__name__)
@@ -117,12 +117,11 @@ def complete_share(column: str) -> Column:
 
 def class_share(df: DataFrame, column: str, wanted: str) -> Column:
     """Share of the non-NULL values that belong to a class; NULL when there are none."""
-    data_type = df.schema[column].dataType
-    known = declared_class(data_type)
+    known = declared_class(df.schema[column].dataType)
     if known:  # the type decides, no value is inspected
         hits = F.count(column) if known == wanted else F.lit(0)
     else:
-        hits = F.count_if(value_class(F.col(column), data_type) == wanted)
+        hits = F.count_if(in_class(F.col(column), wanted))
     return F.try_divide(hits.cast("double"), F.count(column).cast("double"))
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeweir.functions.values import value_class
+from lakeweir.functions.values import VALUE_CLASSES, in_class, value_class
 from lakeweir.operators.curate import conform, dedupe_latest, is_empty, stamp
 from lakeweir.schemas import CURATED, RAW, record
 
@@ -72,3 +72,7 @@ def test_value_classes(spark):
     df = spark.createDataFrame([(k,) for k in cases], "v string")
     got = df.select("v", value_class(F.col("v"), df.schema["v"].dataType).alias("c")).collect()
     assert {r["v"]: r["c"] for r in got} == cases
+    members = df.select("v", *[in_class(F.col("v"), c).alias(c) for c in VALUE_CLASSES]).collect()
+    assert {r["v"]: [c for c in VALUE_CLASSES if r[c]] for r in members} == {
+        v: [c] for v, c in cases.items()
+    }

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from lakeweir.errors import QualityGateError, SchemaCheckFailed
 from lakeweir.operators import quality
@@ -141,6 +143,34 @@ def test_digest_uniqueness_agrees(spark):
     )
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    values=st.lists(
+        st.one_of(st.none(), st.sampled_from(["", "1", "-2", "3.5", "true", "x", "y"])), max_size=20
+    )
+)
+def test_metrics_equal_a_plain_count(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "c string")
+    check = Check("c").is_unique("c").is_complete("c")
+    for name in quality.VALUE_CLASSES:
+        check = check.has_data_type(name, "c")
+    got = metrics(quality.verify(df, [check]))
+    filled = [v for v in values if v is not None]
+    sets = {
+        "Integral": {"", "1", "-2"}, "Fractional": {"3.5"}, "Boolean": {"true"}, "String": {"x", "y"},
+    }
+
+    def share(part, whole):
+        return part / whole if whole else None
+
+    singles = sum(filled.count(v) == 1 for v in filled)
+    assert got["c", "unique"] == share(singles, len(filled))
+    assert got["c", "complete"] == share(len(filled), len(values))
+    for name, members in sets.items():
+        hits = sum(v in members for v in filled)
+        assert got["c", f"data_type[{name}]"] == share(hits, len(filled))
+
+
 def test_row_count(spark):
     assert quality.row_count(spark.range(7)).first()[0] == 7
     assert quality.row_count(spark.range(0)).first()[0] == 0

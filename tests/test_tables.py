@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeweir.errors import DuplicateSourceKey, SchemaConflict
@@ -89,6 +92,33 @@ def test_small_sources_append_until_they_pile_up(spark, root):
     assert table.read_snapshot().where("place = 'y'").count() == 4
 
 
+steps = st.lists(
+    st.tuples(
+        st.dictionaries(st.sampled_from("abcd"), st.integers(0, 9), max_size=4),
+        st.integers(0, 2),
+        st.sampled_from("xyz"),
+        st.booleans(),
+    ),
+    min_size=1,
+    max_size=4,
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(steps=steps)
+def test_any_mix_of_appends_and_rewrites_is_a_series_of_updates(spark, steps):
+    table = keyed(spark, tempfile.mkdtemp(prefix="lakeweir-mix-"))
+    model, without_key = {}, 0
+    for rows, nulls, place, rewrite in steps:
+        source = [(k, place, v) for k, v in rows.items()] + [(None, place, 0)] * nulls
+        table.upsert(frame(spark, source), rewrite=rewrite)
+        model |= {k: (place, v) for k, v in rows.items()}
+        without_key += nulls
+    got = table.read_snapshot().collect()
+    assert {r["id"]: (r["place"], r["v"]) for r in got if r["id"]} == model
+    assert len(got) == len(model) + without_key
+
+
 def test_compact(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1)]))
