@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,4 +27,5 @@ def basename(path: Column) -> Column:
 
 
 def new_run_name(now: datetime | None = None) -> str:
-    return (now or datetime.now()).strftime("%Y_%m_%d_%H_%M_%S_%f")
+    """Name of a run that starts now; in UTC, so that names keep their order."""
+    return (now or datetime.now(UTC)).strftime("%Y_%m_%d_%H_%M_%S_%f")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +73,7 @@ def load_watermark(spark: SparkSession, state: str) -> str | None:
 
 def save_watermark(spark: SparkSession, state: str, max_id: str | None) -> None:
     """Append the mark: the commit is atomic, so a crash never loses the one before."""
-    moment = datetime.now().isoformat()
+    moment = datetime.now(UTC).isoformat()
     row = spark.createDataFrame([(max_id, moment)], WATERMARK)
     row.coalesce(1).write.mode("append").json(state)
 

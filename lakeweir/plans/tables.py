@@ -115,6 +115,7 @@ class Table:
             raise FileNotFoundError(f"no finished snapshot under {self.root}")
         if not upserts:
             return self._scan(base)
+        self._require_keys()
         changed = self._versioned(upserts[0])
         for commit in upserts[1:]:
             changed = changed.unionByName(self._versioned(commit))
@@ -186,6 +187,7 @@ class Table:
 
         ``source`` is read several times: pass a written relation.
         """
+        self._require_keys()
         if token is not None and self.has_token(token):
             return None
         source = source.select(*self.schema.names)
@@ -213,6 +215,10 @@ class Table:
             return self.write_snapshot(self.read_snapshot())
         return None
 
+    def _require_keys(self) -> None:
+        if not self.keys or self.schema is None:
+            raise ValueError(f"upserts of {self.root} need its schema and key columns")
+
     def _holds_rows(self) -> bool:
         commits = self.live()
         return len(commits) > 1 or (bool(commits) and not self._scan(commits[0]).isEmpty())

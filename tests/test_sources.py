@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeweir.errors import SourceUnreadable
-from lakeweir.functions.runs import ISO_RUN_FORMAT, basename, run_name, run_time
+from lakeweir.functions.runs import ISO_RUN_FORMAT, basename, new_run_name, run_name, run_time
 from lakeweir.operators.curate import conform
 from lakeweir.schemas import raw_of, record
 from lakeweir.sources.raw_json import read_raw_json, split_corrupt
@@ -90,3 +90,5 @@ def test_run_names(spark):
     name = basename(F.col("p"))
     row = df.select(name.alias("n"), run_name(run_time(name)).alias("again")).first()
     assert row["n"] == row["again"] == "2026_02_15_23_29_27_000001"
+    made = spark.createDataFrame([(new_run_name(),)], "p string")
+    assert made.select(run_time(F.col("p"))).first()[0] is not None

@@ -77,6 +77,16 @@ def test_ambiguous_source_is_refused_and_table_stays(spark, root, rewrite):
     assert rows_of(table) == [("a", "x", 1), ("n", "x", 2), ("n", "x", 3)]
 
 
+def test_upserts_need_keys(spark, root):
+    table = keyed(spark, root)
+    table.upsert(frame(spark, [("a", "x", 1)]))
+    table.upsert(frame(spark, [("a", "x", 2)]), rewrite=False)
+    with pytest.raises(ValueError, match="key columns"):
+        read_snapshot(spark, table.root, SCHEMA)
+    with pytest.raises(ValueError, match="key columns"):
+        Table(spark, table.root).upsert(frame(spark, []))
+
+
 def test_small_sources_append_until_they_pile_up(spark, root):
     table = keyed(spark, root, max_upserts=2, max_upsert_share=0.9)
     base = spark.range(5000).select(
