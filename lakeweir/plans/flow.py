@@ -19,7 +19,7 @@ from lakeweir.operators.curate import conform, dedupe_latest, stamp
 from lakeweir.operators.upsert import keep_newest
 from lakeweir.plans.ingest import Ingested, PagedSource, ingest
 from lakeweir.plans.presets import SITE_CHECK
-from lakeweir.plans.tables import Table
+from lakeweir.plans.tables import MAX_UPSERT_SHARE, MAX_UPSERTS, Table
 from lakeweir.sources.raw_json import read_raw_json, split_corrupt
 from lakeweir.sources.runs import latest_run
 from lakeweir.sources.scratch import staged
@@ -37,6 +37,8 @@ class Lake:
     audit: str | None = schemas.AUDIT
     keys: tuple[str, ...] = schemas.KEYS
     partition_by: tuple[str, ...] = schemas.PARTITIONS
+    max_upserts: int = MAX_UPSERTS
+    max_upsert_share: float = MAX_UPSERT_SHARE
     raw_layout: str = "lines"
     run_format: str = RUN_FORMAT
     dedupe_by: Sequence[Column | str] = ()
@@ -58,7 +60,13 @@ class Lake:
 
     def curated(self, spark: SparkSession) -> Table:
         return Table(
-            spark, self.path("silver"), self.curated_schema, self.keys, self.partition_by
+            spark,
+            self.path("silver"),
+            self.curated_schema,
+            self.keys,
+            self.partition_by,
+            self.max_upserts,
+            self.max_upsert_share,
         )
 
     def mart(self, spark: SparkSession) -> Table:
@@ -102,15 +110,16 @@ def upsert_raw(
             log.info("no records in %s", batch)
             table.init_table()
             return
-        if seen["several_runs"]:
-            good = keep_newest(good, lake.keys, schemas.RUN_TIME)
         if lake.dedupe_by:
-            good = dedupe_latest(good, lake.keys, lake.dedupe_by)
-        if seen["several_runs"] or lake.dedupe_by:
-            with staged(good, "latest") as latest:
-                table.upsert(latest, token)
+            later = [F.desc(schemas.RUN_TIME)] if seen["several_runs"] else []
+            chosen = dedupe_latest(good, lake.keys, [*later, *lake.dedupe_by])
+        elif seen["several_runs"]:
+            chosen = keep_newest(good, lake.keys, schemas.RUN_TIME)
         else:
             table.upsert(good, token)
+            return
+        with staged(chosen, "chosen") as rows:
+            table.upsert(rows, token)
 
 
 def curate(

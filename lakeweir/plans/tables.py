@@ -30,6 +30,8 @@ from lakeweir.sources import storage
 from lakeweir.sources.scratch import planned_bytes
 
 BASE, UPSERT = "base", "upsert"
+MAX_UPSERTS = 8
+MAX_UPSERT_SHARE = 0.1
 _FOLDER = re.compile(r"version=(\d+)\.(base|upsert)(?:\.(.+))?")
 _VERSION, _ORIGIN = "__version", "__origin"
 
@@ -51,8 +53,8 @@ class Table:
     schema: T.StructType | None = None
     keys: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-    max_upserts: int = 8
-    max_upsert_share: float = 0.1
+    max_upserts: int = MAX_UPSERTS
+    max_upsert_share: float = MAX_UPSERT_SHARE
 
     # -- commits -----------------------------------------------------------------------
 

@@ -193,6 +193,27 @@ def test_one_batch_over_several_runs_takes_the_later_one(spark, lake):
     ]
 
 
+def test_stream_dedupes_inside_the_later_run(spark, root):
+    lake = Lake(f"{root}/lake", raw_layout="pages", dedupe_by=[F.asc("name")])
+    land(lake, RUNS[0], [site("a", name="A first"), site("b", name="only")])
+    land(lake, RUNS[1], [site("a", name="Z"), site("a", name="M")])
+    assert {r["id"]: r["name"] for r in drain(spark, lake).collect()} == {
+        "s-a": "M", "s-b": "only",
+    }
+
+
+def test_small_runs_become_increments(spark, root):
+    lake = Lake(f"{root}/lake", raw_layout="pages", max_upsert_share=10.0)
+    for number, run in enumerate(RUNS):
+        land(lake, run, [site("a", name=f"n{number}"), site(str(number))])
+        flow.curate(spark, lake)
+    assert [c.kind for c in lake.curated(spark).live()] == ["base", "upsert", "upsert"]
+    silver = lake.curated(spark).read_snapshot()
+    assert silver.count() == 4 and silver.where("id = 's-a'").first()["name"] == "n2"
+    flow.check(spark, lake)
+    assert flow.publish(spark, silver, lake).first()["brewery_count"] == 4
+
+
 def test_replayed_batch_adds_nothing(spark, lake):
     land(lake, RUNS[0], [site("a"), site("b", id=None)])
     assert drain(spark, lake).count() == 2
