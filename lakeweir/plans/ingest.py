@@ -19,11 +19,11 @@ from lakeweir.sources.scratch import new_area
 
 log = logging.getLogger(__name__)
 
-# Page bound, page sizes and sort orders of the two load modes.
+# Page bound, page sizes and sort directions of the two load modes.
 MAX_PAGES = 1000
 FULL, INCREMENTAL = "full", "incremental"
 PER_PAGE = {FULL: 200, INCREMENTAL: 50}
-SORT = {FULL: "id:asc", INCREMENTAL: "id:desc"}
+DIRECTION = {FULL: "asc", INCREMENTAL: "desc"}
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class LoadPlan:
     mode: str
     watermark: str | None
     per_page: int
-    sort: str
+    direction: str
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,8 @@ class Ingested:
 
 @dataclass(frozen=True)
 class PagedSource:
-    """``url`` may hold ``{page}``, ``{per_page}`` and ``{sort}``."""
+    """``url`` may hold ``{page}``, ``{per_page}`` and ``{sort}``, which becomes the key and
+    a direction, as in ``id:asc``."""
 
     url: str
     key: str = "id"
@@ -81,7 +82,7 @@ def save_watermark(spark: SparkSession, state: str, max_id: str | None) -> None:
 def plan_load(watermark: str | None) -> LoadPlan:
     """Incremental above a mark; full without one (absent, null or empty)."""
     mode = INCREMENTAL if watermark else FULL
-    return LoadPlan(mode, watermark or None, PER_PAGE[mode], SORT[mode])
+    return LoadPlan(mode, watermark or None, PER_PAGE[mode], DIRECTION[mode])
 
 
 # -- pages -----------------------------------------------------------------------------
@@ -97,7 +98,7 @@ def fetch_pages(
     long one soon keeps all executors busy. Every wave is written before it is judged,
     so no page is fetched twice.
     """
-    url = source.url.replace("{sort}", plan.sort)
+    url = source.url.replace("{sort}", f"{source.key}:{plan.direction}")
     first, wave = 1, source.first_wave
     stop = None
     while first <= source.max_pages and stop is None:

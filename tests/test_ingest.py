@@ -247,12 +247,12 @@ def test_a_task_stops_at_its_first_empty_page(monkeypatch):
 @pytest.mark.parametrize("mark", [None, ""])
 def test_no_mark_means_full(mark):
     got = plan_load(mark)
-    assert (got.mode, got.per_page, got.sort, got.watermark) == ("full", 200, "id:asc", None)
+    assert (got.mode, got.per_page, got.direction, got.watermark) == ("full", 200, "asc", None)
 
 
 def test_a_mark_means_incremental():
     got = plan_load("k")
-    assert (got.mode, got.per_page, got.sort) == ("incremental", 50, "id:desc")
+    assert (got.mode, got.per_page, got.direction) == ("incremental", 50, "desc")
     assert plan.MAX_PAGES == 1000
 
 
