@@ -68,3 +68,5 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
+
+ORACLE: dict[str, str] = {}
