@@ -5,25 +5,41 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lakeweir.llm import packing, quality_rules, sharding, simhash
-from lakeweir.llm.text import documents
+from lakeweir.llm import (
+    decontamination,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+)
+from lakeweir.llm.text import documents, text_of
 
 SHARDS = 40
 
 
 def op1_sharding(spark, sf_dir):
     rows = documents(spark, sf_dir, "doc_id", "text")
-    shards = sharding.shuffle_into_shards(rows, SHARDS)
     text = F.coalesce(F.col("record.text"), F.lit(""))
-    doc_id = F.col("record.doc_id")
-    return shards.select(
-        doc_id.alias("doc_id"),
+    digests = sharding.shuffle_into_shards(rows, SHARDS).select(
+        "shard",
+        "bucket",
+        "position",
+        F.col("record.doc_id").alias("doc_id"),
         sharding.record_bytes("record.text").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    return sharding.with_slots(digests).select(
+        "doc_id",
+        "size",
+        "text_crc32",
         F.lit("key").alias("law"),
         "shard",
         "slot",
-        sharding.grown_shard_of(doc_id, F.col("shard"), SHARDS).alias("grown_shard"),
+        sharding.grown_shard_of(F.col("doc_id"), F.col("shard"), SHARDS).alias("grown_shard"),
     )
 
 
@@ -53,6 +69,42 @@ def op3_best_fit_packing(spark, sf_dir):
     )
 
 
+def op4_line_dedup(spark, sf_dir):
+    kept = line_dedup.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
+    return kept.select(
+        "doc_id",
+        F.size("removed_lines").alias("n_removed"),
+        F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"),
+        F.sha2(text_of().cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def op5_quality_classifier(spark, sf_dir):
+    """Sources are hosts, languages their paths."""
+    rows = documents(spark, sf_dir, "doc_id", "text", "source", "lang")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.train(rows, labels)
+    return quality_classifier.classify(rows, model, F.col("source"), F.col("lang"))
+
+
+def op6_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.find_leaks(documents(spark, sf_dir, "doc_id", "text"), benchmark)
+
+
+def op8_secret_scans(spark, sf_dir):
+    rows = documents(spark, sf_dir, "doc_id", "text")
+    model = secrets.train(secrets.labelled_samples(rows))
+    found = secrets.scan(rows, model)
+    counts = {kind: F.size(f"secrets.{kind}").cast("long") for kind in secrets.KINDS}
+    return found.select(
+        "doc_id",
+        *(count.alias(f"n_{kind}") for kind, count in counts.items()),
+        F.sha2(secrets.joined(F.col("secrets.base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.joined(F.col("secrets.all")).alias("spans"),
+    )
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
     return found.select(
@@ -62,11 +114,34 @@ def op9_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def op10_toxicity(spark, sf_dir):
+    rows = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+    def held_out(key):
+        return F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2
+
+    sample = toxicity.labelled_sample(rows, labels.where(~held_out("doc_id")))
+    machine = toxicity.train(sample)
+    scored = rows.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        toxicity.score(text_of(), machine).alias("score"),
+    )
+    predicted = (F.col("score") >= toxicity.PREDICT_AT).cast("int")
+    return scored.withColumn("predicted", predicted)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_decontamination": op6_decontamination,
+    "op8_secret_scans": op8_secret_scans,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}

@@ -77,8 +77,8 @@ def shuffle_into_shards(
 ) -> DataFrame:
     """Write ``rows`` as shuffled shards below ``path`` and return them.
 
-    Columns: ``shard``, ``slot`` (place in the shard, gapless from 0), ``record``. Files lie
-    in one folder per shard, sorted by bucket and position.
+    Columns: ``shard``, ``bucket``, ``position`` (place in the bucket), ``record``. Files lie
+    in one folder per shard, sorted by bucket and position; a shard is its buckets in order.
     """
     path = path or new_area(rows.sparkSession, "shards")
     total = rows.agg(F.sum(record_bytes(text))).first()[0] or 0
@@ -102,22 +102,25 @@ def shuffle_into_shards(
     shuffled.sortWithinPartitions("shard", "bucket", "position").write.partitionBy(
         "shard"
     ).parquet(path)
-    return read_shards(rows.sparkSession, path, schema)
+    return rows.sparkSession.read.schema(schema).parquet(path)
 
 
-def read_shards(spark, path: str, schema: T.StructType) -> DataFrame:
-    """The written shards with the slot of each row."""
-    written = spark.read.schema(schema).parquet(path)
+def with_slots(shuffled: DataFrame) -> DataFrame:
+    """Add ``slot``, the place in the shard, gapless from 0.
+
+    Counts and positions are joined by bucket, so select what is needed of ``record`` before:
+    the join then moves only that.
+    """
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = (
-        written.groupBy("shard", "bucket")
+        shuffled.groupBy("shard", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
         )
     )
-    return written.join(starts, ["shard", "bucket"]).select(
-        "shard", (F.col("start") + F.col("position")).alias("slot"), "record"
-    )
+    return shuffled.join(starts, ["shard", "bucket"]).withColumn(
+        "slot", F.col("start") + F.col("position")
+    ).drop("start")

@@ -46,7 +46,7 @@ def test_small_buckets_shuffle_repeatably(spark, sf_dir):
     rows = documents(spark, sf_dir, "doc_id", "text")
 
     def places():
-        out = sharding.shuffle_into_shards(rows, 3, bucket_bytes=20_000)
+        out = sharding.with_slots(sharding.shuffle_into_shards(rows, 3, bucket_bytes=20_000))
         return {(r["shard"], r["slot"]): r["record"]["doc_id"] for r in collect(out)}
 
     first = places()
