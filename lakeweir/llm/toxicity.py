@@ -2,14 +2,17 @@
 
 Words are compared by the gap-weighted subsequence kernel, which counts common subsequences
 of three characters and discounts gaps, so an insult with inserted or dropped characters
-stays close to its plain form. A sentence, and so a text, is described by its greatest
-normalised kernel value with each landmark word; Nyström's map (the inverse square root of
+stays close to its plain form. Values are scaled by the landmark's own, so that what is
+attached to an insult takes nothing from it: a word holding the whole landmark reaches one,
+the most that counts; a power of the values makes near words stand out. A sentence, and so a text, is described by its nearest word to each
+landmark and by its ``NEAREST`` nearest together; Nyström's map (the inverse square root of
 the kernel among landmarks) turns those into features of a linear machine, whose margin a
 fitted sigmoid makes a probability.
 
 Landmarks and machine are learned from labelled sentences of a bounded number of texts.
-Tokens are runs other than white space, lower-cased; long ones are read in overlapping
-pieces, so that whole texts count. Null and empty texts score like any text without a word
+Landmarks are words and word beginnings, so that an insult in all its endings is one.
+Tokens are runs other than white space, lower-cased, with a mark for their beginning; long
+ones are read in overlapping pieces, so that whole texts count. Null and empty texts score like any text without a word
 near a landmark. Rows are scored one by one, so repeats and ties change nothing; extra
 columns stay. With no labelled row of both classes there is nothing to learn and training
 raises ``ValueError``.
@@ -30,10 +33,17 @@ ORDER = 3  # characters in a common subsequence
 DECAY = 0.7
 PIECE = 20  # longest token compared at once
 STEP = 10
-COVER = 0.6  # share of a landmark's letters a word needs for a kernel value above zero
-LANDMARKS = 24
-TRAIN_TEXTS = 6000
-LEAST_TEXTS = 3
+COVER = 0.7  # share of a landmark's bytes a word needs for a kernel value above zero
+NEAREST = 4
+POWER = 4  # of a kernel value: what is near a landmark stands out
+LANDMARKS = 40
+STEMS = (3, 4, 5, 6)  # characters of a word beginning
+STEM_WORDS = 2  # words with a beginning that make it count for a text
+TRAIN_TEXTS = 8000
+LEAST_TEXTS = 5
+LEAST_GAIN = 0.05  # of the best landmark's
+BEGINNING = b"^"
+TEXTS_AT_ONCE = 4000
 PREDICT_AT = 0.3
 
 
@@ -73,59 +83,42 @@ def kernel(left, right, order: int = ORDER, decay: float = DECAY):
     return total * np.float32(decay * decay)
 
 
-def normalised(left, right, order: int = ORDER, decay: float = DECAY):
+def _present(codes):
+    """A bit for each byte of the word, folded into 32."""
     import numpy as np
 
-    own = kernel(left, left, order, decay) * kernel(right, right, order, decay)
-    cross = kernel(left, right, order, decay)
-    return np.divide(cross, np.sqrt(own), out=np.zeros_like(cross), where=own > 0)
-
-
-def _letters(codes):
-    """A bit for each letter a to z in the word; other characters have none."""
-    import numpy as np
-
-    letters = (codes >= 97) & (codes <= 122)
-    bits = np.where(letters, np.left_shift(np.uint32(1), (codes - 97).astype(np.uint32) & 31), 0)
-    return np.bitwise_or.reduce(bits.astype(np.uint32), axis=1)
+    bits = np.left_shift(np.uint32(1), codes.astype(np.uint32) & 31)
+    return np.bitwise_or.reduce(np.where(codes > 0, bits, 0).astype(np.uint32), axis=1)
 
 
 def similarities(words: Sequence[bytes], landmarks: Sequence[bytes]):
-    """Matrix of normalised kernel values; zero for words with too few of the letters."""
+    """Matrix of scaled kernel values up to one, to the ``POWER``; zero for words with too few of the bytes."""
     import numpy as np
 
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     codes, marks = _codes(words), _codes(landmarks)
-    have, want = _letters(codes), _letters(marks)
+    have, want = _present(codes), _present(marks)
     own_mark = kernel(marks, marks)
-    own_word = np.zeros(len(words), dtype=np.float32)
     need = np.ceil(COVER * np.bitwise_count(want))
     near = np.bitwise_count(have[:, None] & want[None, :]) >= need[None, :]
-    some = np.nonzero(near.any(axis=1))[0]
-    for at in range(0, len(some), 20_000):
-        part = some[at : at + 20_000]
-        own_word[part] = kernel(codes[part], codes[part])
     row, column = np.nonzero(near)
     for at in range(0, len(row), 100_000):
         r, c = row[at : at + 100_000], column[at : at + 100_000]
-        cross = kernel(codes[r], marks[c])
-        own = own_word[r] * own_mark[c]
-        out[r, c] = np.divide(cross, np.sqrt(own), out=np.zeros_like(cross), where=own > 0)
+        out[r, c] = np.minimum(kernel(codes[r], marks[c]) / own_mark[c], 1) ** POWER
     return out
 
 
 def tokens(text: bytes) -> set[bytes]:
     out = set()
     for token in set(text.lower().split()):
-        if len(token) <= PIECE:
-            out.add(token)
-        else:
-            out.update(token[at : at + PIECE] for at in range(0, len(token) - STEP, STEP))
+        out.add(BEGINNING + token[:PIECE])
+        out.update(token[at : at + PIECE] for at in range(STEP, len(token) - STEP, STEP))
     return out
 
 
 def text_features(texts: Sequence[bytes], landmarks: Sequence[bytes]):
-    """Per text, the greatest kernel value of any of its words with each landmark."""
+    """Per text and landmark the greatest kernel value of any of its words, then, again per
+    landmark, the mean of the ``NEAREST`` greatest."""
     import numpy as np
 
     place: dict[bytes, int] = {}
@@ -134,13 +127,24 @@ def text_features(texts: Sequence[bytes], landmarks: Sequence[bytes]):
         own = [place.setdefault(token, len(place)) for token in tokens(text)]
         owners.append(np.full(len(own), number))
         members.append(np.array(own, dtype=np.int64))
-    out = np.zeros((len(texts), len(landmarks)), dtype=np.float32)
+    n = len(texts)
+    first = np.zeros((n, len(landmarks)), dtype=np.float32)
+    total = np.zeros((n, len(landmarks)), dtype=np.float32)
     if place:
         values = similarities(list(place), landmarks)
-        members_, owners_ = np.concatenate(members), np.concatenate(owners)
-        hit = values.any(axis=1)[members_]
-        np.maximum.at(out, owners_[hit], values[members_[hit]])
-    return out
+        member, owner = np.concatenate(members), np.concatenate(owners)
+        for mark in range(len(landmarks)):
+            own = values[:, mark][member]
+            hit = np.nonzero(own)[0]
+            # by text, greatest first; the rank within the text tells the nearest ones
+            order = hit[np.lexsort((-own[hit], owner[hit]))]
+            text, value = owner[order], own[order]
+            starts = np.searchsorted(text, text)
+            rank = np.arange(len(text)) - starts
+            first[text[rank == 0], mark] = value[rank == 0]
+            near = rank < NEAREST
+            np.add.at(total[:, mark], text[near], value[near] / NEAREST)
+    return np.hstack([first, total])
 
 
 # -- the machine -----------------------------------------------------------------------
@@ -163,26 +167,46 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -30, 30)))
 
 
-def fit_machine(landmarks: Sequence[bytes], features, labels, epochs: int = 400) -> Machine:
+def fit_machine(
+    landmarks: Sequence[bytes], features, labels, ridge: float = 1e-4, steps: int = 100
+) -> Machine:
     """Squared-hinge linear machine on Nyström features, then Platt's sigmoid."""
     import numpy as np
 
     marks = _codes(landmarks)
     m = len(landmarks)
-    among = normalised(np.repeat(marks, m, axis=0), np.tile(marks, (m, 1))).reshape(m, m)
+    among = kernel(np.repeat(marks, m, axis=0), np.tile(marks, (m, 1))).reshape(m, m)
+    among = (among / np.outer(np.diag(among), np.diag(among)) ** 0.5) ** POWER
     values, vectors = np.linalg.eigh(among.astype(np.float64))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
+    half = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
+    root = np.kron(np.eye(2), half)
     x = features.astype(np.float64) @ root
     y = np.where(np.asarray(labels) > 0, 1.0, -1.0)
     share = (y > 0).mean()
     # both classes weigh the same
     weight = np.where(y > 0, 0.5 / share, 0.5 / (1 - share)) / len(y)
-    w, b = np.zeros(m), 0.0
-    rate = 1 / (2 * (np.einsum("ij,ij->i", x, x) + 1).mean() * 4)
-    for _ in range(epochs):
-        slack = np.maximum(0, 1 - y * (x @ w + b)) * weight * y
-        w += rate * (2 * slack @ x * 4 - 1e-3 * w)
-        b += rate * 2 * slack.sum() * 4
+    # Newton's method on the primal: only texts inside the margin have a slope
+    z = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(2 * m + 1)
+    penalty = np.diag(np.append(np.full(2 * m, ridge), 1e-9))
+
+    def loss(w):
+        slack = np.maximum(0, 1 - y * (z @ w))
+        return w @ penalty @ w / 2 + (weight * slack * slack).sum()
+
+    for _ in range(steps):
+        inside = y * (z @ w) < 1
+        near, force = z[inside], weight[inside]
+        gradient = penalty @ w - 2 * near.T @ (force * (y[inside] - near @ w))
+        curve = penalty + 2 * (near * force[:, None]).T @ near + 1e-9 * np.eye(len(w))
+        move = np.linalg.solve(curve, gradient)
+        size = 1.0
+        while size > 1e-4 and loss(w - size * move) > loss(w):
+            size /= 2
+        w = w - size * move
+        if np.abs(size * move).max() < 1e-7:
+            break
+    w, b = w[:-1], float(w[-1])
     margin = x @ w + b
     slope, shift = 1.0, 0.0
     for _ in range(100):
@@ -202,34 +226,53 @@ def fit_machine(landmarks: Sequence[bytes], features, labels, epochs: int = 400)
 
 
 def pick_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[bytes]:
-    """The words whose presence tells the classes apart best, by a log-likelihood ratio.
+    """The words and word beginnings whose presence tells the classes apart best.
 
-    Words of three to ``PIECE`` letters; only the best ``count`` reach the driver.
+    A beginning counts for a text that has ``STEM_WORDS`` different words with it. Only the
+    best few hundred reach the driver; of related ones the best is taken.
     """
     totals = sample.groupBy("label").count().collect()
     sizes = {row["label"]: row["count"] for row in totals}
     if len(sizes) < 2:
         raise ValueError("labelled texts of both classes are needed")
-    bare = F.regexp_replace(F.lower("text"), r"[^a-z\x20\x09-\x0D]+", "")
+    bare = F.regexp_replace(F.lower("text"), r"[^\p{L}\x20\x09-\x0D]+", "")
     words = sample.select(
-        "label", F.explode(F.array_distinct(words_of(bare))).alias("word")
+        "label",
+        F.xxhash64("text").alias("id"),
+        F.explode(F.array_distinct(words_of(bare))).alias("word"),
     ).where(F.length("word").between(ORDER, PIECE))
-    counted = words.groupBy("word").agg(
+    stems = F.array(*(F.substring("word", 1, size) for size in STEMS))
+    many = (
+        words.where(F.length("word") > min(STEMS))
+        .select("label", "id", "word", F.explode(F.array_distinct(stems)).alias("mark"))
+        .groupBy("label", "id", "mark")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= STEM_WORDS)
+    )
+    marks = words.select("label", "word").toDF("label", "mark").withColumn("stem", F.lit(False))
+    marks = marks.unionByName(many.select("label", "mark", F.lit(True).alias("stem")))
+    counted = marks.groupBy("mark", "stem").agg(
         F.sum(F.col("label").cast("long")).alias("bad"),
         F.sum(1 - F.col("label").cast("long")).alias("good"),
     )
     bad, good = F.col("bad"), F.col("good")
     expected = (bad + good) * (sizes[1] / (sizes[0] + sizes[1]))
-    gain = bad * F.log((bad + 0.5) / expected)
     best = (
         counted.where((bad >= LEAST_TEXTS) & (bad > 2 * expected))
-        .orderBy(F.desc(gain), "word")
-        .limit(count)
+        .select("mark", (bad * F.log((bad + 0.5) / expected)).alias("gain"))
+        .orderBy(F.desc("gain"), "mark")
+        .limit(10 * count)
         .collect()
     )
     if not best:
         raise ValueError("no word tells the classes apart")
-    return [row["word"].encode() for row in best]
+    chosen: list[str] = []
+    for row in best:
+        mark = row["mark"]
+        related = any(mark.startswith(c) or c.startswith(mark) for c in chosen)
+        if not related and len(chosen) < count and row["gain"] >= LEAST_GAIN * best[0]["gain"]:
+            chosen.append(mark)
+    return [BEGINNING + mark.encode() for mark in chosen]
 
 
 def labelled_sample(
@@ -253,15 +296,16 @@ def labelled_sample(
 
 
 def train(sample: DataFrame) -> Machine:
-    sample = written(sample, "toxic-sample")
+    # copies of a text would make its own words look like a mark of its class
+    sample = written(sample.dropDuplicates(["text", "label"]), "toxic-sample")
     landmarks = pick_landmarks(sample)
 
     def describe(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                rows = batch.slice(at, TEXTS_AT_ONCE)
                 values = text_features(rows.column(0).to_pylist(), landmarks)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values.tolist(), pa.list_(pa.float32())), rows.column(1)],
@@ -289,8 +333,8 @@ def score(text: Column, machine: Machine) -> Column:
         import pyarrow as pa
 
         out = []
-        for at in range(0, len(texts), 500):
-            part = texts.slice(at, 500).to_pylist()
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            part = texts.slice(at, TEXTS_AT_ONCE).to_pylist()
             out.append(machine.probabilities(text_features(part, machine.landmarks)))
         return pa.array(np.concatenate(out) if out else [], pa.float64())
 
