@@ -14,6 +14,7 @@ from lakeweir.llm import (
     secrets,
     sharding,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from lakeweir.llm.text import documents, text_of
@@ -92,6 +93,17 @@ def op6_decontamination(spark, sf_dir):
     return decontamination.find_leaks(documents(spark, sf_dir, "doc_id", "text"), benchmark)
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup.cut_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_secret_scans(spark, sf_dir):
     rows = documents(spark, sf_dir, "doc_id", "text")
     model = secrets.train(secrets.labelled_samples(rows))
@@ -139,6 +151,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_decontamination": op6_decontamination,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_secret_scans": op8_secret_scans,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,

@@ -1,0 +1,160 @@
+"""Repeated byte strings against brute force over all windows."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from lakeweir.llm import suffix_dedup
+from lakeweir.llm.queries import QUERIES
+
+MATCH = suffix_dedup.MATCH
+
+
+def collect(frame):
+    return [row.asDict(recursive=True) for row in frame.collect()]
+
+
+def brute_spans(rows):
+    """Covered spans per (doc_id, text) by a table of every window's smallest document."""
+    first = {}
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        if doc_id is not None:
+            for i in range(len(data) - MATCH + 1):
+                window = data[i : i + MATCH]
+                first[window] = min(first.get(window, doc_id), doc_id)
+    out = {}
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        covered = np.zeros(len(data) + 1, dtype=bool)
+        if doc_id is not None:
+            for i in range(len(data) - MATCH + 1):
+                if first[data[i : i + MATCH]] < doc_id:
+                    covered[i : i + MATCH] = True
+        turns = np.nonzero(np.diff(np.concatenate([[0], covered.astype(int)])))[0].tolist()
+        out[doc_id, text] = list(zip(turns[::2], turns[1::2], strict=True))
+    return out
+
+
+def kept(text, spans):
+    data = (text or "").encode()
+    gone = {i for b, e in spans for i in range(b, e)}
+    return bytes(v for i, v in enumerate(data) if i not in gone)
+
+
+def check(frame, rows):
+    got = collect(suffix_dedup.cut_repeats(frame))
+    want = brute_spans(rows)
+    left = sorted(
+        ((d is None, d, spans, kept(t, spans)) for d, t in rows for spans in [want[d, t]]),
+        key=str,
+    )
+    right = sorted(
+        (
+            (
+                r["doc_id"] is None,
+                r["doc_id"],
+                [(s["begin"], s["end"]) for s in r["spans"]],
+                bytes(r["kept"]),
+            )
+            for r in got
+        ),
+        key=str,
+    )
+    assert right == left
+    return want
+
+
+def test_query_matches_brute_force(spark, sf_dir, docs):
+    want = brute_spans(docs)
+    rows = {r["doc_id"]: r for r in collect(QUERIES["op7_suffix_dedup"](spark, sf_dir))}
+    assert len(rows) == len(docs)
+    assert any(want.values())
+    for doc_id, text in docs:
+        r, spans = rows[doc_id], want[doc_id, text]
+        rest = kept(text, spans)
+        assert r["n_bytes"] == len(text.encode())
+        assert r["n_spans"] == len(spans)
+        assert r["n_removed"] == len(text.encode()) - len(rest)
+        assert r["kept_sha256"] == hashlib.sha256(rest).hexdigest()
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_planted_repeats(spark, parts, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 3000)
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return " ".join("".join(rng.choice(list("abcdé"), 3)) for _ in range(n))
+
+    passage, other = words(40), words(30)
+    rows = []
+    for i in range(40):
+        text = words(int(rng.integers(0, 60)))
+        if i % 3 == 0:
+            text += passage[int(rng.integers(0, 30)) : int(rng.integers(60, 160))]
+        if i % 5 == 0:
+            at = int(rng.integers(0, len(text) + 1))
+            text = text[:at] + other + text[at:]
+        rows.append((i * 7 % 41, text))
+    rows += [(100, rows[3][1]), (101, rows[3][1][:-1] + "z"), (50, "a" * 400), (51, "a" * 90)]
+    rows += [(52, "ab" * 30 + "a" * 49), (53, "a" * 49), (54, "a" * 50), (55, "\x00" * 70)]
+    rows += [(56, "x" + "\x00" * 60), (57, None), (58, ""), (None, passage)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    want = check(frame, rows)
+    assert sum(map(len, want.values())) > 10
+
+
+def test_edges(edge_frame, empty_frame):
+    rows = [(r.doc_id, r.text) for r in edge_frame.collect()]
+    check(edge_frame, rows)
+    assert collect(suffix_dedup.cut_repeats(empty_frame)) == []
+
+
+def test_equal_windows_share_an_anchor():
+    rng = np.random.default_rng(2)
+    common = bytes(rng.integers(0, 250, 200, dtype=np.uint8))
+    a = bytes(rng.integers(0, 250, 77, dtype=np.uint8)) + common
+    b = common + bytes(rng.integers(0, 250, 31, dtype=np.uint8))
+
+    def anchors(data):
+        hashes, starts, windows = suffix_dedup.phrases_of(data)
+        assert windows.sum() == len(data) - MATCH + 1
+        return {
+            data[i : i + MATCH]: h
+            for h, s, n in zip(hashes.tolist(), starts.tolist(), windows.tolist(), strict=True)
+            for i in range(s, s + n)
+        }
+
+    left, right = anchors(a), anchors(b)
+    shared = left.keys() & right.keys()
+    assert len(shared) == 200 - MATCH + 1
+    assert all(left[w] == right[w] for w in shared)
+    assert suffix_dedup.phrases_of(b"x" * (MATCH - 1))[2].size == 0
+
+
+def test_run_index_counts_and_places():
+    rng = np.random.default_rng(4)
+    phrases = [bytes(rng.choice(list(b"ab"), int(n)).astype(np.uint8)) for n in (90, 70, 120)]
+    phrases.append(phrases[0][:60])
+    data = b"".join(p + b"\xff" for p in phrases)
+    text = np.frombuffer(data, dtype=np.uint8)
+    index = suffix_dedup.RunIndex(text, depth=8)
+    order, _ = suffix_dedup.suffix_order(text, 8)
+    assert order.tolist() == sorted(range(len(data)), key=lambda i: (data[i : i + 8], i))
+    transform = text[order - 1]
+    assert index.runs == 1 + int((transform[1:] != transform[:-1]).sum())
+    for row in range(0, len(data) + 1, 7):
+        for char in (97, 98):
+            got = index.count_before(np.array([char]), np.array([row]))[0]
+            assert got == int((transform[:row] == char).sum())
+    ends = np.array([i for i in range(8, len(data)) if 255 not in data[i - 8 : i]])
+    length, place = index.matches(text, ends)
+    for end, size, at in zip(ends.tolist(), length.tolist(), place.tolist(), strict=True):
+        string = data[end - 8 : end]
+        places = [i for i in range(len(data)) if data[i : i + 8] == string]
+        assert at == (places[0] if len(places) > 1 else -1)
+        assert (size == 8) == (len(places) > 1)
