@@ -17,6 +17,14 @@ class PageFetchError(LakeError):
     """A page could not be fetched within the allowed attempts."""
 
 
+class PageBoundReached(LakeError):
+    """The page bound a caller set cuts a load short; nothing was landed."""
+
+
+class MissingKey(LakeError):
+    """Records of a paged load carry no key; nothing was landed."""
+
+
 class DuplicateSourceKey(LakeError):
     """Several source rows carry a key that the target already holds."""
 

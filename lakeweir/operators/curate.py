@@ -39,10 +39,16 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def dedupe_latest(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[Column | str],
+    keys_set: bool = False,
 ) -> DataFrame:
     """The first row of every key under ``order_by``; rows with a NULL key are all kept.
 
+    ``keys_set`` says that no key is NULL, which saves a second scan for those rows; where
+    one is after all, the rows without it count as one key.
+
     ``row_number() = 1`` lets Spark cut every group to one row before the shuffle, so a
     key that holds a large share of the rows sends one row per task.
     """
@@ -50,7 +56,6 @@ def dedupe_latest(
     for key in keys:
         keyed = keyed & F.col(key).isNotNull()
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    first = df.where(keyed).withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
-    if not any(df.schema[key].nullable for key in keys):
-        return first
-    return first.unionByName(df.where(~keyed))
+    rows = df if keys_set else df.where(keyed)
+    first = rows.withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
+    return first if keys_set else first.unionByName(df.where(~keyed))

@@ -35,16 +35,16 @@ def assign_pages(
     *,
     page: str = "page",
     partitions: int | None = None,
-    unique: bool = True,
+    unique: bool = False,
 ) -> DataFrame:
     """Number the pages that a server sorting by ``order_by`` would cut.
 
     Rows are range-partitioned and sorted in parallel. The position inside a partition
     plus the rows before the partition give the global position, without a one-task
     window. The sorted relation is written once, because bounds drawn by a second
-    evaluation could differ. ``unique=False`` is for orders with ties: rows then carry
-    their input position as a last sort column, so a value shared by many rows does not
-    end up in one partition.
+    evaluation could differ. Rows carry their input position as a last sort column, so a
+    value shared by many rows does not end up in one partition. ``unique=True`` saves the
+    copy this takes, for orders that are known to have no ties.
     """
     order = list(order_by)
     rows = df

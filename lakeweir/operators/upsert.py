@@ -21,7 +21,7 @@ def _all_set(keys: Sequence[str]):
     return condition
 
 
-def _spread(columns: Sequence[str], ways: int) -> Column:
+def _spread(columns: Sequence[str | Column], ways: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(ways)).cast("int")
 
 
@@ -36,16 +36,16 @@ def match_keys(
 
     Left rows with a NULL key cannot match, but a shuffle on the key alone would send them
     all to one task. The join therefore also compares a spread number: 0 for a complete
-    key, otherwise a number drawn from the columns ``spread_by`` (by default all, which
-    keeps them all in the scan). The 0 is computed from the key, since a constant would be
-    optimised out of the join keys.
+    key, otherwise a number drawn from where the row is read: the columns ``spread_by`` if
+    they tell it, else the input partition. Equal rows spread as well as different ones. The
+    0 is computed from the key, since a constant would be optimised out of the join keys.
 
     The 0 is added after the grouping. The join then shuffles the grouped keys again, which
     is little, and in return AQE sees a plain shuffle on both sides and can split a key
     that many left rows share.
     """
     spread = F.when(_all_set(keys), _spread(keys, 1)).otherwise(
-        _spread(spread_by or left.columns, _SPREAD_WAYS)
+        _spread(spread_by or [F.spark_partition_id()], _SPREAD_WAYS)
     )
     grouped = right.where(_all_set(keys)).groupBy(*keys).agg(measure)
     return (

@@ -314,6 +314,24 @@ ORACLE: dict[str, str] = {
         SELECT country, CAST(NULL AS VARCHAR) AS state, brewery_type, count(*) AS brewery_count
         FROM sites GROUP BY country, brewery_type
     """,
+    "partitioned_overwrite": f"""
+        WITH {SITES}
+        SELECT lpad(CAST(length(state) % 3 AS VARCHAR), 2, '0') AS zone, country,
+               count(*) AS brewery_count
+        FROM sites GROUP BY ALL
+    """,
+    "schema_refused": """
+        SELECT field, problem, (SELECT count(*) FROM customer) AS n_rows
+        FROM (VALUES ('name', 'missing'), ('longitude', 'type'), ('more', 'extra'))
+             AS report(field, problem)
+    """,
+    "stamped_now": f"""
+        WITH {SITES}
+        SELECT country, count(*) AS brewery_count, true AS stamped FROM sites GROUP BY country
+    """,
+    "raw_json_pages": f"""
+        WITH {SITES} SELECT id, name, longitude FROM sites
+    """,
     "saved_watermark": f"""
         WITH {KEYED_EVENTS}
         SELECT 'incremental' AS mode, mark, (SELECT max(key) FROM keyed) AS max_id FROM mark

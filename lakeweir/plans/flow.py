@@ -12,16 +12,16 @@ from pyspark.sql import types as T
 
 from lakeweir import schemas
 from lakeweir.errors import NoRunFound
-from lakeweir.functions.runs import RUN_FORMAT
+from lakeweir.functions.runs import RUN_FORMAT, run_time
 from lakeweir.operators import quality
 from lakeweir.operators.counts import count_by
 from lakeweir.operators.curate import conform, dedupe_latest, stamp
 from lakeweir.operators.upsert import keep_newest
 from lakeweir.plans.ingest import Ingested, PagedSource, ingest
 from lakeweir.plans.presets import SITE_CHECK
-from lakeweir.plans.tables import MAX_UPSERT_SHARE, MAX_UPSERTS, Table
+from lakeweir.plans.tables import FOLD_AFTER, ORDER, Table
 from lakeweir.sources.raw_json import read_raw_json, split_corrupt
-from lakeweir.sources.runs import latest_run
+from lakeweir.sources.runs import runs_until
 from lakeweir.sources.scratch import staged
 
 log = logging.getLogger(__name__)
@@ -37,8 +37,7 @@ class Lake:
     audit: str | None = schemas.AUDIT
     keys: tuple[str, ...] = schemas.KEYS
     partition_by: tuple[str, ...] = schemas.PARTITIONS
-    max_upserts: int = MAX_UPSERTS
-    max_upsert_share: float = MAX_UPSERT_SHARE
+    fold_after: int = FOLD_AFTER
     raw_layout: str = "lines"
     run_format: str = RUN_FORMAT
     dedupe_by: Sequence[Column | str] = ()
@@ -65,8 +64,7 @@ class Lake:
             self.curated_schema,
             self.keys,
             self.partition_by,
-            self.max_upserts,
-            self.max_upsert_share,
+            self.fold_after,
         )
 
     def mart(self, spark: SparkSession) -> Table:
@@ -79,28 +77,34 @@ def fetch(spark: SparkSession, lake: Lake, run: str | None = None) -> Ingested:
     )
 
 
+def source_order(run: Column, run_format: str, file: Column | None = None) -> Column:
+    """Place of a record in the order of its source: the run time, then the file, as text
+    that sorts."""
+    moment = F.date_format(run_time(run, run_format), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return moment if file is None else F.concat_ws("/", moment, file)
+
+
 def upsert_raw(
     raw: DataFrame, lake: Lake, batch: str, as_of=None, token: str | None = None
 ) -> None:
     """Conform raw records and upsert them; damaged ones go to the quarantine folder.
 
     The JSON text is parsed once, into a written copy; the steps after it read columns.
-    Where ``raw`` tells the run time of its records, a later run replaces an earlier one.
+    Where ``raw`` tells the place of its records in the source order, a later one replaces
+    an earlier one.
     """
-    slots = [raw.schema[n] for n in (schemas.CORRUPT, schemas.RUN_TIME) if n in raw.columns]
+    slots = [raw.schema[n] for n in (schemas.CORRUPT, ORDER) if n in raw.columns]
     rows = conform(raw, T.StructType([*lake.curated_schema, *slots]))
     if lake.audit:
         rows = stamp(rows, lake.audit, as_of)
     table = lake.curated(raw.sparkSession)
     with staged(rows, "curated") as parsed:
         good, damaged = split_corrupt(parsed)
-        run_time = (
-            F.col(schemas.RUN_TIME) if schemas.RUN_TIME in parsed.columns else F.lit(None)
-        )
+        order = F.col(ORDER) if ORDER in parsed.columns else F.lit(None)
         seen = parsed.agg(
             F.count(F.lit(1)).alias("all"),
             F.count(schemas.CORRUPT).alias("damaged"),
-            (F.min(run_time) < F.max(run_time)).alias("several_runs"),
+            (F.min(order) < F.max(order)).alias("several"),
         ).first()
         if seen["damaged"]:
             target = lake.path("quarantine", batch)
@@ -111,10 +115,10 @@ def upsert_raw(
             table.init_table()
             return
         if lake.dedupe_by:
-            later = [F.desc(schemas.RUN_TIME)] if seen["several_runs"] else []
+            later = [F.desc(ORDER)] if seen["several"] else []
             chosen = dedupe_latest(good, lake.keys, [*later, *lake.dedupe_by])
-        elif seen["several_runs"]:
-            chosen = keep_newest(good, lake.keys, schemas.RUN_TIME)
+        elif seen["several"]:
+            chosen = keep_newest(good, lake.keys, ORDER)
         else:
             table.upsert(good, token)
             return
@@ -125,20 +129,30 @@ def upsert_raw(
 def curate(
     spark: SparkSession, lake: Lake, as_of=None, point_in_time: str | None = None
 ) -> DataFrame:
-    """Upsert the latest raw run (up to ``point_in_time``) into the curated table."""
-    run = latest_run(spark, lake.raw_data, lake.run_format, point_in_time)
-    if run is None:
+    """Upsert every raw run (up to ``point_in_time``) not curated before, oldest first.
+
+    The commit of a run carries its name, so a run counts once, and one that was missed or
+    failed is taken by the next call.
+    """
+    runs = runs_until(spark, lake.raw_data, lake.run_format, point_in_time)
+    if not runs:
         raise NoRunFound(f"no run folder under {lake.raw_data}")
-    raw = read_raw_json(spark, run, lake.raw_schema, lake.raw_layout)
-    upsert_raw(raw, lake, run.rsplit("/", 1)[-1], as_of)
-    return lake.curated(spark).read_snapshot()
+    table = lake.curated(spark)
+    for run in runs:
+        token = f"run-{run}"
+        if not table.has_token(token):
+            raw = read_raw_json(spark, f"{lake.raw_data}/{run}", lake.raw_schema, lake.raw_layout)
+            raw = raw.withColumn(ORDER, source_order(F.lit(run), lake.run_format))
+            upsert_raw(raw, lake, run, as_of, token)
+    return table.read_snapshot()
 
 
-def check(spark: SparkSession, lake: Lake) -> DataFrame:
+def check(spark: SparkSession, lake: Lake, curated: DataFrame | None = None) -> DataFrame:
     """Evaluated quality report; raises on a wrong schema or a failed error-level check."""
     table = lake.curated(spark)
     quality.require_schema(table.stored_schema(), lake.curated_schema)
-    return quality.gate(quality.verify(table.read_snapshot(), lake.checks))
+    rows = table.read_snapshot() if curated is None else curated
+    return quality.gate(quality.verify(rows, lake.checks))
 
 
 def publish(
@@ -154,9 +168,15 @@ def publish(
 
 
 def run(spark: SparkSession, lake: Lake, as_of=None) -> DataFrame:
-    """All stages in order; a failing stage stops the rest. Returns the mart."""
+    """All stages in order; a failing stage stops the rest. Returns the mart.
+
+    The curated table is resolved once, into a written copy of the columns that the checks
+    and the mart read.
+    """
     if lake.source is not None:
         fetch(spark, lake)
     curated = curate(spark, lake, as_of)
-    check(spark, lake)
-    return publish(spark, curated, lake, as_of)
+    read = {c.column for one in lake.checks for c in one.constraints} | set(lake.mart_dimensions)
+    with staged(curated.select(*[n for n in curated.columns if n in read]), "checked") as rows:
+        check(spark, lake, rows)
+        return publish(spark, rows, lake, as_of)

@@ -1,29 +1,31 @@
-"""Full and incremental ingestion of a paginated source into run folders."""
+"""Full and incremental ingestion of a paginated source into run folders.
+
+Pages come from a paged endpoint (:func:`fetch_pages`) or any relation of page bodies
+(:func:`ingest_pages`). Each body is parsed once, into written (page, key, record) rows from
+which the load is judged and landed.
+"""
 
 from __future__ import annotations
 
-import logging
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweir.errors import PageFetchError
+from lakeweir.errors import MissingKey, PageBoundReached, PageFetchError
 from lakeweir.functions.runs import new_run_name
-from lakeweir.operators.increment import new_watermark, newer_than, stop_page
+from lakeweir.operators.increment import before_stop, new_watermark, newer_than, stop_page
 from lakeweir.schemas import WATERMARK
 from lakeweir.sources import storage
 from lakeweir.sources.paged_json import read_pages, record_texts, text_field
-from lakeweir.sources.scratch import new_area
-
-log = logging.getLogger(__name__)
+from lakeweir.sources.scratch import new_area, staged
 
-# Page bound, page sizes and sort directions of the two load modes.
-MAX_PAGES = 1000
+# Page sizes and sort directions of the two load modes.
 FULL, INCREMENTAL = "full", "incremental"
 PER_PAGE = {FULL: 200, INCREMENTAL: 50}
 DIRECTION = {FULL: "asc", INCREMENTAL: "desc"}
+PARSED = "page BIGINT, n_items BIGINT, record STRING, key STRING"
 
 
 @dataclass(frozen=True)
@@ -40,17 +42,17 @@ class Ingested:
     mode: str
     rows: int
     watermark: str | None
-    bound_reached: bool
 
 
 @dataclass(frozen=True)
 class PagedSource:
     """``url`` may hold ``{page}``, ``{per_page}`` and ``{sort}``, which becomes the key and
-    a direction, as in ``id:asc``."""
+    a direction, as in ``id:asc``. A load that needs more than ``max_pages`` pages fails;
+    by default there is no bound."""
 
     url: str
     key: str = "id"
-    max_pages: int = MAX_PAGES
+    max_pages: int | None = None
     first_wave: int = 8
     options: dict = field(default_factory=dict)
 
@@ -88,46 +90,54 @@ def plan_load(watermark: str | None) -> LoadPlan:
 # -- pages -----------------------------------------------------------------------------
 
 
+def parsed_pages(pages: DataFrame, key: str) -> DataFrame:
+    """One row per record of (page, n_items, body) rows, with its key as text; a page without
+    records keeps a row without one."""
+    return pages.select("page", "n_items", F.explode_outer(record_texts()).alias("record")).select(
+        F.col("page").cast("long").alias("page"),
+        F.col("n_items").cast("long").alias("n_items"),
+        "record",
+        text_field(F.col("record"), key).alias("key"),
+    )
+
+
+def _stop(parsed: DataFrame, plan: LoadPlan) -> DataFrame:
+    """The first page that brings nothing new."""
+    new = F.col("record").isNotNull() if plan.mode == FULL else F.col("key") > plan.watermark
+    counts = parsed.groupBy("page").agg(F.count(F.when(new, 1)).alias("n_new"))
+    return stop_page(counts, F.col("n_new"))
+
+
 def fetch_pages(
     spark: SparkSession, source: PagedSource, plan: LoadPlan, area: str
-) -> tuple[DataFrame, bool]:
-    """Pages before the stop page, written to ``area``, and whether the bound was reached.
+) -> DataFrame:
+    """Parsed pages before the stop page, written to ``area``.
 
     A page is only known to be the last once it is fetched. Pages are therefore read in
     waves that double in size: a short incremental load costs few requests too many, a
     long one soon keeps all executors busy. Every wave is written before it is judged,
-    so no page is fetched twice.
+    so no page is fetched or parsed twice.
     """
     url = source.url.replace("{sort}", f"{source.key}:{plan.direction}")
     first, wave = 1, source.first_wave
-    stop = None
-    while first <= source.max_pages and stop is None:
-        last = min(first + wave - 1, source.max_pages)
+    while True:
+        if source.max_pages is not None and first > source.max_pages:
+            raise PageBoundReached(f"{url} has new records beyond page {source.max_pages}")
+        last = first + wave - 1
+        if source.max_pages is not None:
+            last = min(last, source.max_pages)
         pages = read_pages(spark, url, first, last, per_page=plan.per_page, **source.options)
-        counted = pages.withColumn("n_new", _new_items(source, plan))
         try:
-            counted.write.mode("append").parquet(area)
+            parsed_pages(pages, source.key).write.mode("append").parquet(area)
         except Exception as error:
             if "PAGE_FETCH_FAILED" in str(error):
                 raise PageFetchError(f"pages {first} to {last} of {url}") from error
             raise
-        stop = stop_page(_written_pages(spark, area), F.col("n_new")).first()["stop"]
+        parsed = spark.read.schema(PARSED).parquet(area)
+        stop = _stop(parsed, plan).first()["stop"]
+        if stop is not None:
+            return parsed.where(F.col("page") < stop)
         first, wave = last + 1, wave * 2
-    pages = _written_pages(spark, area)
-    return (pages, True) if stop is None else (pages.where(F.col("page") < stop), False)
-
-
-def _written_pages(spark: SparkSession, area: str) -> DataFrame:
-    return spark.read.schema("page BIGINT, n_items BIGINT, body STRING, n_new BIGINT").parquet(area)
-
-
-def _new_items(source: PagedSource, plan: LoadPlan):
-    if plan.mode == FULL:
-        return F.col("n_items")
-    fresh = F.filter(
-        record_texts(), lambda text: text_field(text, source.key) > F.lit(plan.watermark)
-    )
-    return F.size(fresh).cast("long")
 
 
 def land_raw(records: DataFrame, data_root: str, run: str) -> str:
@@ -148,29 +158,46 @@ def ingest(
     spark: SparkSession, source: PagedSource, data_root: str, state: str, run: str | None = None
 ) -> Ingested:
     """Fetch what is new, land it as one run, then move the high-water mark."""
-    run = run or new_run_name()
     plan = plan_load(load_watermark(spark, state))
     area = new_area(spark, "pages")
     try:
-        pages, bound_reached = fetch_pages(spark, source, plan, area)
-        if bound_reached:
-            log.warning("page bound %s reached in %s load", source.max_pages, plan.mode)
-        fetched = pages.select(F.explode(record_texts()).alias("record")).withColumn(
-            "key", text_field(F.col("record"), source.key)
-        )
-        if plan.mode == INCREMENTAL:
-            fetched = newer_than(fetched, "key", plan.watermark)
-        summary = (
-            new_watermark(fetched, "key", plan.watermark)
-            .withColumn("n_rows", pages.agg(F.coalesce(F.sum("n_new"), F.lit(0))).scalar())
-            .first()
-        )
-        rows, mark = summary["n_rows"], summary["max_id"]
-        if rows:
-            land_texts(fetched.select("record"), data_root, run)
-        # a full load that finds nothing records that it ran; the next one is full again
-        if rows or (plan.mode == FULL and not bound_reached):
-            save_watermark(spark, state, mark)
+        return _land(fetch_pages(spark, source, plan, area), plan, data_root, state, run)
     finally:
         storage.remove(spark, area)
-    return Ingested(run, plan.mode, rows, mark, bound_reached)
+
+
+def ingest_pages(
+    pages: DataFrame, key: str, data_root: str, state: str, run: str | None = None
+) -> Ingested:
+    """Like :func:`ingest` for a relation of (page, n_items, body), in the order of the mode:
+    ascending keys for a full load, descending ones above a mark."""
+    plan = plan_load(load_watermark(pages.sparkSession, state))
+    with staged(parsed_pages(pages, key), "pages") as parsed:
+        return _land(before_stop(parsed, _stop(parsed, plan)), plan, data_root, state, run)
+
+
+def _land(
+    parsed: DataFrame, plan: LoadPlan, data_root: str, state: str, run: str | None
+) -> Ingested:
+    """Land the new records of written pages, then move the mark.
+
+    A record without a key could never be told from a known one, so it stops the load, in
+    either mode, before anything is landed.
+    """
+    spark = parsed.sparkSession
+    run = run or new_run_name()
+    keyless = parsed.where(F.col("key").isNull() & (F.col("n_items") > 0)).count()
+    if keyless:
+        raise MissingKey(f"{keyless} records without a key in run {run}")
+    fresh = parsed.where(F.col("record").isNotNull())
+    if plan.mode == INCREMENTAL:
+        fresh = newer_than(fresh, "key", plan.watermark)
+    marked = new_watermark(fresh, "key", plan.watermark)
+    summary = marked.withColumn("n_rows", fresh.agg(F.count(F.lit(1))).scalar()).first()
+    rows, mark = summary["n_rows"], summary["max_id"]
+    if rows:
+        land_texts(fresh.select("record"), data_root, run)
+    # a full load that finds nothing records that it ran; the next one is full again
+    if rows or plan.mode == FULL:
+        save_watermark(spark, state, mark)
+    return Ingested(run, plan.mode, rows, mark)

@@ -1,13 +1,19 @@
 """Tables as versioned Parquet snapshots.
 
 ``<root>/version=<n>.<kind>[.<token>]/`` holds one commit. A ``base`` is the whole table,
-an ``upsert`` holds rows that replace or extend what lower versions say. A commit counts
-once Spark has left ``_SUCCESS`` in its folder, so a failed write is never read. There is
-one writer at a time, and versions are never changed in place.
+an ``upsert`` holds rows that replace or extend what lower versions say, and a ``fold`` takes
+the place of the upserts since the base. A commit counts once Spark has left ``_SUCCESS`` in
+its folder, so a failed write is never read. There is one writer at a time, and versions are
+never changed in place.
+
+Keyed tables keep one more column in their files, the place of a row in the order of its
+source (a run, or a file of a run). Readers do not see it; a row never replaces one whose
+place is later, so it does not matter how the source is cut into upserts.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -19,20 +25,13 @@ from pyspark.sql import types as T
 
 from lakeweir.errors import DuplicateSourceKey, SchemaConflict
 from lakeweir.functions.values import blank_to_null
-from lakeweir.operators.upsert import (
-    DUPLICATE_MARK,
-    ambiguous_keys,
-    duplicate_keys,
-    keep_newest,
-    merge_by_key,
-)
+from lakeweir.operators.upsert import ambiguous_keys, duplicate_keys, keep_newest
 from lakeweir.sources import storage
-from lakeweir.sources.scratch import planned_bytes
 
-BASE, UPSERT = "base", "upsert"
-MAX_UPSERTS = 8
-MAX_UPSERT_SHARE = 0.1
-_FOLDER = re.compile(r"version=(\d+)\.(base|upsert)(?:\.(.+))?")
+BASE, UPSERT, FOLD = "base", "upsert", "fold"
+FOLD_AFTER = 8
+ORDER = "_source_order"
+_FOLDER = re.compile(r"version=(\d+)\.(base|upsert|fold)(?:\.(.+))?")
 _VERSION, _ORIGIN = "__version", "__origin"
 
 
@@ -46,15 +45,19 @@ class Commit:
 
 @dataclass(frozen=True)
 class Table:
-    """A snapshot table. ``schema`` may be None for tables that are only overwritten."""
+    """A snapshot table. ``schema`` may be None for tables that are only overwritten; with a
+    schema, the table has keys. After ``fold_after`` upserts they become one."""
 
     spark: SparkSession
     root: str
     schema: T.StructType | None = None
     keys: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
-    max_upserts: int = MAX_UPSERTS
-    max_upsert_share: float = MAX_UPSERT_SHARE
+    fold_after: int = FOLD_AFTER
+
+    def __post_init__(self):
+        if self.schema is not None and not self.keys:
+            raise ValueError(f"the table {self.root} needs its key columns")
 
     # -- commits -----------------------------------------------------------------------
 
@@ -71,13 +74,16 @@ class Table:
         return storage.exists(self.spark, f"{commit.path}/_SUCCESS")
 
     def live(self) -> list[Commit]:
-        """The newest finished base and the finished upserts after it, oldest first."""
-        found = []
+        """The newest finished base, and what is finished after it and not folded, oldest
+        first."""
+        found: list[Commit] = []
         for commit in reversed(self._folders()):
-            if self._finished(commit):
-                found.insert(0, commit)
-                if commit.kind == BASE:
-                    return found
+            folded = any(later.kind == FOLD for later in found)
+            if commit.kind != BASE and folded or not self._finished(commit):
+                continue
+            found.insert(0, commit)
+            if commit.kind == BASE:
+                return found
         return []
 
     def exists(self) -> bool:
@@ -97,34 +103,51 @@ class Table:
                 found = self.spark.read.parquet(commit.path).schema
             except AnalysisException:  # a partitioned commit without rows has no files
                 continue
-            fields = [declared.get(f.name, f) if f.name in self.partition_by else f for f in found]
+            fields = [
+                declared.get(f.name, f) if f.name in self.partition_by else f
+                for f in found
+                if f.name != ORDER
+            ]
             if {f.name: f.dataType for f in fields} != {f.name: f.dataType for f in self.schema}:
                 return T.StructType(fields)
         return self.schema
 
+    def _published_schema(self, commit: Commit) -> T.StructType | None:
+        """The schema kept when ``commit`` was written; partition values have no type else."""
+        path = self._schema_path(commit.path)
+        if not storage.exists(self.spark, path):
+            return None
+        return T.StructType.fromJson(json.loads(self.spark.read.text(path).first()[0]))
+
+    def _schema_path(self, path: str) -> str:
+        folder, name = path.rsplit("/", 1)
+        return f"{folder}/_schemas/{name}"
+
     def _scan(self, commit: Commit) -> DataFrame:
-        reader = self.spark.read
-        if self.schema is not None:
-            reader = reader.schema(self.schema)
-        rows = reader.parquet(commit.path)
+        schema = self.schema or self._published_schema(commit)
+        if schema is None:
+            return self.spark.read.parquet(commit.path)
         # partition columns come last in a scan; restore the declared order
-        return rows.select(*self.schema.names) if self.schema is not None else rows
+        return self.spark.read.schema(schema).parquet(commit.path).select(*schema.names)
 
     def read_snapshot(self) -> DataFrame:
         """The current rows."""
-        base, *upserts = self.live() or [None]
+        base, *changes = self.live() or [None]
         if base is None:
             raise FileNotFoundError(f"no finished snapshot under {self.root}")
-        if not upserts:
+        if not changes:
             return self._scan(base)
-        self._require_keys()
-        changed = self._versioned(upserts[0])
-        for commit in upserts[1:]:
+        return self._resolved(base, changes).select(*self.schema.names)
+
+    def _resolved(self, base: Commit | None, changes: Sequence[Commit]) -> DataFrame:
+        """The newest rows of each key, with the columns of the files."""
+        changed = self._versioned(changes[0])
+        for commit in changes[1:]:
             changed = changed.unionByName(self._versioned(commit))
-        rows = self._versioned(base).unionByName(changed)
-        # only the upserts can replace rows, so only their keys are grouped
+        rows = changed if base is None else self._versioned(base).unionByName(changed)
+        # only the changes can replace rows, so only their keys are grouped
         return keep_newest(rows, self.keys, _VERSION, changed, [_ORIGIN]).select(
-            *self.schema.names
+            *self.schema.names, ORDER
         )
 
     def _versioned(self, commit: Commit) -> DataFrame:
@@ -132,9 +155,14 @@ class Table:
         rows without a key and costs no column to read."""
         block = F.concat("_metadata.file_name", F.col("_metadata.file_block_start").cast("string"))
         return (
-            self.spark.read.schema(self.schema)
+            self.spark.read.schema(T.StructType([*self.schema]).add(ORDER, "string"))
             .parquet(commit.path)
-            .select(*self.schema.names, F.lit(commit.version).alias(_VERSION), block.alias(_ORIGIN))
+            .select(
+                *self.schema.names,
+                ORDER,
+                F.lit(commit.version).alias(_VERSION),
+                block.alias(_ORIGIN),
+            )
         )
 
     # -- writing -----------------------------------------------------------------------
@@ -144,6 +172,11 @@ class Table:
         version = folders[-1].version + 1 if folders else 0
         suffix = f".{token}" if token else ""
         path = f"{self.root.rstrip('/')}/version={version:08d}.{kind}{suffix}"
+        if self.schema is None:
+            kept = self.spark.createDataFrame([(df.schema.json(),)], "schema string")
+            kept.coalesce(1).write.text(self._schema_path(path))
+        elif ORDER not in df.columns:
+            df = df.withColumn(ORDER, F.lit(None).cast("string"))
         if self.partition_by:
             for name in self.partition_by:
                 if isinstance(df.schema[name].dataType, T.StringType):
@@ -177,61 +210,55 @@ class Table:
             df = _fit(df, self.read_snapshot().schema, evolve)
         return self.write_snapshot(df)
 
-    def upsert(
-        self, source: DataFrame, token: str | None = None, rewrite: bool | None = None
-    ) -> Commit | None:
-        """Merge ``source`` by key.
+    def upsert(self, source: DataFrame, token: str | None = None) -> Commit | None:
+        """Merge ``source`` by key, as a commit of its own size that the next read resolves.
 
-        By default a small source is added as an ``upsert`` commit, which costs its own
-        size and is resolved at the next read. The whole table is rewritten once upserts
-        pile up, or when they are no longer small against the base. ``rewrite`` forces
-        either way. A ``token`` that is already committed makes the call a no-op.
+        Rows whose key the table holds from a later place in the source order (the column
+        ``ORDER``, where ``source`` has it) are dropped. A ``token`` that is already committed
+        makes the call a no-op.
 
         ``source`` is read several times: pass a written relation.
         """
-        self._require_keys()
+        if self.schema is None:
+            raise ValueError(f"upserts of {self.root} need its schema and key columns")
         if token is not None and self.has_token(token):
             return None
-        source = source.select(*self.schema.names)
+        order = F.col(ORDER) if ORDER in source.columns else F.lit(None).cast("string")
+        source = source.select(*self.schema.names, order.alias(ORDER))
         if not self._holds_rows():
             return self.write_snapshot(source, token)
-        if rewrite is None:
-            rewrite = self._should_rewrite(source)
-        if not rewrite:
-            self._refuse_ambiguous(source)
-            return self._write(source, UPSERT, token)
-        try:
-            return self.write_snapshot(
-                merge_by_key(self.read_snapshot(), source, self.keys), token
-            )
-        except Exception as error:
-            if DUPLICATE_MARK in str(error):
-                raise DuplicateSourceKey(
-                    f"several source rows carry one key of {self.root}"
-                ) from error
-            raise
+        self._refuse_ambiguous(source)
+        commit = self._write(self._without_late(source), UPSERT, token)
+        self._fold()
+        return commit
+
+    def _without_late(self, source: DataFrame) -> DataFrame:
+        base, *changes = self.live()
+        held = self._resolved(base, changes) if changes else self._versioned(base)
+        last = held.agg(F.max(ORDER)).first()[0]
+        first = source.agg(F.min(ORDER)).first()[0]
+        if last is None or first is None or first >= last:
+            return source
+        later = held.where(F.col(ORDER) > first).select(*self.keys, F.col(ORDER).alias("__held"))
+        late = source.select(*self.keys, ORDER).join(later, list(self.keys))
+        late = late.where(F.col("__held") > F.col(ORDER)).select(*self.keys, ORDER).distinct()
+        return source.join(late, [*self.keys, ORDER], "left_anti").select(*source.columns)
+
+    def _fold(self) -> None:
+        """Make one commit of the changes since the base, once there are many."""
+        _, *changes = self.live()
+        if len(changes) > self.fold_after:
+            self._write(self._resolved(None, changes), FOLD, None)
 
     def compact(self) -> Commit | None:
-        """Fold the upserts into a new base."""
-        if len(self.live()) > 1:
-            return self.write_snapshot(self.read_snapshot())
-        return None
-
-    def _require_keys(self) -> None:
-        if not self.keys or self.schema is None:
-            raise ValueError(f"upserts of {self.root} need its schema and key columns")
+        """Rewrite the table as a new base, if anything changed since the last one."""
+        base, *changes = self.live()
+        return self.write_snapshot(self._resolved(base, changes)) if changes else None
 
     def _holds_rows(self) -> bool:
         commits = self.live()
         return len(commits) > 1 or (bool(commits) and not self._scan(commits[0]).isEmpty())
 
-    def _should_rewrite(self, source: DataFrame) -> bool:
-        base, *upserts = self.live()
-        if len(upserts) >= self.max_upserts:
-            return True
-        pending = planned_bytes(source) + sum(planned_bytes(self._scan(c)) for c in upserts)
-        return pending > self.max_upsert_share * planned_bytes(self._scan(base))
-
     def _refuse_ambiguous(self, source: DataFrame) -> None:
         # the target is only scanned when the source has duplicate keys at all
         if duplicate_keys(source, self.keys).isEmpty():

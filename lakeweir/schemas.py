@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
-RUN_TIME = "_run_time"
 AUDIT = "ingestion_at"
 
 
@@ -39,7 +38,7 @@ CURATED = record(
 )
 KEYS = ("id",)
 PARTITIONS = ("country", "state", "city")
-MART_DIMENSIONS = ("country", "state", "city", "brewery_type")
+MART_DIMENSIONS = ("brewery_type", "country", "state", "city")
 MART_COUNT = "brewery_count"
 MART_AUDIT = "update_at"
 WATERMARK = record(max_id="string", timestamp="string")

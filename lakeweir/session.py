@@ -6,10 +6,6 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
-    "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
     "spark.dynamicAllocation.shuffleTracking.enabled": "true",
 }
 

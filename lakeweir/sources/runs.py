@@ -35,3 +35,17 @@ def latest_run(
     runs = spark.createDataFrame([(name,) for name in names], "name string")
     name = latest_of(runs, "name", fmt, as_of).first()["run"]
     return None if name is None else f"{root.rstrip('/')}/{name}"
+
+
+def runs_until(
+    spark: SparkSession, root: str, fmt: str = RUN_FORMAT, as_of: str | None = None
+) -> list[str]:
+    """Names of the run folders under ``root`` up to ``as_of``, oldest first."""
+    names = storage.child_folders(spark, root)
+    if not names:
+        return []
+    runs = spark.createDataFrame([(name,) for name in names], "name string")
+    moment = run_time(F.col("name"), fmt)
+    until = F.lit(True) if as_of is None else moment <= run_time(F.lit(as_of), fmt)
+    ordered = runs.where(moment.isNotNull() & until).orderBy(moment, "name")
+    return [row["name"] for row in ordered.collect()]

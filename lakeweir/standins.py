@@ -10,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakeweir.errors import SchemaCheckFailed
 from lakeweir.functions.runs import run_name
 from lakeweir.operators import quality
 from lakeweir.operators.counts import count_by, rollup_count
@@ -26,10 +28,10 @@ from lakeweir.operators.increment import (
 from lakeweir.operators.upsert import merge_by_key
 from lakeweir.plans import flow, ingest
 from lakeweir.plans.tables import Table
-from lakeweir.schemas import MART_AUDIT, MART_COUNT, MART_DIMENSIONS, raw_of, record
+from lakeweir.schemas import AUDIT, MART_AUDIT, MART_COUNT, MART_DIMENSIONS, raw_of, record
 from lakeweir.sources.raw_json import read_raw_json, split_corrupt
 from lakeweir.sources.runs import latest_of, latest_run
-from lakeweir.sources.scratch import new_area, written
+from lakeweir.sources.scratch import new_area, staged, written
 from lakeweir.streaming.upsert import upsert_new_files
 
 # The columns in use, declared so that no job is spent on reading footers.
@@ -129,7 +131,10 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert source: the newest event per user updates a customer, parts are new, and the
     parts of the smallest size have no key."""
     newest = dedupe_latest(
-        table(spark, sf_dir, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]
+        table(spark, sf_dir, "events"),
+        ["user_id"],
+        [F.desc("ts"), F.desc("event_id")],
+        keys_set=True,
     ).select(
         padded("c-", "user_id").alias("id"),
         F.col("event_type").alias("kind"),
@@ -214,7 +219,8 @@ def stamped_mart(spark, sf_dir):
 
 
 def rollup_region(spark, sf_dir):
-    return rollup_count(sites(spark, sf_dir), MART_DIMENSIONS, MART_COUNT)
+    dimensions = ["country", "state", "city", "brewery_type"]
+    return rollup_count(sites(spark, sf_dir), dimensions, MART_COUNT)
 
 
 def upsert_by_key(spark, sf_dir):
@@ -239,7 +245,10 @@ def cast_projection(spark, sf_dir):
 
 def dedupe_latest_event(spark, sf_dir):
     return dedupe_latest(
-        table(spark, sf_dir, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]
+        table(spark, sf_dir, "events"),
+        ["user_id"],
+        [F.desc("ts"), F.desc("event_id")],
+        keys_set=True,
     )
 
 
@@ -251,14 +260,20 @@ def incremental_filter(spark, sf_dir):
 def incremental_pages(spark, sf_dir):
     events = keyed_events(spark, sf_dir)
     paged = assign_pages(
-        events.select("key", "event_type"), [F.desc("key")], ingest.PER_PAGE[ingest.INCREMENTAL]
+        events.select("key", "event_type"),
+        [F.desc("key")],
+        ingest.PER_PAGE[ingest.INCREMENTAL],
+        unique=True,
     )
     return pages_until_known(paged, "key", seen_mark(events).scalar())
 
 
 def full_load_pages(spark, sf_dir):
     paged = assign_pages(
-        sites(spark, sf_dir).select("id", "state"), ["id"], ingest.PER_PAGE[ingest.FULL]
+        sites(spark, sf_dir).select("id", "state"),
+        ["id"],
+        ingest.PER_PAGE[ingest.FULL],
+        unique=True,
     )
     sizes = paged.groupBy("page").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -274,7 +289,6 @@ def pages_with_ties(spark, sf_dir):
         table(spark, sf_dir, "lineitem").select("l_returnflag"),
         ["l_returnflag"],
         5000,
-        unique=False,
     )
     return paged.groupBy("page", "l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -407,24 +421,26 @@ def _account_table(spark, **limits) -> Table:
 
 
 def snapshot_rewrite(spark, sf_dir):
-    """Create, fill, and upsert a partitioned table by rewriting it."""
+    """Create, fill, and upsert a partitioned table, then rewrite it as one snapshot."""
     accounts_table = _account_table(spark)
     accounts_table.init_table()
     accounts_table.write_snapshot(accounts(spark, sf_dir))
-    accounts_table.upsert(written(changes(spark, sf_dir), "changes"), rewrite=True)
+    with staged(changes(spark, sf_dir), "changes") as source:
+        accounts_table.upsert(source)
+    accounts_table.compact()
     return accounts_table.read_snapshot()
 
 
 def snapshot_append(spark, sf_dir):
     """The same upsert kept as increments that the read resolves: parts first, then events,
-    then everything once more."""
-    accounts_table = _account_table(spark)
-    accounts_table.upsert(written(accounts(spark, sf_dir), "accounts-in"))
-    source = written(changes(spark, sf_dir), "changes")
-    with_key = source.where(F.col("id").isNotNull())
-    accounts_table.upsert(source.where(F.col("id").isNull()), rewrite=False)
-    accounts_table.upsert(with_key.withColumn("amount", F.lit(0.0)), rewrite=False)
-    accounts_table.upsert(with_key, rewrite=False)
+    then everything once more; the last increments are folded."""
+    accounts_table = _account_table(spark, fold_after=2)
+    accounts_table.write_snapshot(accounts(spark, sf_dir))
+    with staged(changes(spark, sf_dir), "changes") as source:
+        with_key = source.where(F.col("id").isNotNull())
+        accounts_table.upsert(source.where(F.col("id").isNull()))
+        accounts_table.upsert(with_key.withColumn("amount", F.lit(0.0)))
+        accounts_table.upsert(with_key)
     return accounts_table.read_snapshot()
 
 
@@ -451,43 +467,73 @@ def saved_watermark(spark, sf_dir):
     )
 
 
-def _serve(paged: DataFrame, folder: str) -> str:
-    """Write page files as a server would answer and return their URL template.
+def partitioned_overwrite(spark, sf_dir):
+    """Publish a mart twice that is partitioned by text values that look like numbers."""
+    zone = F.lpad((F.length("state") % 3).cast("string"), 2, "0")
+    rows = count_by(sites(spark, sf_dir).withColumn("zone", zone), ["zone", "country"], MART_COUNT)
+    mart = Table(spark, new_area(spark, "mart"), partition_by=("zone",))
+    for _ in range(2):
+        mart.overwrite(rows)
+    return mart.read_snapshot()
+
+
+def schema_refused(spark, sf_dir):
+    """The fields for which a table written with another schema is refused before its gate."""
+    lake = _site_lake(spark)
+    other = sites(spark, sf_dir).drop("name").withColumn("longitude", F.lit("east"))
+    kinds = {f.name: f.dataType for f in SITE if f.name != "name"}
+    kinds |= {"longitude": T.StringType(), "more": T.IntegerType()}
+    declared = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+    written_as = Table(spark, lake.path("silver"), declared, lake.keys, lake.partition_by)
+    written_as.write_snapshot(other.withColumn("more", F.lit(1)).select(*declared.names))
+    try:
+        flow.check(spark, lake)
+    except SchemaCheckFailed as refused:
+        rows = [(p["field"], p["problem"]) for p in refused.problems]
+        report = spark.createDataFrame(rows, "field string, problem string")
+        return report.withColumn("n_rows", quality.row_count(other).scalar())
+    raise AssertionError("a wrong schema passed")
+
+
+def stamped_now(spark, sf_dir):
+    """Rows per region, with whether each has the time of the query as its audit time."""
+    stamped = stamp(count_by(sites(spark, sf_dir), ["country"], MART_COUNT), AUDIT)
+    recent = F.col(AUDIT).isNotNull() & (F.col(AUDIT) >= F.current_timestamp())
+    return stamped.select("country", MART_COUNT, recent.alias("stamped"))
+
+
+def raw_json_pages(spark, sf_dir):
+    """Sites as one JSON array per file, the layout of fetched pages, read and conformed."""
+    root = new_area(spark, "raw-pages")
+    relation = sites(spark, sf_dir).select("id", "name", "longitude")
+    bodies = _bodies(assign_pages(relation, ["id"], ingest.PER_PAGE[ingest.FULL], unique=True))
+    path = ingest.land_texts(bodies.select("body"), root, "2024_01_01_00_00_00_000000")
+    schema = record(id="string", name="string", longitude="double")
+    # a text file of several arrays is one array per line
+    return conform(read_raw_json(spark, path, raw_of(schema, audit=None)), schema)
 
-    The paged source opens URLs with the Python standard library, so the checkpoint folder
-    must be a path that every executor has mounted.
-    """
-    root = folder.removeprefix("file://").removeprefix("file:")
-    if ":/" in root:
-        raise ValueError(f"page files need a mounted path, not {folder}")
+
+def _bodies(paged: DataFrame) -> DataFrame:
+    """(page, n_items, body) of a paged relation, with one empty page after the last."""
     fields = [name for name in paged.columns if name != "page"]
     # a page holds per_page records at most
     bodies = paged.groupBy("page").agg(
-        F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("body")
+        F.count(F.lit(1)).alias("n_items"),
+        F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("body"),
+    )
+    end = paged.agg((F.coalesce(F.max("page"), F.lit(0)) + 1).alias("page"))
+    return bodies.unionByName(
+        end.select("page", F.lit(0).cast("long").alias("n_items"), F.lit("[]").alias("body"))
     )
-
-    def write(rows):
-        import os
-
-        os.makedirs(root, exist_ok=True)
-        for row in rows:
-            with open(f"{root}/{row.page}.json", "w", encoding="utf-8") as file:
-                file.write(row.body)
-
-    bodies.foreachPartition(write)
-    return f"file://{root}/{{page}}.json"
 
 
 def _paged_load(spark, paged: DataFrame, key: str, mark: str | None, schema) -> DataFrame:
-    """Serve ``paged``, ingest it above ``mark`` and read the landed run."""
+    """Ingest the pages of ``paged`` above ``mark`` and read the landed run."""
     root = new_area(spark, "paged-load")
-    url = _serve(paged, f"{root}/api")
-    last = paged.agg(F.coalesce(F.max("page"), F.lit(0))).first()[0]
-    source = ingest.PagedSource(url, key, max_pages=last + 1, options={"missing": "empty"})
     state = f"{root}/state"
     if mark is not None:
         ingest.save_watermark(spark, state, mark)
-    done = ingest.ingest(spark, source, f"{root}/data", state)
+    done = ingest.ingest_pages(_bodies(paged), key, f"{root}/data", state)
     landed = read_raw_json(spark, f"{root}/data/{done.run}", raw_of(schema, audit=None))
     return conform(landed, schema).withColumn(
         "next_mark", F.lit(ingest.load_watermark(spark, state))
@@ -495,18 +541,18 @@ def _paged_load(spark, paged: DataFrame, key: str, mark: str | None, schema) ->
 
 
 def paged_full_load(spark, sf_dir):
-    """Sites served in pages of 200 and loaded without a mark."""
+    """Sites in pages of 200, loaded without a mark."""
     relation = sites(spark, sf_dir).select("id", "name", "longitude")
-    paged = assign_pages(relation, ["id"], ingest.PER_PAGE[ingest.FULL])
+    paged = assign_pages(relation, ["id"], ingest.PER_PAGE[ingest.FULL], unique=True)
     schema = record(id="string", name="string", longitude="double")
     return _paged_load(spark, paged, "id", None, schema)
 
 
 def paged_incremental_load(spark, sf_dir):
-    """Events served newest first in pages of 50 and loaded above the mark of a past load."""
+    """Events newest first in pages of 50, loaded above the mark of a past load."""
     events = keyed_events(spark, sf_dir).select("key", "event_type", "value", "ts")
     paged = assign_pages(
-        events.drop("ts"), [F.desc("key")], ingest.PER_PAGE[ingest.INCREMENTAL]
+        events.drop("ts"), [F.desc("key")], ingest.PER_PAGE[ingest.INCREMENTAL], unique=True
     )
     schema = record(key="string", event_type="string", value="double")
     return _paged_load(spark, paged, "key", seen_mark(events).first()["mark"], schema)
@@ -544,23 +590,23 @@ def _land_two_runs(spark, sf_dir, lake: flow.Lake) -> None:
 
 
 def layered_flow(spark, sf_dir):
-    """Curate two raw runs in turn, check the table and publish the mart."""
+    """Land two raw runs, then curate both, check the table and publish the mart."""
     lake = _site_lake(spark)
     _land_two_runs(spark, sf_dir, lake)
-    flow.curate(spark, lake, point_in_time="2024_01_01_12_00_00_000000")
     return flow.run(spark, lake)
 
 
 def stream_upsert(spark, sf_dir):
-    """Drain the first raw run as a stream, then, with the same checkpoint, the second."""
+    """Drain the later raw run as a stream, then, with the same checkpoint, the earlier one,
+    file by file: it changes no row of the later run."""
     lake = _site_lake(spark)
     relation = sites(spark, sf_dir)
     checkpoint = lake.path("_checkpoint")
-    ingest.land_raw(relation, lake.raw_data, "2024_01_01_00_00_00_000000")
-    upsert_new_files(spark, lake, checkpoint).awaitTermination()
     moved = relation.where(F.col("country") == "ASIA").withColumn("brewery_type", F.lit("MOVED"))
     ingest.land_raw(moved, lake.raw_data, "2024_01_02_00_00_00_000000")
     upsert_new_files(spark, lake, checkpoint).awaitTermination()
+    ingest.land_raw(relation, lake.raw_data, "2024_01_01_00_00_00_000000")
+    upsert_new_files(spark, lake, checkpoint, max_files_per_batch=1).awaitTermination()
     return lake.curated(spark).read_snapshot()
 
 
@@ -591,6 +637,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_rewrite": snapshot_rewrite,
     "snapshot_append": snapshot_append,
     "evolved_overwrite": evolved_overwrite,
+    "partitioned_overwrite": partitioned_overwrite,
+    "schema_refused": schema_refused,
+    "stamped_now": stamped_now,
+    "raw_json_pages": raw_json_pages,
     "saved_watermark": saved_watermark,
     "paged_full_load": paged_full_load,
     "paged_incremental_load": paged_incremental_load,

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeweir.functions.runs import run_time
-from lakeweir.plans.flow import Lake, upsert_raw
-from lakeweir.schemas import CORRUPT, RUN_TIME
+from lakeweir.plans.flow import Lake, source_order, upsert_raw
+from lakeweir.plans.tables import ORDER
+from lakeweir.schemas import CORRUPT
 
 
 def upsert_new_files(
@@ -22,8 +23,9 @@ def upsert_new_files(
     """Start a query that drains all raw files not seen before, then ends.
 
     The checkpoint takes the place of both the high-water mark and the search for the
-    latest run. A replayed batch finds its commit token and changes nothing. Where one batch
-    covers several runs, the later run wins; folders whose name is not a run are ignored.
+    latest run. A replayed batch finds its commit token and changes nothing. The later run
+    wins, and within a run the file with the higher name, however files are cut into batches
+    and whenever they arrive; folders whose name is not a run are ignored.
     """
     lake.curated(spark).init_table()
     reader = (
@@ -38,12 +40,10 @@ def upsert_new_files(
         token = f"{name}-{batch_id}"
         upsert_raw(batch, lake, token, as_of, token)
 
-    run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    records = (
-        reader.json(f"{lake.raw_data}/*")
-        .withColumn(RUN_TIME, run_time(run, lake.run_format))
-        .where(F.col(RUN_TIME).isNotNull())
-    )
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    order = source_order(F.element_at(parts, -2), lake.run_format, F.element_at(parts, -1))
+    is_run = run_time(F.element_at(parts, -2), lake.run_format).isNotNull()
+    records = reader.json(f"{lake.raw_data}/*").where(is_run).withColumn(ORDER, order)
     return (
         records.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)

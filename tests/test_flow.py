@@ -10,6 +10,7 @@ from lakeweir import schemas
 from lakeweir.errors import DuplicateSourceKey, NoRunFound, QualityGateError, SchemaCheckFailed
 from lakeweir.plans import flow
 from lakeweir.plans.flow import Lake
+from lakeweir.plans.ingest import PagedSource
 from lakeweir.streaming.upsert import upsert_new_files
 
 NOW = "2024-05-06 07:08:09"
@@ -69,13 +70,41 @@ def test_two_runs_end_to_end(spark, lake):
     assert (row["postal_code"], row["longitude"], str(row["ingestion_at"])) == ("05003", 5.32, NOW)
 
 
-def test_only_the_latest_run_is_curated(spark, lake):
-    land(lake, RUNS[0], [site("a")])
+def test_every_new_run_is_curated_once(spark, lake):
+    land(lake, RUNS[0], [site("a"), site("b", name="old")])
     land(lake, RUNS[1], [site("b")])
     land(lake, "not_a_run", [site("z")])
     os.makedirs(lake.path("bronze", "_metadata"))
-    assert [r["id"] for r in flow.curate(spark, lake).collect()] == ["s-b"]
     assert flow.curate(spark, lake, point_in_time=RUNS[0]).count() == 2
+    land(lake, RUNS[2], [site("c")])
+    rows = {r["id"]: r["name"] for r in flow.curate(spark, lake).collect()}
+    assert rows == {"s-a": "Site a", "s-b": "Site b", "s-c": "Site c"}
+    commits = len(lake.curated(spark)._folders())
+    assert flow.curate(spark, lake).count() == 3
+    assert len(lake.curated(spark)._folders()) == commits
+
+
+def test_runs_fetched_between_two_curations_all_arrive(spark, root):
+    """Fetch, fetch, then the whole flow with a third fetch, from a paged source."""
+    api = f"{root}/api"
+    os.makedirs(api)
+
+    def serve(*keys):
+        for name in os.listdir(api):
+            os.remove(f"{api}/{name}")
+        with open(f"{api}/1.json", "w", encoding="utf-8") as file:
+            json.dump([site(key) for key in sorted(keys, reverse=True)], file)
+
+    source = PagedSource(f"file://{api}/{{page}}.json", options={"missing": "empty", "backoff": 0})
+    lake = Lake(f"{root}/lake", source=source)
+    serve("1", "2")
+    assert flow.fetch(spark, lake).rows == 2
+    serve("1", "2", "3")
+    assert flow.fetch(spark, lake).rows == 1
+    serve("1", "2", "3", "4")
+    mart = flow.run(spark, lake, as_of=NOW)
+    assert mart.first()["brewery_count"] == 4
+    assert lake.curated(spark).read_snapshot().count() == 4
 
 
 def test_no_run(spark, lake):
@@ -105,6 +134,7 @@ def test_duplicate_keys(spark, lake):
     assert flow.curate(spark, lake).count() == 2
     with pytest.raises(QualityGateError, match=r"unique\(id\)"):
         flow.check(spark, lake)
+    land(lake, RUNS[1], [site("a"), site("a", name="other")])
     with pytest.raises(DuplicateSourceKey):
         flow.curate(spark, lake)
 
@@ -203,7 +233,7 @@ def test_stream_dedupes_inside_the_later_run(spark, root):
 
 
 def test_small_runs_become_increments(spark, root):
-    lake = Lake(f"{root}/lake", raw_layout="pages", max_upsert_share=10.0)
+    lake = Lake(f"{root}/lake", raw_layout="pages")
     for number, run in enumerate(RUNS):
         land(lake, run, [site("a", name=f"n{number}"), site(str(number))])
         flow.curate(spark, lake)
@@ -222,3 +252,20 @@ def test_replayed_batch_adds_nothing(spark, lake):
         if name.lstrip(".").startswith("0"):
             os.remove(f"{commits}/{name}")
     assert drain(spark, lake).count() == 2
+
+
+@pytest.mark.parametrize("limit", [None, 1])
+@pytest.mark.parametrize("later_first", [True, False])
+def test_stream_result_does_not_depend_on_batches(spark, lake, limit, later_first):
+    first = (RUNS[0], [site("a", name="first"), site("b", name="first")])
+    second = (RUNS[1], [site("a", name="second")], [site("a", name="last"), site("c")])
+    one, two = (second, first) if later_first else (first, second)
+    land(lake, *one)
+    if limit:
+        drain(spark, lake, max_files_per_batch=limit)
+    land(lake, *two)
+    got = drain(spark, lake, max_files_per_batch=limit)
+    assert {r["id"]: r["name"] for r in got.collect()} == {
+        "s-a": "last", "s-b": "first", "s-c": "Site c",
+    }
+    assert got.count() == 3

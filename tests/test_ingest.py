@@ -9,9 +9,15 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from lakeweir.errors import PageFetchError
-from lakeweir.plans import ingest as plan
-from lakeweir.plans.ingest import PagedSource, ingest, load_watermark, plan_load, save_watermark
+from lakeweir.errors import MissingKey, PageBoundReached, PageFetchError
+from lakeweir.plans.ingest import (
+    PagedSource,
+    ingest,
+    ingest_pages,
+    load_watermark,
+    plan_load,
+    save_watermark,
+)
 from lakeweir.schemas import raw_of, record
 from lakeweir.sources import paged_json
 from lakeweir.sources.paged_json import PagedJsonReader, read_pages, records
@@ -66,9 +72,7 @@ def do(spark, root, source, run):
 def test_full_then_incremental(spark, root, api):
     api.serve(keys(650))
     first = do(spark, root, api.source(), "r1")
-    assert (first.mode, first.rows, first.watermark, first.bound_reached) == (
-        "full", 650, "k00649", False,
-    )
+    assert (first.mode, first.rows, first.watermark) == ("full", 650, "k00649")
     assert landed(spark, root, "r1") == keys(650)
 
     api.serve(keys(650 + 170))
@@ -112,11 +116,48 @@ def test_empty_source_stays_in_full_mode(spark, root, api):
     assert (again.mode, again.rows) == ("full", 3)
 
 
-def test_page_bound(spark, root, api, caplog):
-    api.serve(keys(30), full=5)
-    got = do(spark, root, api.source(max_pages=4), "r")
-    assert (got.rows, got.watermark, got.bound_reached) == (20, "k00019", True)
-    assert "page bound 4" in caplog.text
+@pytest.mark.parametrize("mark", [None, "k00009"])
+def test_a_bound_that_cuts_lands_nothing(spark, root, api, mark):
+    api.serve(keys(30), full=5, incremental=5)
+    if mark:
+        save_watermark(spark, f"{root}/state", mark)
+    with pytest.raises(PageBoundReached):
+        do(spark, root, api.source(max_pages=2), "r1")
+    assert not os.path.exists(f"{root}/data/r1")
+    assert load_watermark(spark, f"{root}/state") == mark
+    wanted = keys(20, 10) if mark else keys(30)
+    assert do(spark, root, api.source(max_pages=7), "r2").rows == len(wanted)
+    assert landed(spark, root, "r2") == wanted
+
+
+def test_loads_have_no_bound_of_their_own(spark, root, api):
+    api.serve(keys(1203), full=1)
+    assert do(spark, root, api.source(options={"pages_per_task": 300}), "r").rows == 1203
+
+
+@pytest.mark.parametrize("mark", [None, "k00001"])
+def test_records_without_a_key_stop_the_load(spark, root, mark):
+    if mark:
+        save_watermark(spark, f"{root}/state", mark)
+    body = '[{"id": "k00002"}, {"n": 1}, {"id": null}]'
+    pages = spark.createDataFrame(
+        [(1, 3, body), (2, 0, "[]")], "page long, n_items long, body string"
+    )
+    with pytest.raises(MissingKey, match="2 records"):
+        ingest_pages(pages, "id", f"{root}/data", f"{root}/state", "r")
+    assert not os.path.exists(f"{root}/data/r")
+    assert load_watermark(spark, f"{root}/state") == mark
+
+
+def test_pages_of_a_relation(spark, root):
+    rows = [(2, 1, '[{"id": "b", "n": 1}]'), (1, 1, '[{"id": "a"}]'), (3, 0, "[]"),
+            (4, 1, '[{"id": "z"}]')]
+    pages = spark.createDataFrame(rows, "page long, n_items long, body string")
+    got = ingest_pages(pages, "id", f"{root}/data", f"{root}/state", "r")
+    assert (got.mode, got.rows, got.watermark) == ("full", 2, "b")
+    assert landed(spark, root, "r") == ["a", "b"]
+    again = ingest_pages(pages, "id", f"{root}/data", f"{root}/state", "s")
+    assert (again.mode, again.rows) == ("incremental", 0)
 
 
 def test_pages_after_a_gap_are_dropped(spark, root, api):
@@ -253,7 +294,6 @@ def test_no_mark_means_full(mark):
 def test_a_mark_means_incremental():
     got = plan_load("k")
     assert (got.mode, got.per_page, got.direction) == ("incremental", 50, "desc")
-    assert plan.MAX_PAGES == 1000
 
 
 @pytest.mark.parametrize(

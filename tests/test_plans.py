@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from lakeweir.operators.counts import count_by, rollup_count
 from lakeweir.operators.curate import dedupe_latest
 from lakeweir.operators.increment import newer_than
 from lakeweir.operators.upsert import match_keys, merge_by_key
+from lakeweir.plans import flow
 from lakeweir.plans.tables import Table
 from lakeweir.schemas import record
 from lakeweir.sources.scratch import written
@@ -76,16 +78,55 @@ def test_merge_broadcasts_the_keys_of_a_small_source(spark):
 def test_rows_without_a_key_spread_over_the_tasks(spark, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        left = spark.range(6000).select(
-            F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v")
+        left = spark.range(0, 6000, 1, 64).select(
+            F.when(F.col("id") < 0, F.col("id")).alias("k"), F.lit("same").alias("v")
         )
         right = spark.createDataFrame([(1, 1)], "k long, v long")
         joined = match_keys(left, right, ["k"], F.count("v").alias("n"))
-        sizes = joined.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        placed = joined.select("k", "v", "n", F.spark_partition_id().alias("task"))
+        assert "SortMergeJoin" in plan(placed)
+        tasks = [row["task"] for row in placed.collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 700
-    assert sum(r["count"] for r in sizes) == 2000
+    sizes = [tasks.count(task) for task in set(tasks)]
+    assert len(sizes) == 4 and max(sizes) < 3000
+    assert sum(sizes) == 6000
+
+
+def test_maps_can_be_merged(spark):
+    schema = "id string, tags map<string, int>"
+    target = spark.createDataFrame([("a", {"x": 1}), ("b", {"x": 2}), (None, {"x": 3})], schema)
+    source = spark.createDataFrame([("b", {"y": 9})], schema)
+    rows = merge_by_key(target, source, ["id"]).collect()
+    assert sorted((r["id"] or "", r["tags"]) for r in rows) == [
+        ("", {"x": 3}), ("a", {"x": 1}), ("b", {"y": 9}),
+    ]
+
+
+def test_dedupe_of_set_keys_scans_once(spark):
+    text = plan(
+        dedupe_latest(table(spark, "events"), ["user_id"], [F.desc("ts")], keys_set=True)
+    )
+    assert text.count("FileScan") == 1
+
+
+def test_check_and_mart_read_the_table_once(spark, root):
+    lake = replace(standins._site_lake(spark), root=f"{root}/lake")
+    standins._land_two_runs(spark, SF_DIR, lake)
+    scans = []
+    kept = flow.staged
+
+    def watched(df, name):
+        if name == "checked":
+            scans.append(plan(df).count("Join"))
+        return kept(df, name)
+
+    flow.staged = watched
+    try:
+        flow.run(spark, lake)
+    finally:
+        flow.staged = kept
+    assert scans == [1]
 
 
 def test_a_hot_target_key_is_split(spark, no_broadcast):
@@ -142,7 +183,7 @@ def test_reading_over_small_increments_does_not_shuffle_the_base(spark, root):
         F.lit("text").alias("wide"),
     )
     lines.upsert(written(base, "base"))
-    lines.upsert(spark.createDataFrame([("3", "A", 1, "x")], schema), rewrite=False)
+    lines.upsert(spark.createDataFrame([("3", "A", 1, "x")], schema))
     text = plan(lines.read_snapshot())
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     pruned = plan(count_by(lines.read_snapshot().where("place = 'A' AND v > 3"), ["place"]))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeweir.errors import DuplicateSourceKey, SchemaConflict
-from lakeweir.plans.tables import Table, read_snapshot
+from lakeweir.plans.tables import ORDER, Table, read_snapshot
 from lakeweir.schemas import record
 from lakeweir.sources.scratch import written
 
@@ -44,62 +44,79 @@ def test_reading_nothing_raises(spark, root):
         keyed(spark, root).read_snapshot()
 
 
-@pytest.mark.parametrize("rewrite", [True, False])
-def test_upsert_cases(spark, root, rewrite):
+def test_upsert_cases(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1), ("b", "x", 1), (None, "x", 1)]))
-    source = frame(spark, [("a", "y", 2), ("c", "x", 2), (None, "x", 2)])
-    commit = table.upsert(source, rewrite=rewrite)
-    assert commit.kind == ("base" if rewrite else "upsert")
+    assert table.upsert(frame(spark, [("a", "y", 2), ("c", "x", 2), (None, "x", 2)])).kind == "upsert"
     want = [("a", "y", 2), ("b", "x", 1), ("c", "x", 2), (None, "x", 1), (None, "x", 2)]
     assert rows_of(table) == sorted(want, key=repr)
+    table.compact()
+    assert rows_of(table) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("rewrite", [True, False])
-def test_upsert_again_changes_nothing(spark, root, rewrite):
+def test_upsert_again_changes_nothing(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1), ("b", "x", 1)]))
     source = frame(spark, [("b", "y", 2), ("c", "y", 2)])
-    table.upsert(source, rewrite=rewrite)
+    table.upsert(source)
     before = rows_of(table)
-    table.upsert(source, rewrite=rewrite)
+    table.upsert(source)
     assert rows_of(table) == before
 
 
-@pytest.mark.parametrize("rewrite", [True, False])
-def test_ambiguous_source_is_refused_and_table_stays(spark, root, rewrite):
+def test_ambiguous_source_is_refused_and_table_stays(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1)]))
     with pytest.raises(DuplicateSourceKey):
-        table.upsert(frame(spark, [("a", "x", 2), ("a", "x", 3)]), rewrite=rewrite)
+        table.upsert(frame(spark, [("a", "x", 2), ("a", "x", 3)]))
     assert rows_of(table) == [("a", "x", 1)]
-    table.upsert(frame(spark, [("n", "x", 2), ("n", "x", 3)]), rewrite=rewrite)
+    table.upsert(frame(spark, [("n", "x", 2), ("n", "x", 3)]))
     assert rows_of(table) == [("a", "x", 1), ("n", "x", 2), ("n", "x", 3)]
 
 
-def test_upserts_need_keys(spark, root):
+def test_keys_are_needed_in_any_state(spark, root):
     table = keyed(spark, root)
-    table.upsert(frame(spark, [("a", "x", 1)]))
-    table.upsert(frame(spark, [("a", "x", 2)]), rewrite=False)
-    with pytest.raises(ValueError, match="key columns"):
-        read_snapshot(spark, table.root, SCHEMA)
+    for step in range(2):
+        table.upsert(frame(spark, [("a", "x", step)]))
+        with pytest.raises(ValueError, match="key columns"):
+            read_snapshot(spark, table.root, SCHEMA)
     with pytest.raises(ValueError, match="key columns"):
         Table(spark, table.root).upsert(frame(spark, []))
 
 
-def test_small_sources_append_until_they_pile_up(spark, root):
-    table = keyed(spark, root, max_upserts=2, max_upsert_share=0.9)
+def test_upserts_fold_into_one_and_the_base_stays(spark, root):
+    table = keyed(spark, root, fold_after=2)
     base = spark.range(5000).select(
         F.col("id").cast("string"), F.lit("x").alias("place"), F.lit(1).alias("v")
     )
     table.upsert(written(base, "base"))
     kinds = []
-    for step in range(4):
-        one = frame(spark, [(str(step), "y", 2)])
-        kinds.append(table.upsert(written(one, "one")).kind)
-    assert kinds == ["upsert", "upsert", "base", "upsert"]
-    assert table.read_snapshot().count() == 5000
-    assert table.read_snapshot().where("place = 'y'").count() == 4
+    for step in range(6):
+        table.upsert(frame(spark, [(str(step % 4), "y", step), (None, "z", step)]))
+        kinds.append([commit.kind for commit in table.live()])
+        assert table.read_snapshot().count() == 5000 + step + 1
+    assert kinds[1] == ["base", "upsert", "upsert"]
+    assert kinds[2] == ["base", "fold"]
+    assert kinds[4] == ["base", "fold"]
+    assert sum(c.kind == "base" for c in table._folders()) == 1
+    newest = table.read_snapshot().where("place = 'y'").collect()
+    assert sorted((r["id"], r["v"]) for r in newest) == [("0", 4), ("1", 5), ("2", 2), ("3", 3)]
+
+
+@pytest.mark.parametrize("order", [(1, 2, 3), (3, 1, 2), (2, 3, 1)])
+def test_a_later_place_in_the_source_order_wins(spark, root, order):
+    table = keyed(spark, root)
+    for place in order:
+        rows = frame(spark, [("a", "x", place), (f"own-{place}", "x", place), (None, "n", place)])
+        table.upsert(rows.withColumn(ORDER, F.lit(f"run-{place}")))
+    assert table.read_snapshot().columns == SCHEMA.names
+    assert table.stored_schema() == SCHEMA
+    got = {r["id"]: r["v"] for r in table.read_snapshot().where("id IS NOT NULL").collect()}
+    assert got == {"a": 3, "own-1": 1, "own-2": 2, "own-3": 3}
+    assert table.read_snapshot().where("id IS NULL").count() == 3
+    table.compact()
+    table.upsert(frame(spark, [("a", "x", 0)]).withColumn(ORDER, F.lit("run-2")))
+    assert table.read_snapshot().where("id = 'a'").first()["v"] == 3
 
 
 steps = st.lists(
@@ -116,12 +133,14 @@ steps = st.lists(
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(steps=steps)
-def test_any_mix_of_appends_and_rewrites_is_a_series_of_updates(spark, steps):
+def test_any_mix_of_upserts_and_rewrites_is_a_series_of_updates(spark, steps):
     table = keyed(spark, tempfile.mkdtemp(prefix="lakeweir-mix-"))
     model, without_key = {}, 0
-    for rows, nulls, place, rewrite in steps:
+    for rows, nulls, place, rewritten in steps:
         source = [(k, place, v) for k, v in rows.items()] + [(None, place, 0)] * nulls
-        table.upsert(frame(spark, source), rewrite=rewrite)
+        table.upsert(frame(spark, source))
+        if rewritten:
+            table.compact()
         model |= {k: (place, v) for k, v in rows.items()}
         without_key += nulls
     got = table.read_snapshot().collect()
@@ -132,7 +151,7 @@ def test_any_mix_of_appends_and_rewrites_is_a_series_of_updates(spark, steps):
 def test_compact(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1)]))
-    table.upsert(frame(spark, [("a", "x", 2)]), rewrite=False)
+    table.upsert(frame(spark, [("a", "x", 2)]))
     before = rows_of(table)
     assert table.compact().kind == "base"
     assert table.compact() is None
@@ -149,11 +168,11 @@ def test_token_makes_a_replay_a_no_op(spark, root):
 def test_unfinished_commit_is_not_read(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1)]))
-    broken = table.upsert(frame(spark, [("a", "x", 2)]), rewrite=True, token="late")
+    broken = table.upsert(frame(spark, [("a", "x", 2)]), token="late")
     os.remove(f"{broken.path}/_SUCCESS")
     assert rows_of(table) == [("a", "x", 1)]
     assert not table.has_token("late")
-    table.upsert(frame(spark, [("a", "x", 3)]), rewrite=True, token="late")
+    table.upsert(frame(spark, [("a", "x", 3)]), token="late")
     assert rows_of(table) == [("a", "x", 3)]
 
 
@@ -186,6 +205,17 @@ def test_one_partition_value_is_split_over_files(spark, root):
     assert table.read_snapshot().count() == 40000
 
 
+def test_partitioned_mart_keeps_its_types(spark, root):
+    mart = Table(spark, f"{root}/m", partition_by=("p",))
+    rows = spark.createDataFrame([("01", 1), ("2", 2), (None, 3)], "p string, n int")
+    for _ in range(2):
+        mart.overwrite(rows)
+        assert mart.read_snapshot().schema == rows.schema
+        assert sorted(map(tuple, mart.read_snapshot().collect()), key=repr) == sorted(
+            map(tuple, rows.collect()), key=repr
+        )
+
+
 def test_overwrite_replaces_even_with_nothing(spark, root):
     mart = Table(spark, f"{root}/m")
     one = spark.createDataFrame([("a", 1)], "k string, n int")
