@@ -200,7 +200,10 @@ def dedup_lines(
     removed = written(removed_lines(documents, key, text, least_words), "removed").select(
         F.col("doc_id").alias("__key"), F.col("removed").alias("__removed")
     )
-    joined = documents.join(removed, F.col(key).cast("long") == F.col("__key"), "left")
+    # a merge join at every size: what is removed grows with the documents
+    joined = documents.join(
+        removed.hint("merge"), F.col(key).cast("long") == F.col("__key"), "left"
+    )
     column = F.col(f"`{text}`")
     left = F.filter(
         F.split(column, "\n", -1), lambda line, at: ~F.array_contains("__removed", at)
