@@ -161,7 +161,10 @@ def removed_lines(
     holders = lines.groupBy("hash").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
     )
-    shared = holders.where(F.col("first") < F.col("last")).select("hash", "first")
+    # written, so that both sides of the join are plain shuffles and a hot line can be split
+    shared = written(
+        holders.where(F.col("first") < F.col("last")).select("hash", "first"), "shared"
+    )
     pairs = written(
         lines.join(shared, "hash")
         .where(F.col("doc_id") > F.col("first"))
