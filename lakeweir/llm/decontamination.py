@@ -148,8 +148,9 @@ def find_leaks(
     )
     # a document has at most as many windows as shingles times lengths; equal keys share them
     wanted = written(starts.groupBy("doc_id").agg(F.collect_list("window").alias("wanted")), "starts")
+    # a merge join at every size: the windows grow with the documents
     windows = (
-        words.join(wanted, "doc_id")
+        words.join(wanted.hint("merge"), "doc_id")
         .select("doc_id", "words", F.explode("wanted").alias("window"))
         .select(
             "doc_id",

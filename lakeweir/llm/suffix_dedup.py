@@ -458,7 +458,8 @@ def repeated_windows(documents: DataFrame, key: str = "doc_id", text: str = "tex
         .groupBy("doc_id")
         .agg(F.collect_list("hashes").alias("shared"))
     )
-    phrases = rows.join(shared, "doc_id").select("doc_id", "text", "shared")
+    # merge joins at every size: what is shared grows with the documents
+    phrases = rows.join(shared.hint("merge"), "doc_id").select("doc_id", "text", "shared")
     return (
         phrases.mapInArrow(_cut_phrases(shards), PHRASE_ROW)
         .groupBy("shard")
@@ -490,7 +491,7 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     rows = documents.select(
         F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
     )
-    joined = rows.join(found, F.col("doc_id") == F.col("__key"), "left").select(
+    joined = rows.join(found.hint("merge"), F.col("doc_id") == F.col("__key"), "left").select(
         "doc_id", "text", "runs"
     )
 
