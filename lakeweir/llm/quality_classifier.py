@@ -12,8 +12,8 @@ documents and are grouped aggregates: combined before the shuffle, so a host wit
 all rows costs no more than another.
 
 Null and empty texts have zero features and a score like any other. A null host or path is a
-site of its own. Rows are scored one by one; an empty table gives an empty one. Training
-raises ``ValueError`` without labelled rows of both classes.
+site of its own. Rows are scored one by one; an empty table gives an empty one. Without
+labelled rows of both classes no text carries evidence, and every score is one half.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def fit(names: Sequence[str], rows, labels, ridge: float = 1e-3, steps: int = 50
 
     x, y = np.asarray(rows, dtype=float), np.asarray(labels, dtype=float)
     if not 0 < y.sum() < len(y):
-        raise ValueError("labelled documents of both classes are needed")
+        return Model(tuple(names), (0.0,) * len(names), 0.0, 0.0)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
     w = np.zeros(z.shape[1])
@@ -170,7 +170,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
         ),
         "paths",
     )
-    whole = paths.agg(F.sum("total") / F.sum("n")).first()[0]
+    whole = paths.agg(F.sum("total") / F.sum("n")).first()[0] or 0.0
     hosts = paths.groupBy("host").agg(
         *(F.sum(name).alias(name) for name in ("n", "total", "squares"))
     )

@@ -14,8 +14,8 @@ Landmarks are words and word beginnings, so that an insult in all its endings is
 Tokens are runs other than white space, lower-cased, with a mark for their beginning; long
 ones are read in overlapping pieces, so that whole texts count. Null and empty texts score like any text without a word
 near a landmark. Rows are scored one by one, so repeats and ties change nothing; extra
-columns stay. With no labelled row of both classes there is nothing to learn and training
-raises ``ValueError``.
+columns stay. Where there is nothing to learn from (no labelled rows of both classes, or no
+word that tells them apart), every text scores zero; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -234,7 +234,7 @@ def pick_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[bytes]:
     totals = sample.groupBy("label").count().collect()
     sizes = {row["label"]: row["count"] for row in totals}
     if len(sizes) < 2:
-        raise ValueError("labelled texts of both classes are needed")
+        return []
     bare = F.regexp_replace(F.lower("text"), r"[^\p{L}\x20\x09-\x0D]+", "")
     words = sample.select(
         "label",
@@ -264,8 +264,6 @@ def pick_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[bytes]:
         .limit(10 * count)
         .collect()
     )
-    if not best:
-        raise ValueError("no word tells the classes apart")
     chosen: list[str] = []
     for row in best:
         mark = row["mark"]
@@ -299,6 +297,8 @@ def train(sample: DataFrame) -> Machine:
     # copies of a text would make its own words look like a mark of its class
     sample = written(sample.dropDuplicates(["text", "label"]), "toxic-sample")
     landmarks = pick_landmarks(sample)
+    if not landmarks:
+        return Machine((), (), 0.0, 0.0, 0.0)
 
     def describe(batches):
         import pyarrow as pa
@@ -326,6 +326,8 @@ def train(sample: DataFrame) -> Machine:
 
 def score(text: Column, machine: Machine) -> Column:
     """Probability that a text is toxic, as a double column."""
+    if not machine.landmarks:
+        return F.lit(0.0)
 
     @F.arrow_udf("double")
     def of(texts):

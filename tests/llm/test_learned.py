@@ -120,8 +120,10 @@ def test_toxicity_edges(spark, edge_frame, empty_frame):
     insult, calm = (r["s"] for r in collect(plain.select(toxicity.score(text_of(), machine).alias("s"))))
     assert insult > 0.3 > calm
     assert collect(empty_frame.select(toxicity.score(text_of(), machine).alias("s"))) == []
-    with pytest.raises(ValueError):
-        toxicity.train(sample.where("label = 0"))
+    for nothing in (sample.where("label = 0"), sample.limit(0), sample.limit(2)):
+        untaught = toxicity.train(nothing)
+        rows = collect(edge_frame.select(toxicity.score(text_of(), untaught).alias("s")))
+        assert {r["s"] for r in rows} == {0.0}
 
 
 # -- quality classifier ----------------------------------------------------------------
@@ -197,5 +199,7 @@ def test_quality_query_and_edges(spark, sf_dir, edge_frame, empty_frame):
     assert len(out) == 11
     assert all(0 < r["score"] < 1 for r in out)
     assert collect(quality_classifier.classify(empty_frame, model, host, F.lit("p"))) == []
-    with pytest.raises(ValueError):
-        quality_classifier.fit(["x"], [[1.0], [2.0]], [1, 1])
+    for labels in ([1, 1], []):
+        untaught = quality_classifier.fit(names, [[1.0] * len(names)] * len(labels), labels)
+        out = collect(quality_classifier.classify(edge_frame, untaught, host, F.lit("p")))
+        assert {round(r["score"], 9) for r in out} == {0.5}
