@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakeweir.sources import storage
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_areas: ContextVar[list[str] | None] = ContextVar("areas", default=None)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,7 +38,25 @@ def _application_root(spark: SparkSession) -> str:
 
 def new_area(spark: SparkSession, name: str) -> str:
     """A fresh folder path for this application below the checkpoint folder."""
-    return f"{_application_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_root(spark)}/{name}-{uuid.uuid4().hex}"
+    areas = _areas.get()
+    if areas is not None:
+        areas.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end whatever was written here inside: relations made in it are to be
+    used in it. A long session puts each piece of work into one."""
+    token = _areas.set([])
+    try:
+        yield
+    finally:
+        areas = _areas.get()
+        _areas.reset(token)
+        for path in areas:
+            storage.remove(spark, path)
 
 
 def clear(spark: SparkSession) -> None:

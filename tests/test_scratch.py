@@ -53,3 +53,15 @@ def test_staged_removes_its_copy(spark):
         assert storage.exists(spark, path)
         assert copy.count() == 3
     assert not storage.exists(spark, path)
+
+
+def test_scope_frees_what_was_written_inside(spark):
+    outside = scratch.written(spark.range(3), "outside")
+    with scratch.scope(spark):
+        inside = scratch.new_area(spark, "inside")
+        spark.range(5).write.parquet(inside)
+        kept = scratch.written(spark.range(4), "kept")
+        assert kept.count() == 4
+        assert storage.exists(spark, inside)
+    assert not storage.exists(spark, inside)
+    assert outside.count() == 3
