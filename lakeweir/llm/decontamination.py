@@ -11,7 +11,8 @@ sum of the greater multiplicities.
 All steps are column expressions. The index of the benchmark is written, so the planner knows
 its size: it is broadcast while under the session's limit and shuffled beyond it.
 
-Words are runs other than ASCII white space, compared without case. Items of fewer than five
+Words are runs other than ASCII white space, without case and without any character but
+letters and digits, so neither marks around words nor signs between them hide a passage. Items of fewer than five
 words, and null or empty ones, have no shingle and match nothing; so do such documents.
 Repeated documents and items give their own rows; an empty table on either side gives none.
 Extra columns are not carried.
@@ -29,10 +30,11 @@ SHINGLE = 5
 RADIUS = 15
 LEAST_SIMILARITY = 0.8
 BITS = 64
+NO_WORD = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
 
 
 def _words(text: str) -> Column:
-    return words_of(F.lower(text_of(text)))
+    return words_of(F.regexp_replace(F.lower(text_of(text)), NO_WORD, ""))
 
 
 def _shingles(words: Column, size: int) -> Column:
