@@ -12,10 +12,10 @@ All steps are column expressions. The index of the benchmark is written, so the
 its size: it is broadcast while under the session's limit and shuffled beyond it.
 
 Words are runs other than ASCII white space, without case and without any character but
-letters and digits, so neither marks around words nor signs between them hide a passage. Items of fewer than five
-words, and null or empty ones, have no shingle and match nothing; so do such documents.
-Repeated documents and items give their own rows; an empty table on either side gives none.
-Extra columns are not carried.
+letters and digits, so neither marks around words nor signs between them hide a passage.
+Items of fewer than five words, and null or empty ones, have no shingle and match nothing; so
+do such documents, and documents without a key. Repeated documents and items give one row;
+an empty table on either side gives none. Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -149,7 +149,8 @@ def find_leaks(
         .distinct()
     )
     # a document has at most as many windows as shingles times lengths; equal keys share them
-    wanted = written(starts.groupBy("doc_id").agg(F.collect_list("window").alias("wanted")), "starts")
+    gathered = starts.groupBy("doc_id").agg(F.collect_list("window").alias("wanted"))
+    wanted = written(gathered, "starts")
     # a merge join at every size: the windows grow with the documents
     windows = (
         words.join(wanted.hint("merge"), "doc_id")
@@ -184,9 +185,10 @@ def find_leaks(
         .distinct()
     )
     similarity = weighted_similarity(F.col("shingles"), F.col("item_shingles"))
+    texts = items.select("item_id", "n_words", "item_shingles").distinct()
     verified = (
         candidates.join(windows.drop("print").distinct(), ["doc_id", "start", "n_words"])
-        .join(items.select("item_id", "n_words", "item_shingles").distinct(), ["item_id", "n_words"])
+        .join(texts, ["item_id", "n_words"])
         .select("doc_id", "item_id", "start", "n_words", "hamming", similarity.alias("similarity"))
         .where(F.col("similarity") >= least_similarity)
     )

@@ -207,13 +207,19 @@ def dedup_lines(
     joined = documents.join(
         removed.hint("merge"), F.col(key).cast("long") == F.col("__key"), "left"
     )
-    column = F.col(f"`{text}`")
+    whole = F.col(f"`{text}`")
     left = F.filter(
-        F.split(column, "\n", -1), lambda line, at: ~F.array_contains("__removed", at)
+        F.split(whole, "\n", -1), lambda line, at: ~F.array_contains("__removed", at)
     )
     rest = F.array_join(left, "\n")
     rest = F.when(F.trim(rest, F.lit(SPACES)) == "", "").otherwise(rest)
-    cut = F.when(F.col("__removed").isNull(), column).otherwise(rest)
-    others = [F.col(f"`{c}`") if c != text else cut.alias(text) for c in documents.columns]
+    cut = F.when(F.col("__removed").isNull(), whole).otherwise(rest)
     lines = F.coalesce("__removed", F.array().cast("array<int>")).alias(name)
-    return joined.select(*(c for c, n in zip(others, documents.columns, strict=True) if n != name), lines)
+    return joined.select(
+        *(
+            cut.alias(text) if column == text else F.col(f"`{column}`")
+            for column in documents.columns
+            if column != name
+        ),
+        lines,
+    )

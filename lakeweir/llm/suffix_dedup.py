@@ -189,7 +189,8 @@ def _find_shared(table):
     order = np.argsort(hashes, kind="stable")
     same = hashes[order][1:] == hashes[order][:-1]
     shared = order[np.append(same, False)[: len(order)] | np.append(False, same)[: len(order)]]
-    docs = np.concatenate([docs[shared], *(_spread(r["told_docs"], r["told_counts"]) for r in rows)])
+    told = [_spread(r["told_docs"], r["told_counts"]) for r in rows]
+    docs = np.concatenate([docs[shared], *told])
     hashes = np.concatenate([hashes[shared], *(_unpacked(r["told_hashes"]) for r in rows)])
     own, counts, packed = _by_document(docs, hashes)
     return pa.table(

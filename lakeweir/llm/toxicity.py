@@ -4,18 +4,20 @@ Words are compared by the gap-weighted subsequence kernel, which counts common s
 of three characters and discounts gaps, so an insult with inserted or dropped characters
 stays close to its plain form. Values are scaled by the landmark's own, so that what is
 attached to an insult takes nothing from it: a word holding the whole landmark reaches one,
-the most that counts; a power of the values makes near words stand out. A sentence, and so a text, is described by its nearest word to each
-landmark and by its ``NEAREST`` nearest together; Nyström's map (the inverse square root of
-the kernel among landmarks) turns those into features of a linear machine, whose margin a
-fitted sigmoid makes a probability.
+the most that counts; a power of the values makes near words stand out. A sentence, and so a
+text, is described by its nearest word to each landmark and by its ``NEAREST`` nearest
+together; Nyström's map (the inverse square root of the kernel among landmarks) turns those
+into features of a linear machine, whose margin a fitted sigmoid makes a probability.
 
 Landmarks and machine are learned from labelled sentences of a bounded number of texts.
 Landmarks are words and word beginnings, so that an insult in all its endings is one.
 Tokens are runs other than white space, lower-cased, with a mark for their beginning; long
-ones are read in overlapping pieces, so that whole texts count. Null and empty texts score like any text without a word
-near a landmark. Rows are scored one by one, so repeats and ties change nothing; extra
-columns stay. Where there is nothing to learn from (no labelled rows of both classes, or no
-word that tells them apart), every text scores zero; an empty table gives an empty one.
+ones are read in overlapping pieces, so that whole texts count.
+
+Null and empty texts score like any text without a word near a landmark. Rows are scored one
+by one, so repeats and ties change nothing; extra columns stay. Where there is nothing to
+learn from (no labelled rows of both classes, or no word that tells them apart), every text
+scores zero; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -92,7 +94,7 @@ def _present(codes):
 
 
 def similarities(words: Sequence[bytes], landmarks: Sequence[bytes]):
-    """Matrix of scaled kernel values up to one, to the ``POWER``; zero for words with too few of the bytes."""
+    """Matrix of scaled kernel values, to the ``POWER``; zero where too few bytes are shared."""
     import numpy as np
 
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)

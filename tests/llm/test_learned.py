@@ -117,7 +117,8 @@ def test_toxicity_edges(spark, edge_frame, empty_frame):
     assert len(scored) == 11
     assert all(0 <= r["s"] <= 1 for r in scored)
     plain = spark.createDataFrame([("such an i.d.i.o.t!",), ("a tree",)], "text string")
-    insult, calm = (r["s"] for r in collect(plain.select(toxicity.score(text_of(), machine).alias("s"))))
+    scored = collect(plain.select(toxicity.score(text_of(), machine).alias("s")))
+    insult, calm = (r["s"] for r in scored)
     assert insult > 0.3 > calm
     assert collect(empty_frame.select(toxicity.score(text_of(), machine).alias("s"))) == []
     for nothing in (sample.where("label = 0"), sample.limit(0), sample.limit(2)):
@@ -138,7 +139,6 @@ def test_quality_of_held_out_rows(spark):
     held = collect(scored.join(labels.where(odd), "doc_id"))
     truth = np.array([r["quality"] for r in held])
     kept = np.array([r["kept"] for r in held])
-    print("auc", auc([r["score"] for r in held], truth), kept[truth == 1].mean(), kept[truth == 0].mean())
     assert auc([r["score"] for r in held], truth) > 0.9
     assert kept[truth == 1].mean() > 0.97
 

@@ -188,7 +188,8 @@ def test_edited_passages(spark, edit):
 
 
 def test_leak_edges(edge_frame, empty_frame, spark):
-    items = spark.createDataFrame([(1, "lorem ipsum dolor sit amet " * 3)], "item_id long, text string")
+    text = "lorem ipsum dolor sit amet " * 3
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
     rows = collect(decontamination.find_leaks(edge_frame, items))
     assert [(r["doc_id"], r["similarity"]) for r in rows] == [(9, 1.0)]
     assert collect(decontamination.find_leaks(empty_frame, items)) == []
