@@ -47,7 +47,8 @@ def test_reading_nothing_raises(spark, root):
 def test_upsert_cases(spark, root):
     table = keyed(spark, root)
     table.upsert(frame(spark, [("a", "x", 1), ("b", "x", 1), (None, "x", 1)]))
-    assert table.upsert(frame(spark, [("a", "y", 2), ("c", "x", 2), (None, "x", 2)])).kind == "upsert"
+    source = frame(spark, [("a", "y", 2), ("c", "x", 2), (None, "x", 2)])
+    assert table.upsert(source).kind == "upsert"
     want = [("a", "y", 2), ("b", "x", 1), ("c", "x", 2), (None, "x", 1), (None, "x", 2)]
     assert rows_of(table) == sorted(want, key=repr)
     table.compact()
