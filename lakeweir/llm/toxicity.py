@@ -45,7 +45,7 @@ TRAIN_TEXTS = 8000
 LEAST_TEXTS = 5
 LEAST_GAIN = 0.05  # of the best landmark's
 BEGINNING = b"^"
-TEXTS_AT_ONCE = 4000
+TEXTS_AT_ONCE = 2000
 PREDICT_AT = 0.3
 
 
