@@ -507,10 +507,10 @@ def raw_json_pages(spark, sf_dir):
     root = new_area(spark, "raw-pages")
     relation = sites(spark, sf_dir).select("id", "name", "longitude")
     bodies = _bodies(assign_pages(relation, ["id"], ingest.PER_PAGE[ingest.FULL], unique=True))
-    path = ingest.land_texts(bodies.select("body"), root, "2024_01_01_00_00_00_000000")
+    path = f"{root}/2024_01_01_00_00_00_000000"
+    bodies.select("body").write.option("maxRecordsPerFile", 1).text(path)
     schema = record(id="string", name="string", longitude="double")
-    # a text file of several arrays is one array per line
-    return conform(read_raw_json(spark, path, raw_of(schema, audit=None)), schema)
+    return conform(read_raw_json(spark, path, raw_of(schema, audit=None), "pages"), schema)
 
 
 def _bodies(paged: DataFrame) -> DataFrame:
