@@ -25,13 +25,15 @@ them is marked at the same offsets of the others. An empty table gives an empty
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeweir.llm.text import text_of
 
 MATCH = 50
-ANCHOR = 24
+ANCHOR = 16
 SHARD_BYTES = 8 << 20  # text a shard answers for
 TEXTS_AT_ONCE = 4000
 SEPARATOR = 255
@@ -65,7 +67,8 @@ def phrases_of(data: bytes, match: int = MATCH, anchor: int = ANCHOR):
     n = len(data) - anchor + 1
     mix = [np.uint64(m) for m in MIX]
     hashes = words[:n] * mix[0]
-    for at, factor in ((8, mix[1]), (anchor - 8, mix[2])):
+    for at, factor in zip(range(8, anchor, 8), mix[1:], strict=False):
+        at = min(at, anchor - 8)
         hashes += words[at : at + n] * factor
     hashes ^= hashes >> np.uint64(32)
     hashes *= mix[3]
@@ -216,36 +219,43 @@ def _cut_phrases(shards: int):
                 rows = batch.slice(at, TEXTS_AT_ONCE).to_pylist()
                 rows.sort(key=lambda r: r["doc_id"])
                 first: dict[bytes, int] = {}
-                sent: dict[int, list] = {}
-                done: dict[int, list] = {}
+                phrases: list[bytes] = []
+                parts = []
                 for row in rows:
                     data, doc = row["text"], row["doc_id"]
                     hashes, starts, windows = phrases_of(data)
-                    known = np.unique(_unpacked(b"".join(row["shared"])))
-                    shared = np.isin(hashes & np.uint64(mask), known)
+                    known = np.sort(_unpacked(b"".join(row["shared"])))
+                    short = hashes & np.uint64(mask)
+                    at_most = np.minimum(np.searchsorted(known, short), len(known) - 1)
+                    shared = known[at_most] == short
                     hashes, starts, windows = hashes[shared], starts[shared], windows[shared]
-                    shard = _shards_of(hashes, shards).tolist()
-                    for number, value, start, count in zip(
-                        shard, hashes.tolist(), starts.tolist(), windows.tolist(), strict=True
-                    ):
-                        phrase = data[start : start + count + MATCH - 1]
-                        if first.setdefault(phrase, doc) == doc:
-                            sent.setdefault(number, []).append((doc, start, value, phrase))
-                        else:
-                            done.setdefault(number, []).append((doc, start, count))
+                    ends = starts + windows + (MATCH - 1)
+                    own = [data[b:e] for b, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+                    # only the first document of equal phrases sends them
+                    new = np.array([first.setdefault(p, doc) == doc for p in own], dtype=bool)
+                    phrases += own
+                    docs = np.full(len(own), doc, dtype=np.int64)
+                    parts.append((docs, starts, windows, hashes, new))
+                docs, starts, windows, hashes, new = (
+                    np.concatenate(column) for column in zip(*parts, strict=True)
+                )
+                shard = _shards_of(hashes, shards)
+                by_shard = np.argsort(shard, kind="stable")
+                cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1))
                 columns: list[list] = [[] for _ in range(9)]
-                for number in sorted(sent.keys() | done.keys()):
-                    own, settled = sent.get(number, []), done.get(number, [])
+                for number in np.unique(shard).tolist():
+                    part = by_shard[cuts[number] : cuts[number + 1]]
+                    sent, done = part[new[part]], part[~new[part]]
                     values = (
                         number,
-                        np.array([e[0] for e in own], np.int64).tobytes(),
-                        np.array([e[1] for e in own], np.int32).tobytes(),
-                        np.array([e[2] for e in own], np.uint64).tobytes(),
-                        np.array([len(e[3]) for e in own], np.int32).tobytes(),
-                        b"".join(e[3] for e in own),
-                        np.array([e[0] for e in settled], np.int64).tobytes(),
-                        np.array([e[1] for e in settled], np.int32).tobytes(),
-                        np.array([e[2] for e in settled], np.int32).tobytes(),
+                        docs[sent].tobytes(),
+                        starts[sent].astype(np.int32).tobytes(),
+                        hashes[sent].astype(np.uint32).tobytes(),
+                        (windows[sent] + (MATCH - 1)).astype(np.int32).tobytes(),
+                        zlib.compress(b"".join(phrases[i] for i in sent.tolist()), 1),
+                        docs[done].tobytes(),
+                        starts[done].astype(np.int32).tobytes(),
+                        windows[done].astype(np.int32).tobytes(),
                     )
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
@@ -270,27 +280,27 @@ def suffix_order(text, depth: int = MATCH):
     padded = np.concatenate([text, np.zeros(depth + 8, dtype=np.uint8)])
 
     def ranked(keys):
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         ordered = keys[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])[:n])
-        return order, rank
+        return rank
 
     def at(rank, shift):
         """Ranks ``shift`` places on, -1 past the end."""
         return np.concatenate([rank[shift:], np.full(min(shift, n), -1, dtype=np.int64)])[:n]
 
-    size = 4
+    size = min(7, depth)
     keys = np.zeros(n, dtype=np.int64)
     for place in range(size):
         keys = keys * 256 + padded[place : place + n]
-    order, rank = ranked(keys)
+    rank = ranked(keys)
     while size < depth:
         step = min(size, depth - size)
         # two overlapping parts of ``size`` bytes make ``size + step``
-        order, rank = ranked(rank * (n + 1) + at(rank, step) + 1)
+        rank = ranked(rank * (n + 1) + at(rank, step) + 1)
         size += step
-    return order, rank
+    return np.argsort(rank * n + np.arange(n)), rank
 
 
 class RunIndex:
@@ -350,7 +360,12 @@ class RunIndex:
         low = np.zeros(len(ends), dtype=np.int64)
         high = np.full(len(ends), self.n, dtype=np.int64)
         for step in range(1, self.depth + 1):
-            char = text[ends[live] - step].astype(np.int64)
+            char = text[ends[live] - step]
+            # rows of one character keep their order in the step, so a stable sort by
+            # character keeps the queries in row order, and neighbours look up near runs
+            order = np.argsort(char, kind="stable")
+            live, low, high = live[order], low[order], high[order]
+            char = char[order].astype(np.int64)
             low = self.below[char] + self.count_before(char, low)
             high = self.below[char] + self.count_before(char, high)
             again = high - low > 1
@@ -360,6 +375,41 @@ class RunIndex:
         return length, place
 
 
+def _places(index: RunIndex, text, starts):
+    """The earliest place of each string of ``MATCH`` bytes, -1 where it does not repeat.
+
+    Strings are grouped by a hash first. A hash that occurs once cannot repeat; of equal ones
+    the first is streamed through the index, and the others compared with what it found.
+    """
+    import numpy as np
+
+    words = np.ndarray((len(text) - 7,), dtype="<u8", buffer=text.tobytes(), strides=(1,))
+    steps = [*range(0, MATCH - 7, 8), MATCH - 8]
+    hashes = np.zeros(len(starts), dtype=np.uint64)
+    for number, step in enumerate(steps):
+        hashes = (hashes ^ words[starts + step]) * np.uint64(MIX[number % len(MIX)])
+        hashes ^= hashes >> np.uint64(29)
+    _, first, group, times = np.unique(
+        hashes, return_index=True, return_inverse=True, return_counts=True
+    )
+    found = np.full(len(first), -1, dtype=np.int64)
+    several = np.nonzero(times > 1)[0]
+
+    def stream(which):
+        parts = [which[at : at + 200_000] for at in range(0, len(which), 200_000)]
+        out = [index.matches(text, starts[part] + MATCH)[1] for part in parts]
+        return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+    found[several] = stream(first[several])
+    place = found[group]
+    same = place >= 0
+    for step in steps:
+        same &= words[starts + step] == words[np.maximum(place, 0) + step]
+    other = np.nonzero(~same & (times[group] > 1))[0]
+    place[other] = stream(other)
+    return place
+
+
 def shard_windows(docs, starts, hashes, phrases):
     """Settle the phrases of a shard: lists (doc, start, windows) of repeated windows.
 
@@ -371,7 +421,7 @@ def shard_windows(docs, starts, hashes, phrases):
     first: dict[bytes, int] = {}
     anchor: dict[bytes, int] = {}
     open_: list[tuple[int, int, bytes]] = []
-    for at in sorted(range(len(docs)), key=lambda i: (docs[i], starts[i])):
+    for at in np.lexsort((starts, docs)).tolist():
         phrase = phrases[at]
         if first.setdefault(phrase, docs[at]) < docs[at]:
             found.append((docs[at], starts[at], len(phrase) - MATCH + 1))
@@ -393,12 +443,9 @@ def shard_windows(docs, starts, hashes, phrases):
     counts = sizes - MATCH + 1
     owner = np.repeat(np.arange(len(listed)), counts)
     window = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    hit = np.zeros(len(owner), dtype=bool)
-    for at in range(0, len(owner), 200_000):
-        part = slice(at, at + 200_000)
-        _, place = index.matches(text, begins[owner[part]] + window[part] + MATCH)
-        earliest = owners[np.searchsorted(begins, np.maximum(place, 0), side="right") - 1]
-        hit[part] = (place >= 0) & (earliest < owners[owner[part]])
+    place = _places(index, text, begins[owner] + window)
+    earliest = owners[np.searchsorted(begins, np.maximum(place, 0), side="right") - 1]
+    hit = (place >= 0) & (earliest < owners[owner])
     edge = np.append(True, (hit[1:] != hit[:-1]) | (owner[1:] != owner[:-1]))
     runs = np.nonzero(edge)[0]
     spans: dict[bytes, list[tuple[int, int]]] = {}
@@ -418,10 +465,10 @@ def _search_shard(table):
     for row in table.to_pylist():
         docs += np.frombuffer(row["docs"], np.int64).tolist()
         starts += np.frombuffer(row["starts"], np.int32).tolist()
-        hashes += np.frombuffer(row["hashes"], np.uint64).tolist()
-        at = 0
+        hashes += np.frombuffer(row["hashes"], np.uint32).tolist()
+        at, data = 0, zlib.decompress(row["bytes"])
         for size in np.frombuffer(row["sizes"], np.int32).tolist():
-            phrases.append(row["bytes"][at : at + size])
+            phrases.append(data[at : at + size])
             at += size
         found += zip(
             np.frombuffer(row["done_docs"], np.int64).tolist(),
