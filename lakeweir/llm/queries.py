@@ -17,6 +17,7 @@ from lakeweir.llm import (
     suffix_dedup,
     toxicity,
 )
+from lakeweir.llm.oracle import ORACLE  # noqa: F401  (registered beside QUERIES)
 from lakeweir.llm.text import documents, text_of
 
 SHARDS = 40
@@ -156,5 +157,3 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLE: dict[str, str] = {}
