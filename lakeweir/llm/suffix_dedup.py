@@ -33,11 +33,12 @@ from pyspark.sql import functions as F
 from lakeweir.llm.text import text_of
 
 MATCH = 50
-ANCHOR = 16
+ANCHOR = 24
 SHARD_BYTES = 8 << 20  # text a shard answers for
+LIST_BYTES = 32 << 20  # the same for the lists of anchors, which are shorter
 TEXTS_AT_ONCE = 4000
 SEPARATOR = 255
-HASH_BYTES = 5  # of an anchor hash that travel; the shard number holds further bits
+HASH_BYTES = 4  # of an anchor hash that travel; the shard number holds further bits
 # Odd multipliers of the anchor hash.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -222,7 +223,7 @@ def _cut_phrases(shards: int):
                 phrases: list[bytes] = []
                 parts = []
                 for row in rows:
-                    data, doc = row["text"], row["doc_id"]
+                    data, doc = zlib.decompress(row["text"]), row["doc_id"]
                     hashes, starts, windows = phrases_of(data)
                     known = np.sort(_unpacked(b"".join(row["shared"])))
                     short = hashes & np.uint64(mask)
@@ -413,7 +414,8 @@ def _places(index: RunIndex, text, starts):
 def shard_windows(docs, starts, hashes, phrases):
     """Settle the phrases of a shard: lists (doc, start, windows) of repeated windows.
 
-    The arguments are parallel lists; ``hashes`` are the phrases' anchors.
+    The arguments are parallel lists; ``hashes`` are low bits of the phrases' anchors, so
+    equal anchors have equal ones.
     """
     import numpy as np
 
@@ -492,14 +494,29 @@ def _search_shard(table):
 # -- over a table ----------------------------------------------------------------------
 
 
+def packed_texts(rows: DataFrame) -> DataFrame:
+    """(doc_id, text) with compressed texts: they are shuffled twice, to meet what was found."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = [zlib.compress(text, 1) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "text"]
+            )
+
+    return rows.mapInArrow(run, "doc_id long, text binary")
+
+
 def repeated_windows(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, starts, windows) of runs of repeated windows, packed as 32-bit numbers."""
     rows = documents.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    listed = rows.mapInArrow(_list_anchors(shards), ANCHOR_ROW)
+    lists, shards = (max(1, -(-size // each)) for each in (LIST_BYTES, SHARD_BYTES))
+    listed = rows.mapInArrow(_list_anchors(lists), ANCHOR_ROW)
     shared = (
         listed.groupBy("shard")
         .applyInArrow(_find_shared, "doc_id long, hashes binary")
@@ -507,7 +524,8 @@ def repeated_windows(documents: DataFrame, key: str = "doc_id", text: str = "tex
         .agg(F.collect_list("hashes").alias("shared"))
     )
     # merge joins at every size: what is shared grows with the documents
-    phrases = rows.join(shared.hint("merge"), "doc_id").select("doc_id", "text", "shared")
+    phrases = packed_texts(rows).join(shared.hint("merge"), "doc_id")
+    phrases = phrases.select("doc_id", "text", "shared")
     return (
         phrases.mapInArrow(_cut_phrases(shards), PHRASE_ROW)
         .groupBy("shard")
@@ -539,9 +557,8 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     rows = documents.select(
         F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
     )
-    joined = rows.join(found.hint("merge"), F.col("doc_id") == F.col("__key"), "left").select(
-        "doc_id", "text", "runs"
-    )
+    joined = packed_texts(rows).join(found.hint("merge"), F.col("doc_id") == F.col("__key"), "left")
+    joined = joined.select("doc_id", "text", "runs")
 
     def run(batches):
         import numpy as np
@@ -552,9 +569,10 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 sizes, spans, kept = [], [], []
-                for data, runs in zip(
+                for packed, runs in zip(
                     part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True
                 ):
+                    data = zlib.decompress(packed)
                     found = []
                     if runs:
                         starts = np.concatenate([np.frombuffer(r["starts"], "<i4") for r in runs])
