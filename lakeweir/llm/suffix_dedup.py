@@ -50,7 +50,7 @@ PHRASE_ROW = (
     "shard int, docs binary, starts binary, hashes binary, sizes binary, bytes binary,"
     " done_docs binary, done_starts binary, done_windows binary"
 )
-FOUND_ROW = "doc_id long, starts binary, windows binary"
+FOUND_ROW = "doc_id long, run long"  # the first window above 32 bits, their number below
 
 
 # -- windows and their anchors ---------------------------------------------------------
@@ -172,17 +172,6 @@ def _list_anchors(shards: int):
     return run
 
 
-def _sliced(values: bytes, counts, size: int):
-    """A binary array cut from ``values`` into ``counts`` items of ``size`` bytes."""
-    import numpy as np
-    import pyarrow as pa
-
-    offsets = np.concatenate([[0], np.cumsum(counts * size)]).astype(np.int32)
-    return pa.Array.from_buffers(
-        pa.binary(), len(counts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values)]
-    )
-
-
 def _find_shared(table):
     import numpy as np
     import pyarrow as pa
@@ -196,37 +185,30 @@ def _find_shared(table):
     told = [_spread(r["told_docs"], r["told_counts"]) for r in rows]
     docs = np.concatenate([docs[shared], *told])
     hashes = np.concatenate([hashes[shared], *(_unpacked(r["told_hashes"]) for r in rows)])
-    own, counts, packed = _by_document(docs, hashes)
-    return pa.table(
-        {
-            "doc_id": np.frombuffer(own, np.int64),
-            "hashes": _sliced(packed, np.frombuffer(counts, np.int32), HASH_BYTES),
-        }
-    )
+    return pa.table({"doc_id": docs, "hash": hashes.astype(np.uint32).view(np.int32)})
 
 
 # -- step 2: phrases around shared anchors ---------------------------------------------
 
 
 def _cut_phrases(shards: int):
-    mask = (1 << (8 * HASH_BYTES)) - 1
-
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                rows = batch.slice(at, TEXTS_AT_ONCE).to_pylist()
-                rows.sort(key=lambda r: r["doc_id"])
+                rows = batch.slice(at, TEXTS_AT_ONCE)
+                rows = rows.sort_by("doc_id")
+                columns_in = (rows.column(0).to_pylist(), rows.column(1).to_pylist())
                 first: dict[bytes, int] = {}
                 phrases: list[bytes] = []
                 parts = []
-                for row in rows:
-                    data, doc = zlib.decompress(row["text"]), row["doc_id"]
+                for doc, packed, known in zip(*columns_in, rows.column(2), strict=True):
+                    data = zlib.decompress(packed)
                     hashes, starts, windows = phrases_of(data)
-                    known = np.sort(_unpacked(b"".join(row["shared"])))
-                    short = hashes & np.uint64(mask)
+                    known = np.sort(known.values.to_numpy().view(np.uint32))
+                    short = hashes.astype(np.uint32)
                     at_most = np.minimum(np.searchsorted(known, short), len(known) - 1)
                     shared = known[at_most] == short
                     hashes, starts, windows = hashes[shared], starts[shared], windows[shared]
@@ -479,16 +461,8 @@ def _search_shard(table):
             strict=True,
         )
     found += shard_windows(docs, starts, hashes, phrases)
-    found.sort()
     columns = np.array(found, dtype=np.int64).reshape(-1, 3)
-    own, counts = np.unique(columns[:, 0], return_counts=True)
-    return pa.table(
-        {
-            "doc_id": own,
-            "starts": _sliced(columns[:, 1].astype(np.int32).tobytes(), counts, 4),
-            "windows": _sliced(columns[:, 2].astype(np.int32).tobytes(), counts, 4),
-        }
-    )
+    return pa.table({"doc_id": columns[:, 0], "run": (columns[:, 1] << 32) + columns[:, 2]})
 
 
 # -- over a table ----------------------------------------------------------------------
@@ -510,7 +484,8 @@ def packed_texts(rows: DataFrame) -> DataFrame:
 
 
 def repeated_windows(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, starts, windows) of runs of repeated windows, packed as 32-bit numbers."""
+    """Rows (doc_id, run) of runs of repeated windows: the first one, shifted by 32 bits, and
+    their number."""
     rows = documents.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
     )
@@ -519,9 +494,9 @@ def repeated_windows(documents: DataFrame, key: str = "doc_id", text: str = "tex
     listed = rows.mapInArrow(_list_anchors(lists), ANCHOR_ROW)
     shared = (
         listed.groupBy("shard")
-        .applyInArrow(_find_shared, "doc_id long, hashes binary")
+        .applyInArrow(_find_shared, "doc_id long, hash int")
         .groupBy("doc_id")
-        .agg(F.collect_list("hashes").alias("shared"))
+        .agg(F.collect_list("hash").alias("shared"))
     )
     # merge joins at every size: what is shared grows with the documents
     phrases = packed_texts(rows).join(shared.hint("merge"), "doc_id")
@@ -551,16 +526,17 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     found = (
         repeated_windows(documents, key, text)
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("starts", "windows")).alias("runs"))
+        .agg(F.collect_list("run").alias("runs"))
         .withColumnRenamed("doc_id", "__key")
     )
     rows = documents.select(
         F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
     )
-    joined = packed_texts(rows).join(found.hint("merge"), F.col("doc_id") == F.col("__key"), "left")
+    matched = F.col("doc_id") == F.col("__key")
+    joined = packed_texts(rows).join(found.hint("merge"), matched, "left")
     joined = joined.select("doc_id", "text", "runs")
 
-    def run(batches):
+    def cut(batches):
         import numpy as np
         import pyarrow as pa
 
@@ -570,14 +546,13 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 sizes, spans, kept = [], [], []
                 for packed, runs in zip(
-                    part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True
+                    part.column(1).to_pylist(), part.column(2), strict=True
                 ):
                     data = zlib.decompress(packed)
                     found = []
-                    if runs:
-                        starts = np.concatenate([np.frombuffer(r["starts"], "<i4") for r in runs])
-                        windows = np.concatenate([np.frombuffer(r["windows"], "<i4") for r in runs])
-                        found = covered_spans(starts.astype(np.int64), windows, len(data))
+                    if runs.is_valid:
+                        run = runs.values.to_numpy()
+                        found = covered_spans(run >> 32, run & 0xFFFFFFFF, len(data))
                     ends = [0, *(end for _, end in found)]
                     begins = [*(begin for begin, _ in found), len(data)]
                     sizes.append(len(data))
@@ -594,6 +569,6 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
                 )
 
     return joined.mapInArrow(
-        run,
+        cut,
         "doc_id long, n_bytes long, spans array<struct<begin: long, end: long>>, kept binary",
     )
