@@ -34,7 +34,7 @@ from lakeweir.llm.text import text_of
 
 MATCH = 50
 ANCHOR = 24
-SHARD_BYTES = 8 << 20  # text a shard answers for
+SHARD_BYTES = 4 << 20  # text a shard answers for
 LIST_BYTES = 32 << 20  # the same for the lists of anchors, which are shorter
 TEXTS_AT_ONCE = 4000
 SEPARATOR = 255
