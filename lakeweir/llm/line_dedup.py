@@ -1,11 +1,15 @@
 """Line dedup by pairwise alignment.
 
-Documents that share a line hash are candidates for alignment. Each later holder of a line is
-paired with its first holder, so a rare hash gives the pairs of a short list and a hash that a
-third of all documents hold still gives only as many pairs as holders; no list is formed.
+Documents that share a passage are candidates for alignment: a passage is a shortest run of
+lines with ``least_words`` words, from each line on and up to each line, so every line of a
+common block that is long enough to go lies in a common passage. Each later holder of a passage
+is paired with its first holder, which holds all of it, so a passage that a third of all
+documents hold still gives only as many pairs as holders; no list is formed.
 A pair is aligned by patience diff, anchored at lines that occur once in each of the two
-documents, and the lines of aligned common blocks go from the later document. Blocks under
-``least_words`` words stay: a short line alone is no copy.
+documents, or at the longest common block where there is no such line. What is left of the later
+document is aligned again, so further copies of a passage are found too. The lines of aligned
+common blocks go from the later document. Blocks under ``least_words`` words stay: a short line
+alone is no copy.
 
 The work runs on arrays of 64-bit line hashes; texts are read again only to cut the lines out.
 Lines are compared without outer white space; blank lines carry no hash, and go when a whole
@@ -86,6 +90,7 @@ def patience_match(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
         common = [(i, in_b[v]) for v, i in in_a.items() if v in in_b]
         common.sort()
         chain = [common[k] for k in _longest_increasing([j for _, j in common])]
+        chain = chain or _longest_block(a, b, a0, a1, b0, b1)
         for i, j in chain:
             matched.append((i, j))
         edges = [(a0 - 1, b0 - 1), *chain, (a1, b1)] if chain else []
@@ -102,10 +107,75 @@ def _once(lines: Sequence[int], start: int, end: int) -> dict[int, int]:
     return {value: at for value, at in seen.items() if at >= 0 and value}
 
 
+def _longest_block(a, b, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
+    """A longest run of equal lines of both ranges, without blank ones (suffix automaton)."""
+    both = set(a[a0:a1]) & set(b[b0:b1]) - {0}
+    if not both:
+        return []
+    step: list[dict[int, int]] = [{}]
+    link, length, end = [-1], [0], [-1]
+    last = 0
+    for at in range(a0, a1):
+        # lines only one side has are separators, each unlike any other
+        line = a[at] if a[at] in both else ("", at)
+        new = len(step)
+        step.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        end.append(at)
+        node = last
+        while node >= 0 and line not in step[node]:
+            step[node][line] = new
+            node = link[node]
+        if node >= 0:
+            other = step[node][line]
+            if length[other] == length[node] + 1:
+                link[new] = other
+            else:
+                copy = len(step)
+                step.append(dict(step[other]))
+                length.append(length[node] + 1)
+                link.append(link[other])
+                end.append(end[other])
+                while node >= 0 and step[node].get(line) == other:
+                    step[node][line] = copy
+                    node = link[node]
+                link[other] = link[new] = copy
+        last = new
+    node = size = most = i = j = 0
+    for at in range(b0, b1):
+        while node and b[at] not in step[node]:
+            node = link[node]
+            size = length[node]
+        if b[at] in step[node]:
+            node, size = step[node][b[at]], size + 1
+        if size > most:
+            most, i, j = size, end[node], at
+    return [(i - k, j - k) for k in range(most - 1, -1, -1)]
+
+
 def common_blocks(
     earlier: Sequence[int], later: Sequence[int], words: Sequence[int], least_words: int
 ) -> list[int]:
-    """Lines of ``later`` inside aligned blocks of at least ``least_words`` words."""
+    """Lines of ``later`` inside aligned blocks of at least ``least_words`` words.
+
+    The parts between them are aligned with all of ``earlier`` again while that finds blocks.
+    """
+    out: list[int] = []
+    parts = [(0, len(later))]
+    while parts:
+        start, stop = parts.pop()
+        if sum(words[start:stop]) < least_words:
+            continue
+        found = _aligned_blocks(earlier, later[start:stop], words[start:stop], least_words)
+        out += [start + at for at in found]
+        if found:
+            edges = [start - 1, *(start + at for at in found), stop]
+            parts += [(p + 1, q) for p, q in zip(edges, edges[1:], strict=False) if p + 1 < q]
+    return sorted(out)
+
+
+def _aligned_blocks(earlier, later, words, least_words: int) -> list[int]:
     out: list[int] = []
     block: list[int] = []
     last = (-2, -2)
@@ -142,6 +212,57 @@ def _align(least_words: int):
 # -- over a table ----------------------------------------------------------------------
 
 
+def passages(lines: Sequence[int], words: Sequence[int], least_words: int) -> set[int]:
+    """Hashes of the shortest runs of lines with ``least_words`` words, from each line that is
+    not blank on and up to each such line."""
+    import struct
+
+    import xxhash
+
+    runs = set()
+    stop = total = 0
+    for start in range(len(lines)):
+        while stop < len(lines) and total < least_words:
+            total += words[stop]
+            stop += 1
+        if total < least_words:
+            break
+        if lines[start]:
+            runs.add((start, stop))
+        total -= words[start]
+    start = total = 0
+    for stop in range(1, len(lines) + 1):
+        total += words[stop - 1]
+        while total - words[start] >= least_words and start < stop - 1:
+            total -= words[start]
+            start += 1
+        if total >= least_words and lines[stop - 1]:
+            runs.add((start, stop))
+    return {
+        xxhash.xxh64_intdigest(struct.pack(f"<{q - p}q", *lines[p:q])) - 2**63 for p, q in runs
+    }
+
+
+def _list_passages(least_words: int):
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keys, found = [], []
+            for key, lines, words in zip(
+                *(column.to_pylist() for column in batch.columns), strict=True
+            ):
+                own = passages(lines, words, max(1, least_words))
+                keys += [key] * len(own)
+                found += own
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(found, pa.int64())],
+                names=["doc_id", "hash"],
+            )
+
+    return run
+
+
 def removed_lines(
     documents: DataFrame,
     key: str = "doc_id",
@@ -155,8 +276,11 @@ def removed_lines(
         ),
         "lines",
     )
-    lines = listed.select("doc_id", F.explode(F.array_distinct("lines.hash")).alias("hash")).where(
-        F.col("hash") != 0
+    lines = written(
+        listed.select("doc_id", "lines.hash", "lines.words").mapInArrow(
+            _list_passages(least_words), "doc_id long, hash long"
+        ),
+        "passages",
     )
     holders = lines.groupBy("hash").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
@@ -183,7 +307,7 @@ def removed_lines(
     aligned = both.select("doc_id", "earlier", "later", "words").mapInArrow(
         _align(least_words), "doc_id long, removed array<int>"
     )
-    # a document has at most as many partners as lines
+    # a document has at most twice as many partners as lines
     return aligned.groupBy("doc_id").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed")
     )
