@@ -2,7 +2,9 @@
 
 A benchmark item of n words is compared with windows of n words in the documents. A window
 that shares no five-word shingle with the item cannot be similar to it, so only windows that
-start where a shared shingle places the item's start are formed. Their fingerprints meet those
+start where a shared shingle places the item's start are formed; a place outside the document
+moves to its edge. A document shorter than the item, but with at least ``least_similarity`` of
+its number of shingles, is one window. Their fingerprints meet those
 of the items of the same length in a multi-index: the 64 bits are cut into one block more than
 the radius, so any pair within the radius agrees in a whole block. Candidates within the radius
 are verified by the exact weighted similarity of their shingles, the sum of the lesser over the
@@ -142,9 +144,11 @@ def find_leaks(
         F.size("words").alias("size"),
         F.posexplode(_shingle_hashes(F.col("words"), shingle)).alias("place", "hash"),
     ).join(places, "hash")
+    enough = F.col("size") - shingle + 1 >= (F.col("n_words") - shingle + 1) * least_similarity
+    placed = F.least(F.col("place") - F.col("in_item"), F.col("size") - F.col("n_words"))
     starts = (
-        hits.select("doc_id", "n_words", "size", (F.col("place") - F.col("in_item")).alias("start"))
-        .where((F.col("start") >= 0) & (F.col("start") + F.col("n_words") <= F.col("size")))
+        hits.where(enough)
+        .select("doc_id", "n_words", F.greatest(placed, F.lit(0)).alias("start"))
         .select("doc_id", F.struct("start", "n_words").alias("window"))
         .distinct()
     )
@@ -157,15 +161,18 @@ def find_leaks(
         .select("doc_id", "words", F.explode("wanted").alias("window"))
         .select(
             "doc_id",
+            F.size("words").alias("size"),
             "window.start",
             "window.n_words",
             F.slice("words", F.col("window.start") + 1, F.col("window.n_words")).alias("own"),
         )
-        .where(F.size("own") == F.col("n_words"))
+        # rows may share a key: a window of one may not fit into another
+        .where(enough & (F.size("own") == F.least("size", "n_words")))
         .select(
             "doc_id",
             "start",
             "n_words",
+            F.size("own").alias("own_words"),
             _shingles(F.col("own"), shingle).alias("shingles"),
             simhash(_shingle_hashes(F.col("own"), shingle)).alias("print"),
         )
@@ -189,7 +196,14 @@ def find_leaks(
     verified = (
         candidates.join(windows.drop("print").distinct(), ["doc_id", "start", "n_words"])
         .join(texts, ["item_id", "n_words"])
-        .select("doc_id", "item_id", "start", "n_words", "hamming", similarity.alias("similarity"))
+        .select(
+            "doc_id",
+            "item_id",
+            "start",
+            F.col("own_words").alias("n_words"),
+            "hamming",
+            similarity.alias("similarity"),
+        )
         .where(F.col("similarity") >= least_similarity)
     )
     best = F.max_by(
