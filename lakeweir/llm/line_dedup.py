@@ -195,15 +195,20 @@ def _align(least_words: int):
         import pyarrow as pa
 
         for batch in batches:
-            keys, removed = [], []
+            keys, digests, removed = [], [], []
             for row in batch.to_pylist():
                 lines = common_blocks(row["earlier"], row["later"], row["words"], least_words)
                 if lines:
                     keys.append(row["doc_id"])
+                    digests.append(row["digest"])
                     removed.append(lines)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(removed, pa.list_(pa.int32()))],
-                names=["doc_id", "removed"],
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array(digests, pa.int64()),
+                    pa.array(removed, pa.list_(pa.int32())),
+                ],
+                names=["doc_id", "digest", "removed"],
             )
 
     return align
@@ -248,16 +253,18 @@ def _list_passages(least_words: int):
         import pyarrow as pa
 
         for batch in batches:
-            keys, found = [], []
-            for key, lines, words in zip(
-                *(column.to_pylist() for column in batch.columns), strict=True
-            ):
-                own = passages(lines, words, max(1, least_words))
-                keys += [key] * len(own)
+            rows, found = [], []
+            for at, (lines, words) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                own = passages(lines.as_py(), words.as_py(), max(1, least_words))
+                rows += [at] * len(own)
                 found += own
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(found, pa.int64())],
-                names=["doc_id", "hash"],
+                [
+                    batch.column(0).take(pa.array(rows, pa.int64())),
+                    batch.column(1).take(pa.array(rows, pa.int64())),
+                    pa.array(found, pa.int64()),
+                ],
+                names=["doc_id", "digest", "hash"],
             )
 
     return run
@@ -269,50 +276,65 @@ def removed_lines(
     text: str = "text",
     least_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """``doc_id`` and ``removed``, the numbers of its deleted lines, where there are any."""
+    """``doc_id``, ``digest`` (the hash of the text) and ``removed``, the numbers of the deleted
+    lines, where there are any."""
     listed = written(
         documents.where(F.col(key).isNotNull()).select(
-            F.col(key).cast("long").alias("doc_id"), _line_hashes(text_of(text)).alias("lines")
+            F.col(key).cast("long").alias("doc_id"),
+            _digest(text).alias("digest"),
+            _line_hashes(text_of(text)).alias("lines"),
         ),
         "lines",
     )
     lines = written(
-        listed.select("doc_id", "lines.hash", "lines.words").mapInArrow(
-            _list_passages(least_words), "doc_id long, hash long"
+        listed.select("doc_id", "digest", "lines.hash", "lines.words").mapInArrow(
+            _list_passages(least_words), "doc_id long, digest long, hash long"
         ),
         "passages",
     )
     holders = lines.groupBy("hash").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+        F.min(F.struct("doc_id", "digest")).alias("first"), F.max("doc_id").alias("last")
     )
     # written, so that both sides of the join are plain shuffles and a hot line can be split
     shared = written(
-        holders.where(F.col("first") < F.col("last")).select("hash", "first"), "shared"
+        holders.where(F.col("first.doc_id") < F.col("last")).select(
+            "hash",
+            F.col("first.doc_id").alias("first"),
+            F.col("first.digest").alias("first_digest"),
+        ),
+        "shared",
     )
     pairs = written(
         lines.join(shared, "hash")
         .where(F.col("doc_id") > F.col("first"))
-        .select("doc_id", "first")
+        .select("doc_id", "digest", "first", "first_digest")
         .distinct(),
         "pairs",
     )
-    # equal keys: each row is aligned, so lines of any of them are found
-    later = listed.select(
-        "doc_id",
-        F.col("lines.hash").alias("later"),
-        F.col("lines.words").alias("words"),
+    # rows equal in key and text are one here
+    arrays = listed.select(
+        "doc_id", "digest", F.col("lines.hash").alias("hashes"), F.col("lines.words").alias("words")
+    ).dropDuplicates(["doc_id", "digest"])
+    later = arrays.withColumnRenamed("hashes", "later")
+    earlier = arrays.select(
+        F.col("doc_id").alias("first"),
+        F.col("digest").alias("first_digest"),
+        F.col("hashes").alias("earlier"),
     )
-    earlier = listed.select(F.col("doc_id").alias("first"), F.col("lines.hash").alias("earlier"))
-    both = pairs.join(later, "doc_id").join(earlier, "first")
-    aligned = both.select("doc_id", "earlier", "later", "words").mapInArrow(
-        _align(least_words), "doc_id long, removed array<int>"
+    both = pairs.join(later, ["doc_id", "digest"]).join(earlier, ["first", "first_digest"])
+    aligned = both.select("doc_id", "digest", "earlier", "later", "words").mapInArrow(
+        _align(least_words), "doc_id long, digest long, removed array<int>"
     )
     # a document has at most twice as many partners as lines
-    return aligned.groupBy("doc_id").agg(
+    return aligned.groupBy("doc_id", "digest").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed")
     )
 
 
+def _digest(text: str) -> Column:
+    return F.xxhash64(text_of(text))
+
+
 def dedup_lines(
     documents: DataFrame,
     key: str = "doc_id",
@@ -325,11 +347,15 @@ def dedup_lines(
     A document that loses all but blank lines keeps an empty text.
     """
     removed = written(removed_lines(documents, key, text, least_words), "removed").select(
-        F.col("doc_id").alias("__key"), F.col("removed").alias("__removed")
+        F.col("doc_id").alias("__key"),
+        F.col("digest").alias("__digest"),
+        F.col("removed").alias("__removed"),
     )
     # a merge join at every size: what is removed grows with the documents
     joined = documents.join(
-        removed.hint("merge"), F.col(key).cast("long") == F.col("__key"), "left"
+        removed.hint("merge"),
+        (F.col(key).cast("long") == F.col("__key")) & (_digest(text) == F.col("__digest")),
+        "left",
     )
     whole = F.col(f"`{text}`")
     left = F.filter(
