@@ -1,29 +1,30 @@
 """A corpus pipeline: five stages, each written and read again before the next.
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of documents.
-Rows without a doc_id have no identity to compare, so only the toxicity stage can drop them.
+Rows may lack a doc_id or share one: near-duplicates go by the number of a row, leaks by the text.
+Line dedup compares documents by doc_id, so it leaves rows without one as they are.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeweir.llm import decontamination, line_dedup, near_copies, packing, toxicity
+from lakeweir.llm import decontamination, line_dedup, packing, simhash, toxicity
 from lakeweir.llm.text import text_of
-from lakeweir.sources.scratch import new_area
+from lakeweir.sources.scratch import new_area, written
 
 
 def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{name}`") for name in docs.columns]
 
 
-def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``docs`` but for the rows whose doc_id is among the single column of ``keys``."""
+def _without(docs: DataFrame, own: Column, keys: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose ``own`` is among the single column of ``keys``."""
     # a merge join at every size: what goes grows with the documents
     gone = keys.toDF("__gone").distinct().hint("merge")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return docs.join(gone, own == F.col("__gone"), "left_anti").select(*_columns(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +42,23 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share most five-word shingles, the smallest doc_id stays."""
-    found = near_copies.near_copies(docs)
-    return _without(docs, found.where("doc_id <> component_id").select("doc_id"))
+    """One document of each SimHash component stays: the smallest doc_id, and of rows that share
+    it, or all lack one, the first."""
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    rows = written(numbered, "numbered")  # numbers of a written table stay as they are
+    place = F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "__row")
+    found = simhash.near_duplicates(rows.select(place.alias("place"), "text"), key="place")
+    copies = found.where("doc_id <> component_id").select("doc_id.__row")
+    return _without(rows, F.col("__row"), copies).drop("__row")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; whether one does is a matter of its text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontamination.find_leaks(docs, benchmark).select("doc_id"))
+    digest = F.md5(text_of().cast("binary"))
+    texts = docs.select(digest.alias("digest"), "text")
+    leaks = decontamination.find_leaks(texts, benchmark, key="digest")
+    return _without(docs, digest, leaks.select("doc_id"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
