@@ -278,14 +278,13 @@ def removed_lines(
 ) -> DataFrame:
     """``doc_id``, ``digest`` (the hash of the text) and ``removed``, the numbers of the deleted
     lines, where there are any."""
-    listed = written(
-        documents.where(F.col(key).isNotNull()).select(
-            F.col(key).cast("long").alias("doc_id"),
-            _digest(text).alias("digest"),
-            _line_hashes(text_of(text)).alias("lines"),
-        ),
-        "lines",
+    described = documents.where(F.col(key).isNotNull()).select(
+        F.col(key).cast("long").alias("doc_id"),
+        _digest(text).alias("digest"),
+        _line_hashes(text_of(text)).alias("lines"),
     )
+    # rows equal in key and text are one here
+    listed = written(described.dropDuplicates(["doc_id", "digest"]), "lines")
     lines = written(
         listed.select("doc_id", "digest", "lines.hash", "lines.words").mapInArrow(
             _list_passages(least_words), "doc_id long, digest long, hash long"
@@ -311,15 +310,13 @@ def removed_lines(
         .distinct(),
         "pairs",
     )
-    # rows equal in key and text are one here
-    arrays = listed.select(
-        "doc_id", "digest", F.col("lines.hash").alias("hashes"), F.col("lines.words").alias("words")
-    ).dropDuplicates(["doc_id", "digest"])
-    later = arrays.withColumnRenamed("hashes", "later")
-    earlier = arrays.select(
+    later = listed.select(
+        "doc_id", "digest", F.col("lines.hash").alias("later"), F.col("lines.words").alias("words")
+    )
+    earlier = listed.select(
         F.col("doc_id").alias("first"),
         F.col("digest").alias("first_digest"),
-        F.col("hashes").alias("earlier"),
+        F.col("lines.hash").alias("earlier"),
     )
     both = pairs.join(later, ["doc_id", "digest"]).join(earlier, ["first", "first_digest"])
     aligned = both.select("doc_id", "digest", "earlier", "later", "words").mapInArrow(
