@@ -81,4 +81,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE = {"op2_quality_rules": QUALITY_RULES}
+# CRC-32 of a decimal number, bit by bit over its digits.
+CRC = """
+xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(
+        range(1, length(conv_id::VARCHAR) + 1),
+        lambda i: ascii(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+    lambda crc, code: list_reduce(
+        list_prepend(xor(crc, code), range(8)),
+        lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))))
+"""
+CONVERSATION_TRIE = f"""
+WITH said AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                         ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+heads AS (SELECT *, conv_id - conv_id % 100 AS base, {CRC} % 6 AS h FROM said),
+rebuilt AS (
+    SELECT own.conv_id,
+           list_concat(coalesce(first.turns[1:own.h], []), own.turns[own.h + 1:]) AS path
+    FROM heads own LEFT JOIN said first ON first.conv_id = own.base
+),
+steps AS (
+    SELECT conv_id, path, len(path) AS n, unnest(range(0, len(path) + 1)) AS depth FROM rebuilt
+),
+members AS (
+    SELECT conv_id, n, depth, to_json(path[1:depth])::VARCHAR AS node,
+           to_json(path[1:depth - 1])::VARCHAR AS above,
+           CASE WHEN depth > 0 THEN length(path[depth].text) ELSE 0 END AS chars
+    FROM steps
+),
+nodes AS (
+    SELECT depth, node, any_value(above) AS above, min(conv_id) AS conv_id,
+           count(*) AS n_convs, any_value(chars) AS chars,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                           FILTER (WHERE n = depth), '')) AS ends_sha256
+    FROM members GROUP BY depth, node
+),
+children AS (
+    SELECT depth - 1 AS depth, above AS node, count(*) AS n_children
+    FROM nodes WHERE depth > 0 GROUP BY depth, above
+),
+counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children
+    FROM nodes LEFT JOIN children USING (depth, node)
+),
+subtrees AS (
+    SELECT members.depth, members.node, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves,
+           sum((n_convs - 1) * counted.chars)::BIGINT AS saved_tokens
+    FROM counted JOIN members
+    ON members.conv_id = counted.conv_id AND members.depth <= counted.depth
+    GROUP BY members.depth, members.node
+)
+SELECT counted.conv_id, counted.depth, parent.conv_id AS parent_conv_id, counted.n_convs,
+       counted.n_children, n_leaves, saved_tokens, counted.ends_sha256
+FROM counted JOIN subtrees USING (depth, node)
+LEFT JOIN nodes parent
+ON counted.depth > 0 AND parent.depth = counted.depth - 1 AND parent.node = counted.above
+"""
+
+ORACLE = {"op2_quality_rules": QUALITY_RULES, "op11_conversation_trie": CONVERSATION_TRIE}

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from lakeweir.llm import (
+    conversation_trie,
     decontamination,
     line_dedup,
     packing,
@@ -15,10 +16,13 @@ from lakeweir.llm import (
     sharding,
     simhash,
     suffix_dedup,
+    token_files,
     toxicity,
+    whitening,
 )
 from lakeweir.llm.oracle import ORACLE  # noqa: F401  (registered beside QUERIES)
 from lakeweir.llm.text import documents, text_of
+from lakeweir.sources.scratch import new_area
 
 SHARDS = 40
 
@@ -145,6 +149,35 @@ def op10_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", predicted)
 
 
+def op11_conversation_trie(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = conversation_trie.numbered_turns(table)
+    return conversation_trie.trie(conversation_trie.rebuilt(turns))
+
+
+def op12_token_ids(spark, sf_dir):
+    path = new_area(spark, "token-files")
+    rows = documents(spark, sf_dir, "doc_id", "text")
+    token_files.write_ids(rows, public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_files.read_documents(spark, path)
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    white = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    entry = F.arrays_zip("whitened", "explained")
+    return white.select(
+        "vec_id", "n", "deviation", "identity_error", F.posexplode(entry).alias("place", "entry")
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("entry.whitened").alias("whitened"),
+        F.col("entry.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -156,4 +189,7 @@ QUERIES = {
     "op8_secret_scans": op8_secret_scans,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_token_ids": op12_token_ids,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

@@ -12,7 +12,8 @@ from lakeweir.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
 def test_query_matches_sql(spark, name, sf_dir):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     frame = QUERIES[name](spark, sf_dir)
     relation = duck.sql(ORACLE[name])
     assert sorted(frame.columns) == sorted(relation.columns)

@@ -1,0 +1,115 @@
+"""The conversation trie against a walk over all prefixes."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from lakeweir.llm import conversation_trie
+from lakeweir.llm.queries import QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = (
+    "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+    "ends_sha256",
+)
+
+
+def brute(rows):
+    said = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            said[conv].append(((turn is not None, turn or 0), (role or "", text or "")))
+    said = {conv: [t for _, t in sorted(own, key=lambda x: x[0])] for conv, own in said.items()}
+    paths = {}
+    for conv, own in said.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        paths[conv] = tuple(said.get(conv - conv % 100, [])[:h] + own[h:])
+    members = defaultdict(list)
+    for conv in sorted(paths):
+        for depth in range(len(paths[conv]) + 1):
+            members[paths[conv][:depth]].append(conv)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = children[node]
+        leaves[node] = sum(leaves[c] for c in below) if below else 1
+        own = (len(members[node]) - 1) * len(node[-1][1]) if node else 0
+        saved[node] = own + sum(saved[c] for c in below)
+    return sorted(
+        (
+            (
+                own[0], len(node), members[node[:-1]][0] if node else None, len(own),
+                len(children[node]), leaves[node], saved[node],
+                hashlib.sha256(
+                    ",".join(str(c) for c in own if len(paths[c]) == len(node)).encode()
+                ).hexdigest(),
+            )
+            for node, own in members.items()
+        ),
+        key=repr,
+    )
+
+
+def found(frame):
+    return sorted((tuple(row[c] for c in COLUMNS) for row in frame.collect()), key=repr)
+
+
+def trie_of(frame, **sizes):
+    turns = conversation_trie.numbered_turns(frame)
+    return conversation_trie.trie(conversation_trie.rebuilt(turns), **sizes)
+
+
+def conversations(seed, n, longest, texts):
+    rng = random.Random(seed)
+    rows = []
+    for conv in rng.sample(range(3 * n), n):
+        length = rng.randint(1, longest)
+        rows += [
+            (conv, turn, rng.choice(["user", "bot"]), rng.choice(texts)) for turn in range(length)
+        ]
+    rng.shuffle(rows)
+    return rows
+
+
+def test_query(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*SCHEMA.split()[::2])
+    assert found(QUERIES["op11_conversation_trie"](spark, sf_dir)) == brute(
+        [tuple(row) for row in table.collect()]
+    )
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [{}, {"width": 3, "lead": 2, "chunk": 5}, {"width": 2, "lead": 1, "chunk": 1},
+     {"width": 64, "lead": 2, "chunk": 7}],
+)
+def test_nodes_over_chunks_and_segments(spark, sizes):
+    rows = conversations(3, 90, 9, ["a", "bb", "", "naïve"])
+    # copies of one conversation, and one that is far longer than the others
+    rows += [(1000 + i, t, "user", f"same {t}") for i in range(40) for t in range(7)]
+    rows += [(2001, t, "user", "bb") for t in range(30)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert found(trie_of(frame, **sizes)) == brute(rows)
+
+
+def test_edges(spark):
+    rows = [
+        (0, None, None, None), (0, 2, "user", None), (0, 1, "", "x" * 300_000),
+        (None, 1, "user", "no conversation"), (5, 0, "user", "hi"), (7, 0, "user", "hi"),
+        (7, 1, "bot", "one"), (105, 3, "user", "no family head"), (110, 3, "user", "hi"),
+        (-3, 1, "user", "hi"), (9, 0, "user", "tie"), (9, 1, "user", "tie"),
+    ]
+    clashing = "conv_id long, turn long, role string, text string, depth int, k1 string"
+    frame = spark.createDataFrame([(*row, 1, "x") for row in rows], clashing)
+    own = [row for row in rows if row[0] != -3]
+    assert found(trie_of(frame.where("conv_id IS NULL OR conv_id <> -3"))) == brute(own)
+    assert sum(row[1] == 0 for row in found(trie_of(frame))) == 1
+    assert found(trie_of(frame.limit(0))) == []
