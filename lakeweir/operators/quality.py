@@ -190,7 +190,7 @@ def data_type_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 # -- suite -----------------------------------------------------------------------------
 
 
-def _entry(check: Check, constraint: Constraint, metric: Column) -> Column:
+def report_entry(check: Check, constraint: Constraint, metric: Column) -> Column:
     return F.struct(
         F.lit(check.name).alias("check"),
         F.lit(check.level).alias("level"),
@@ -214,7 +214,7 @@ def verify(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
     for check, constraint in pairs:
         column = constraint.column
         if column not in df.columns:
-            entries.append(_entry(check, constraint, absent))
+            entries.append(report_entry(check, constraint, absent))
         elif constraint.kind == UNIQUE:
             unique.setdefault(column, []).append((check, constraint))
         else:
@@ -226,7 +226,7 @@ def verify(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
                     else class_share(df, column, constraint.value_class)
                 )
                 scalar[key] = (f"m{len(scalar)}", expr)
-            entries.append(_entry(check, constraint, F.col(scalar[key][0])))
+            entries.append(report_entry(check, constraint, F.col(scalar[key][0])))
 
     parts = []
     if entries:
@@ -237,14 +237,18 @@ def verify(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
         metric = F.col("metric")
         parts.append(
             uniqueness(df, column).select(
-                F.inline(F.array(*[_entry(check, c, metric) for check, c in users]))
+                F.inline(F.array(*[report_entry(check, c, metric) for check, c in users]))
             )
         )
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
 
-    missing = sorted({c.column for _, c in pairs} - set(df.columns))
+    return judged(report, sorted({c.column for _, c in pairs} - set(df.columns)))
+
+
+def judged(report: DataFrame, missing: Sequence[str]) -> DataFrame:
+    """A report of measured constraints with their status; columns in ``missing`` do not exist."""
     passed = F.coalesce(F.col("metric") == 1.0, F.lit(False))
     return report.withColumn("status", F.when(passed, SUCCESS).otherwise(FAILURE)).withColumn(
         "message",

@@ -82,6 +82,15 @@ def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return hits.where(F.col(_HITS) > 1).select(*keys)
 
 
+def key_summary(source: DataFrame, keys: Sequence[str], order: str) -> tuple[int, str | None]:
+    """How many rows the most frequent key has, and the least ``order`` of all rows, in one
+    pass over both columns. Rows with a NULL key are one group, combined before the shuffle."""
+    groups = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(_HITS), F.min(order).alias("first"))
+    most = F.max(F.when(_all_set(keys), F.col(_HITS)))
+    found = groups.agg(F.coalesce(most, F.lit(0)).alias(_HITS), F.min("first").alias("first"))
+    return tuple(found.first())
+
+
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Duplicate source keys that the target holds: the upsert cannot choose between them."""
     doubtful = duplicate_keys(source, keys)

@@ -332,6 +332,36 @@ ORACLE: dict[str, str] = {
     "raw_json_pages": f"""
         WITH {SITES} SELECT id, name, longitude FROM sites
     """,
+    "salvaged_pages": f"""
+        WITH {SITES},
+        placed AS (
+            SELECT id, name, city, row_number() OVER (ORDER BY id) - 1 AS at FROM sites
+        ),
+        paged AS (
+            SELECT *, at // 200 + 1 AS page, at % 200 + 1 AS place,
+                   count(*) OVER (PARTITION BY at // 200) AS n
+            FROM placed
+        )
+        SELECT id, name, city FROM paged WHERE NOT (page % 2 = 1 AND n >= 150 AND place >= 150)
+    """,
+    "raw_drift": f"""
+        WITH {SITES},
+        runs AS (
+            SELECT '2024_01_02_00_00_00_000000' AS second,
+                   '2024_01_03_00_00_00_000000' AS third, count(*) AS n,
+                   count(*) FILTER (country = 'ASIA') AS n_asia
+            FROM sites
+        )
+        SELECT second AS run, 'longitude' AS field, 'changed' AS problem, 'string' AS kinds,
+               'number' AS before, n AS n_records
+        FROM runs WHERE n > 0
+        UNION ALL
+        SELECT second, 'rating', 'undeclared', 'number', NULL, n_asia FROM runs WHERE n_asia > 0
+        UNION ALL
+        SELECT third, 'longitude', 'changed', 'number', 'string', n FROM runs WHERE n > 0
+        UNION ALL
+        SELECT third, 'name', 'absent', NULL, 'string', 0 FROM runs WHERE n > 0
+    """,
     "saved_watermark": f"""
         WITH {KEYED_EVENTS}
         SELECT 'incremental' AS mode, mark, (SELECT max(key) FROM keyed) AS max_id FROM mark
@@ -351,6 +381,28 @@ ORACLE: dict[str, str] = {
         SELECT country, state, city, brewery_type, count(*) AS brewery_count
         FROM moved GROUP BY country, state, city, brewery_type
     """,
+    "delta_mart": f"""
+        WITH {SITES},
+        moved AS (SELECT * REPLACE ({MOVED} AS brewery_type) FROM sites)
+        SELECT country, state, city, brewery_type, count(*) AS brewery_count
+        FROM moved GROUP BY country, state, city, brewery_type
+    """,
+    "merged_verification": f"WITH {SITES} {_report(REPORT_ROWS)}",
+    "region_distribution": f"""
+        WITH {SITES},
+        counted AS (
+            SELECT country, state, city, brewery_type,
+                   grouping(country, state, city, brewery_type) AS level,
+                   count(*) AS brewery_count
+            FROM sites GROUP BY ROLLUP (country, state, city, brewery_type)
+        )
+        SELECT own.*, own.brewery_count / coalesce(above.brewery_count, own.brewery_count) AS share
+        FROM counted own LEFT JOIN counted above
+        ON above.level = 2 * own.level + 1
+        AND (above.level >= 8 OR above.country IS NOT DISTINCT FROM own.country)
+        AND (above.level >= 4 OR above.state IS NOT DISTINCT FROM own.state)
+        AND (above.level >= 2 OR above.city IS NOT DISTINCT FROM own.city)
+    """,
     "stream_upsert": f"""
         WITH {SITES}
         SELECT id, name, {MOVED} AS brewery_type, city, postal_code, country, longitude, state

@@ -10,15 +10,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeweir.errors import MissingKey, PageBoundReached, PageFetchError
 from lakeweir.functions.runs import new_run_name
-from lakeweir.operators.increment import before_stop, new_watermark, newer_than, stop_page
+from lakeweir.operators.increment import before_stop, newer_than, stop_page
 from lakeweir.schemas import WATERMARK
 from lakeweir.sources import storage
-from lakeweir.sources.paged_json import read_pages, record_texts, text_field
+from lakeweir.sources.paged_json import read_all_pages, record_texts, text_field
 from lakeweir.sources.scratch import new_area, staged
 
 # Page sizes and sort directions of the two load modes.
@@ -47,13 +47,13 @@ class Ingested:
 @dataclass(frozen=True)
 class PagedSource:
     """``url`` may hold ``{page}``, ``{per_page}`` and ``{sort}``, which becomes the key and
-    a direction, as in ``id:asc``. A load that needs more than ``max_pages`` pages fails;
-    by default there is no bound."""
+    a direction, as in ``id:asc``. ``readers`` tasks share the pages. A load that needs more
+    than ``max_pages`` pages fails; by default there is no bound."""
 
     url: str
     key: str = "id"
     max_pages: int | None = None
-    first_wave: int = 8
+    readers: int = 8
     options: dict = field(default_factory=dict)
 
 
@@ -108,36 +108,42 @@ def _stop(parsed: DataFrame, plan: LoadPlan) -> DataFrame:
     return stop_page(counts, F.col("n_new"))
 
 
+def _missing_page(parsed: DataFrame) -> DataFrame:
+    """The first page from 1 on that is not there."""
+    pages = parsed.select("page").distinct()
+    following = pages.select((F.col("page") + 1).alias("page"))
+    starts = following.unionByName(parsed.sparkSession.createDataFrame([(1,)], "page long"))
+    # a merge join at every size: pages grow with the source
+    return starts.join(pages.hint("merge"), "page", "left_anti").agg(F.min("page").alias("stop"))
+
+
 def fetch_pages(
     spark: SparkSession, source: PagedSource, plan: LoadPlan, area: str
 ) -> DataFrame:
     """Parsed pages before the stop page, written to ``area``.
 
-    A page is only known to be the last once it is fetched. Pages are therefore read in
-    waves that double in size: a short incremental load costs few requests too many, a
-    long one soon keeps all executors busy. Every wave is written before it is judged,
-    so no page is fetched or parsed twice.
+    Tasks take turns at the pages and each ends where a page brings nothing new, so no page is
+    fetched twice, and as many requests are made past the end as there are tasks. The mark of
+    an incremental load is pushed into the reader.
     """
     url = source.url.replace("{sort}", f"{source.key}:{plan.direction}")
-    first, wave = 1, source.first_wave
-    while True:
-        if source.max_pages is not None and first > source.max_pages:
-            raise PageBoundReached(f"{url} has new records beyond page {source.max_pages}")
-        last = first + wave - 1
-        if source.max_pages is not None:
-            last = min(last, source.max_pages)
-        pages = read_pages(spark, url, first, last, per_page=plan.per_page, **source.options)
-        try:
-            parsed_pages(pages, source.key).write.mode("append").parquet(area)
-        except Exception as error:
-            if "PAGE_FETCH_FAILED" in str(error):
-                raise PageFetchError(f"pages {first} to {last} of {url}") from error
-            raise
-        parsed = spark.read.schema(PARSED).parquet(area)
-        stop = _stop(parsed, plan).first()["stop"]
-        if stop is not None:
-            return parsed.where(F.col("page") < stop)
-        first, wave = last + 1, wave * 2
+    options = {"key": source.key, "readers": source.readers, "per_page": plan.per_page}
+    if source.max_pages is not None:
+        options["max_page"] = source.max_pages
+    pages = read_all_pages(spark, url, **options, **source.options)
+    if plan.mode == INCREMENTAL:
+        pages = newer_than(pages, "max_key", plan.watermark)
+    try:
+        parsed_pages(pages, source.key).write.mode("append").parquet(area)
+    except Exception as error:
+        if "PAGE_FETCH_FAILED" in str(error):
+            raise PageFetchError(f"pages of {url}") from error
+        raise
+    parsed = spark.read.schema(PARSED).parquet(area)
+    stop = _missing_page(parsed).first()["stop"]
+    if source.max_pages is not None and stop > source.max_pages:
+        raise PageBoundReached(f"{url} has new records beyond page {source.max_pages}")
+    return parsed.where(F.col("page") < stop)
 
 
 def land_raw(records: DataFrame, data_root: str, run: str) -> str:
@@ -179,24 +185,36 @@ def ingest_pages(
 def _land(
     parsed: DataFrame, plan: LoadPlan, data_root: str, state: str, run: str | None
 ) -> Ingested:
-    """Land the new records of written pages, then move the mark.
+    """Land the new records of written pages in one pass, then move the mark.
 
-    A record without a key could never be told from a known one, so it stops the load, in
-    either mode, before anything is landed.
+    What the pass sees decides whether it counts: the records are written beside the runs and
+    take their name at the end. A record without a key could never be told from a known one, so
+    it stops the load, in either mode, before anything is landed.
     """
     spark = parsed.sparkSession
     run = run or new_run_name()
-    keyless = parsed.where(F.col("key").isNull() & (F.col("n_items") > 0)).count()
-    if keyless:
-        raise MissingKey(f"{keyless} records without a key in run {run}")
-    fresh = parsed.where(F.col("record").isNotNull())
+    pages, landed = Observation(), Observation()
+    keyless = F.col("key").isNull() & (F.col("n_items") > 0)
+    fresh = parsed.observe(pages, F.count_if(keyless).alias("keyless"))
+    fresh = fresh.where(F.col("record").isNotNull())
     if plan.mode == INCREMENTAL:
         fresh = newer_than(fresh, "key", plan.watermark)
-    marked = new_watermark(fresh, "key", plan.watermark)
-    summary = marked.withColumn("n_rows", fresh.agg(F.count(F.lit(1))).scalar()).first()
-    rows, mark = summary["n_rows"], summary["max_id"]
-    if rows:
-        land_texts(fresh.select("record"), data_root, run)
+    fresh = fresh.observe(
+        landed, F.count(F.lit(1)).alias("rows"), F.max("key").alias("max_id")
+    )
+    hidden = f"{data_root.rstrip('/')}_landing/{run}"
+    try:
+        fresh.select("record").write.mode("overwrite").text(hidden)
+        if pages.get["keyless"]:
+            raise MissingKey(f"{pages.get['keyless']} records without a key in run {run}")
+        rows, mark = landed.get["rows"], landed.get["max_id"]
+        mark = plan.watermark if mark is None else mark
+        if rows:
+            path = f"{data_root.rstrip('/')}/{run}"
+            storage.remove(spark, path)
+            storage.rename(spark, hidden, path)
+    finally:
+        storage.remove(spark, hidden)
     # a full load that finds nothing records that it ran; the next one is full again
     if rows or plan.mode == FULL:
         save_watermark(spark, state, mark)

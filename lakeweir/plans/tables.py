@@ -9,6 +9,10 @@ never changed in place.
 Keyed tables keep one more column in their files, the place of a row in the order of its
 source (a run, or a file of a run). Readers do not see it; a row never replaces one whose
 place is later, so it does not matter how the source is cut into upserts.
+
+``_spans/`` keeps what the write of a commit observed: its rows, and the least and greatest
+place among them. An upsert whose places all follow those held is decided by these alone,
+without a look at the rows of the table; another one reads the commits with later places.
 """
 
 from __future__ import annotations
@@ -16,20 +20,21 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeweir.errors import DuplicateSourceKey, SchemaConflict
 from lakeweir.functions.values import blank_to_null
-from lakeweir.operators.upsert import ambiguous_keys, duplicate_keys, keep_newest
+from lakeweir.operators.upsert import ambiguous_keys, key_summary, keep_newest
 from lakeweir.sources import storage
 
 BASE, UPSERT, FOLD = "base", "upsert", "fold"
 FOLD_AFTER = 8
+COMPACTED = "compacted"  # token of a base that holds what the commits before it say
 ORDER = "_source_order"
 _FOLDER = re.compile(r"version=(\d+)\.(base|upsert|fold)(?:\.(.+))?")
 _VERSION, _ORIGIN = "__version", "__origin"
@@ -43,6 +48,17 @@ class Commit:
     path: str
 
 
+@dataclass(frozen=True)
+class Span:
+    """What a commit holds: rows, those without a place in the source order, and the least and
+    greatest place."""
+
+    rows: int
+    unplaced: int
+    first: str | None
+    last: str | None
+
+
 @dataclass(frozen=True)
 class Table:
     """A snapshot table. ``schema`` may be None for tables that are only overwritten; with a
@@ -73,11 +89,13 @@ class Table:
     def _finished(self, commit: Commit) -> bool:
         return storage.exists(self.spark, f"{commit.path}/_SUCCESS")
 
-    def live(self) -> list[Commit]:
+    def live(self, until: int | None = None) -> list[Commit]:
         """The newest finished base, and what is finished after it and not folded, oldest
-        first."""
+        first; ``until`` ignores later versions."""
         found: list[Commit] = []
         for commit in reversed(self._folders()):
+            if until is not None and commit.version > until:
+                continue
             folded = any(later.kind == FOLD for later in found)
             if commit.kind != BASE and folded or not self._finished(commit):
                 continue
@@ -89,6 +107,11 @@ class Table:
     def exists(self) -> bool:
         return bool(self.live())
 
+    def newest(self) -> Commit | None:
+        """The last finished commit."""
+        commits = self.live()
+        return commits[-1] if commits else None
+
     def has_token(self, token: str) -> bool:
         return any(c.token == token and self._finished(c) for c in self._folders())
 
@@ -114,10 +137,8 @@ class Table:
 
     def _published_schema(self, commit: Commit) -> T.StructType | None:
         """The schema kept when ``commit`` was written; partition values have no type else."""
-        path = self._schema_path(commit.path)
-        if not storage.exists(self.spark, path):
-            return None
-        return T.StructType.fromJson(json.loads(self.spark.read.text(path).first()[0]))
+        kept = storage.read_text(self.spark, self._schema_path(commit.path))
+        return None if kept is None else T.StructType.fromJson(json.loads(kept))
 
     def _schema_path(self, path: str) -> str:
         folder, name = path.rsplit("/", 1)
@@ -141,15 +162,45 @@ class Table:
 
     def _resolved(self, base: Commit | None, changes: Sequence[Commit]) -> DataFrame:
         """The newest rows of each key, with the columns of the files."""
-        changed = self._versioned(changes[0])
-        for commit in changes[1:]:
-            changed = changed.unionByName(self._versioned(commit))
+        changed = self._union(changes)
         rows = changed if base is None else self._versioned(base).unionByName(changed)
         # only the changes can replace rows, so only their keys are grouped
         return keep_newest(rows, self.keys, _VERSION, changed, [_ORIGIN]).select(
             *self.schema.names, ORDER
         )
 
+    def changed_since(self, version: int) -> tuple[DataFrame, DataFrame] | None:
+        """The current rows that came after ``version``, and the rows of then whose place they
+        took. None where the commits do not tell: the table was overwritten, or folders of
+        commits are gone.
+
+        The table of then is read for the rows of the changed keys only, and only those are
+        grouped; a few changes are broadcast to the scan.
+        """
+        later = [c for c in self._folders() if c.version > version]
+        rewritten = any(c.kind == BASE and c.token != COMPACTED for c in later)
+        gaps = [c.version for c in later] != [*range(version + 1, version + 1 + len(later))]
+        before = self.live(version)
+        if rewritten or gaps or not before or before[-1].version != version:
+            return None
+        changes = [c for c in later if c.kind == UPSERT and self._finished(c)]
+        if not changes:
+            none = self._versioned(before[0]).select(*self.schema.names).limit(0)
+            return none, none
+        came = self._resolved(None, changes).select(*self.schema.names)
+        held = self._union(before).join(
+            came.select(*self.keys).distinct(), list(self.keys), "left_semi"
+        )
+        # later commits of then may have replaced earlier ones
+        left = keep_newest(held, self.keys, _VERSION, None, [_ORIGIN])
+        return came, left.select(*self.schema.names)
+
+    def _union(self, commits: Sequence[Commit]) -> DataFrame:
+        rows = self._versioned(commits[0])
+        for commit in commits[1:]:
+            rows = rows.unionByName(self._versioned(commit))
+        return rows
+
     def _versioned(self, commit: Commit) -> DataFrame:
         """The rows with their version and the file block they come from, which spreads
         rows without a key and costs no column to read."""
@@ -173,8 +224,7 @@ class Table:
         suffix = f".{token}" if token else ""
         path = f"{self.root.rstrip('/')}/version={version:08d}.{kind}{suffix}"
         if self.schema is None:
-            kept = self.spark.createDataFrame([(df.schema.json(),)], "schema string")
-            kept.coalesce(1).write.text(self._schema_path(path))
+            storage.write_text(self.spark, self._schema_path(path), df.schema.json())
         elif ORDER not in df.columns:
             df = df.withColumn(ORDER, F.lit(None).cast("string"))
         if self.partition_by:
@@ -185,12 +235,29 @@ class Table:
             # unlike repartition(), a rebalance lets AQE split a partition value that
             # holds a large share of the rows over several tasks and files
             df = df.hint("rebalance", *self.partition_by)
-        writer = df.write
+        seen = Observation()
+        writer = df.observe(seen, *_span_of(df)).write if self.schema else df.write
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(path)
+        if self.schema:
+            storage.write_text(self.spark, self._span_path(path), json.dumps(seen.get))
         return Commit(version, kind, token, path)
 
+    def _span_path(self, path: str) -> str:
+        folder, name = path.rsplit("/", 1)
+        return f"{folder}/_spans/{name}"
+
+    def span(self, commit: Commit) -> Span:
+        """What the write of ``commit`` observed; read from its rows where that was lost."""
+        kept = storage.read_text(self.spark, self._span_path(commit.path))
+        if kept is not None:
+            return Span(**json.loads(kept))
+        rows = self._versioned(commit)
+        found = Span(**rows.agg(*_span_of(rows)).first().asDict())
+        storage.write_text(self.spark, self._span_path(commit.path), json.dumps(asdict(found)))
+        return found
+
     def init_table(self) -> None:
         """Create the table with its declared schema and no rows, if it is not there."""
         if not self.exists():
@@ -201,14 +268,18 @@ class Table:
         return self._write(df, BASE, token)
 
     def overwrite(
-        self, df: DataFrame, evolve: bool = False, skip_if_empty: bool = False
+        self,
+        df: DataFrame,
+        evolve: bool = False,
+        skip_if_empty: bool = False,
+        token: str | None = None,
     ) -> Commit | None:
         """Replace all rows; ``evolve`` lets the new rows bring or miss columns."""
         if skip_if_empty and df.isEmpty():
             return None
         if self.exists():
             df = _fit(df, self.read_snapshot().schema, evolve)
-        return self.write_snapshot(df)
+        return self.write_snapshot(df, token)
 
     def upsert(self, source: DataFrame, token: str | None = None) -> Commit | None:
         """Merge ``source`` by key, as a commit of its own size that the next read resolves.
@@ -225,20 +296,36 @@ class Table:
             return None
         order = F.col(ORDER) if ORDER in source.columns else F.lit(None).cast("string")
         source = source.select(*self.schema.names, order.alias(ORDER))
-        if not self._holds_rows():
+        commits = self.live()
+        if len(commits) < 2 and not (commits and self.span(commits[0]).rows):
             return self.write_snapshot(source, token)
-        self._refuse_ambiguous(source)
-        commit = self._write(self._without_late(source), UPSERT, token)
+        hits, first = key_summary(source, self.keys, ORDER)
+        if hits > 1:
+            self._refuse_ambiguous(source)
+        commit = self._write(self._without_late(source, commits, first), UPSERT, token)
         self._fold()
         return commit
 
-    def _without_late(self, source: DataFrame) -> DataFrame:
-        base, *changes = self.live()
-        held = self._resolved(base, changes) if changes else self._versioned(base)
-        last = held.agg(F.max(ORDER)).first()[0]
-        first = source.agg(F.min(ORDER)).first()[0]
-        if last is None or first is None or first >= last:
+    def _without_late(
+        self, source: DataFrame, commits: Sequence[Commit], first: str | None
+    ) -> DataFrame:
+        """``source`` without the rows whose key the table holds from a later place; its least
+        place is ``first``."""
+        spans = [self.span(commit) for commit in commits]
+        ahead = [
+            commit
+            for commit, span in zip(commits, spans, strict=True)
+            if first is not None and span.last is not None and span.last > first
+        ]
+        if not ahead:
             return source
+        placed = [i for i, span in enumerate(spans) if span.last is not None]
+        if any(span.unplaced for span in spans[placed[0] + 1 :]):
+            # a later row without a place has taken the place away from its key
+            held = self._resolved(commits[0], commits[1:])
+        else:
+            # places of a key only rise, so its highest one is that of its current row
+            held = self._union(ahead)
         later = held.where(F.col(ORDER) > first).select(*self.keys, F.col(ORDER).alias("__held"))
         late = source.select(*self.keys, ORDER).join(later, list(self.keys))
         late = late.where(F.col("__held") > F.col(ORDER)).select(*self.keys, ORDER).distinct()
@@ -253,16 +340,10 @@ class Table:
     def compact(self) -> Commit | None:
         """Rewrite the table as a new base, if anything changed since the last one."""
         base, *changes = self.live()
-        return self.write_snapshot(self._resolved(base, changes)) if changes else None
-
-    def _holds_rows(self) -> bool:
-        commits = self.live()
-        return len(commits) > 1 or (bool(commits) and not self._scan(commits[0]).isEmpty())
+        return self._write(self._resolved(base, changes), BASE, COMPACTED) if changes else None
 
     def _refuse_ambiguous(self, source: DataFrame) -> None:
         # the target is only scanned when the source has duplicate keys at all
-        if duplicate_keys(source, self.keys).isEmpty():
-            return
         clash = ambiguous_keys(self.read_snapshot(), source, self.keys).first()
         if clash is not None:
             raise DuplicateSourceKey(
@@ -270,6 +351,15 @@ class Table:
             )
 
 
+def _span_of(df: DataFrame) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(ORDER).isNull()).alias("unplaced"),
+        F.min(ORDER).alias("first"),
+        F.max(ORDER).alias("last"),
+    ]
+
+
 def _fit(df: DataFrame, published: T.StructType, evolve: bool) -> DataFrame:
     old = {field.name: field.dataType for field in published}
     new = {field.name: field.dataType for field in df.schema}

@@ -7,6 +7,7 @@ them. Every query runs over its whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from lakeweir.errors import SchemaCheckFailed
 from lakeweir.functions.runs import run_name
 from lakeweir.operators import quality
-from lakeweir.operators.counts import count_by, rollup_count
+from lakeweir.operators.counts import count_by, rollup_count, rollup_shares
 from lakeweir.operators.curate import conform, dedupe_latest, stamp
 from lakeweir.operators.increment import (
     assign_pages,
@@ -29,7 +30,8 @@ from lakeweir.operators.upsert import merge_by_key
 from lakeweir.plans import flow, ingest
 from lakeweir.plans.tables import Table
 from lakeweir.schemas import AUDIT, MART_AUDIT, MART_COUNT, MART_DIMENSIONS, raw_of, record
-from lakeweir.sources.raw_json import read_raw_json, split_corrupt
+from lakeweir.sources.drift import drift, raw_texts
+from lakeweir.sources.raw_json import read_raw_json, salvaged, split_corrupt
 from lakeweir.sources.runs import latest_of, latest_run
 from lakeweir.sources.scratch import new_area, staged, written
 from lakeweir.streaming.upsert import upsert_new_files
@@ -223,6 +225,12 @@ def rollup_region(spark, sf_dir):
     return rollup_count(sites(spark, sf_dir), dimensions, MART_COUNT)
 
 
+def region_distribution(spark, sf_dir):
+    """The share of each place and type in the group above it."""
+    dimensions = ["country", "state", "city", "brewery_type"]
+    return rollup_shares(sites(spark, sf_dir), dimensions, MART_COUNT)
+
+
 def upsert_by_key(spark, sf_dir):
     # the source is read for its keys and for its rows, so it is evaluated once beforehand
     source = written(changes(spark, sf_dir), "changes")
@@ -513,6 +521,40 @@ def raw_json_pages(spark, sf_dir):
     return conform(read_raw_json(spark, path, raw_of(schema, audit=None), "pages"), schema)
 
 
+def salvaged_pages(spark, sf_dir):
+    """Sites as one JSON array per file; every other page is cut inside its 150th record, and
+    what is whole before the cut is saved."""
+    root = new_area(spark, "raw-cut")
+    relation = sites(spark, sf_dir).select("id", "name", "city")
+    paged = assign_pages(relation, ["id"], ingest.PER_PAGE[ingest.FULL], unique=True)
+    # a page holds per_page records at most
+    records = F.sort_array(F.collect_list(F.struct("id", "name", "city")))
+    pages = paged.groupBy("page").agg(records.alias("records"))
+    head = F.to_json(F.slice("records", 1, 149))
+    cut = F.concat(F.substring(head, F.lit(1), F.char_length(head) - 1), F.lit(',{"id":"b-'))
+    damaged = (F.col("page") % 2 == 1) & (F.size("records") >= 150)
+    body = F.when(damaged, cut).otherwise(F.to_json("records"))
+    path = f"{root}/2024_01_01_00_00_00_000000"
+    pages.select(body.alias("body")).write.option("maxRecordsPerFile", 1).text(path)
+    schema = record(id="string", name="string", city="string")
+    raw = raw_of(schema, audit=None)
+    good, broken = split_corrupt(written(read_raw_json(spark, path, raw, "pages"), "raw"))
+    return conform(good.unionByName(salvaged(broken, raw)), schema)
+
+
+def raw_drift(spark, sf_dir):
+    """Three runs of sites whose fields change: numbers as text, a new field, one that goes."""
+    root = new_area(spark, "raw-drift")
+    first = sites(spark, sf_dir).select("id", "name", "country", "longitude")
+    rating = F.when(F.col("country") == "ASIA", 5)
+    second = first.withColumn("longitude", F.col("longitude").cast("string"))
+    runs = [first, second.withColumn("rating", rating), first.drop("name")]
+    for day, rows in enumerate(runs, 1):
+        ingest.land_raw(rows, root, f"2024_01_{day:02d}_00_00_00_000000")
+    declared = record(id="string", name="string", country="string", longitude="double")
+    return drift(raw_texts(spark, root), declared)
+
+
 def _bodies(paged: DataFrame) -> DataFrame:
     """(page, n_items, body) of a paged relation, with one empty page after the last."""
     fields = [name for name in paged.columns if name != "page"]
@@ -596,6 +638,39 @@ def layered_flow(spark, sf_dir):
     return flow.run(spark, lake)
 
 
+def delta_mart(spark, sf_dir):
+    """The mart of a first run, kept up by the rows that a second run changed."""
+    lake = _site_lake(spark)
+    relation = sites(spark, sf_dir)
+    ingest.land_raw(relation, lake.raw_data, "2024_01_01_00_00_00_000000")
+    flow.curate(spark, lake)
+    flow.publish_changes(spark, lake)
+    moved = relation.where(F.col("country") == "ASIA").withColumn("brewery_type", F.lit("MOVED"))
+    ingest.land_raw(moved, lake.raw_data, "2024_01_02_00_00_00_000000")
+    flow.curate(spark, lake)
+    return flow.publish_changes(spark, lake)
+
+
+def merged_verification(spark, sf_dir):
+    """Checks of a first run with broken records, brought up to date by a second one that mends
+    them: only what it changed is measured."""
+    lake = replace(_site_lake(spark), checks=SITE_CHECKS)
+    relation = sites(spark, sf_dir)
+    broken = F.col("country") == "AFRICA"
+    first = relation.withColumns(
+        {
+            "name": F.when(~broken, F.col("name")),
+            "postal_code": F.when(broken, F.lit("12.5")).otherwise(F.col("postal_code")),
+        }
+    )
+    ingest.land_raw(first, lake.raw_data, "2024_01_01_00_00_00_000000")
+    flow.curate(spark, lake)
+    lake.checked(spark).report()
+    ingest.land_raw(relation.where(broken), lake.raw_data, "2024_01_02_00_00_00_000000")
+    flow.curate(spark, lake)
+    return lake.checked(spark).report()
+
+
 def stream_upsert(spark, sf_dir):
     """Drain the later raw run as a stream, then, with the same checkpoint, the earlier one,
     file by file: it changes no row of the later run."""
@@ -641,9 +716,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_refused": schema_refused,
     "stamped_now": stamped_now,
     "raw_json_pages": raw_json_pages,
+    "salvaged_pages": salvaged_pages,
+    "raw_drift": raw_drift,
     "saved_watermark": saved_watermark,
     "paged_full_load": paged_full_load,
     "paged_incremental_load": paged_incremental_load,
     "layered_flow": layered_flow,
+    "delta_mart": delta_mart,
+    "merged_verification": merged_verification,
+    "region_distribution": region_distribution,
     "stream_upsert": stream_upsert,
 }
