@@ -52,6 +52,9 @@ RULES = (
 )
 
 
+SPARE_BITS = 0  # of the first, coarse comparison, beyond those that places need
+
+
 def measured(text: Column, frame: DataFrame, name: str = "quality") -> DataFrame:
     """``frame`` with a struct column of base counts and of the measures the rules use."""
     outer = [F.col(f"`{column}`") for column in frame.columns]
@@ -67,8 +70,9 @@ def measured(text: Column, frame: DataFrame, name: str = "quality") -> DataFrame
             lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    staged = staged.withColumns({"__windows": windows, "__bits": F.length(F.bin(n))})
-    # the low bits of each hash give way to the window's place: one sort of plain longs
+    staged = staged.withColumns({"__windows": windows, "__bits": F.length(F.bin(n)) + SPARE_BITS})
+    # the low bits of each hash give way to the window's place: one sort of plain longs finds
+    # all windows that can be repeated
     placed = F.expr(
         "sort_array(transform(__windows, (h, i) ->"
         " shiftleft(shiftright(h, __bits), __bits) | cast(i AS bigint)))"
@@ -80,9 +84,19 @@ def measured(text: Column, frame: DataFrame, name: str = "quality") -> DataFrame
         " OR (k < size(__placed) - 1"
         " AND shiftright(p, __bits) = shiftright(get(__placed, k + 1), __bits)))"
     )
-    staged = staged.withColumn("__again", again)
+    # of these few the whole hashes decide
+    whole = F.expr(
+        "sort_array(transform(transform(__again, p -> p & (shiftleft(1L, __bits) - 1)),"
+        " i -> named_struct('h', get(__windows, cast(i AS int)), 'i', i)))"
+    )
+    staged = staged.withColumn("__again", again).withColumn("__whole", whole)
+    repeated = F.expr(
+        "filter(__whole, (w, k) -> (k > 0 AND w.h = get(__whole, k - 1).h)"
+        " OR (k < size(__whole) - 1 AND w.h = get(__whole, k + 1).h))"
+    )
+    staged = staged.withColumn("__repeated", repeated)
     covered = F.expr(
-        "aggregate(sort_array(transform(__again, p -> p & (shiftleft(1L, __bits) - 1))),"
+        "aggregate(sort_array(transform(__repeated, w -> w.i)),"
         " named_struct('end', 0L, 'n', 0L),"
         " (acc, i) -> named_struct('end', i + 3, 'n', acc.n + i + 3 - greatest(acc.end, i)),"
         " acc -> acc.n)"
