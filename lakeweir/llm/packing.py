@@ -9,6 +9,9 @@ sequences empty. Sequences left loose are opened again and packed once more acro
 
 A null or empty text is one end id. Repeated rows are pieces of their own. An empty table
 gives an empty one. Columns beyond the key are not carried.
+
+Ids come from the fast encoder of the same vocabulary; it gives up on very long runs of white
+space, so a text with one, and any other that it gives up on, goes to the tokenizer itself.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ CAPACITY = 2048
 END_ID = 0
 GROUP_PIECES = 4096
 LOOSE_SHARE = 64  # a sequence is loose if over 1/64 of it is free
-GIVE_UP_AFTER = 24  # emptiest sequences tried in a row without any improvement
+LAST_LEVEL = 31  # of packing loose sequences again; its number takes five bits of an id
+LONG_GAP = 4096  # characters of white space in a row
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -45,6 +49,32 @@ def _encoding(ranks_path: str, pattern: str):
     )
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def ids_of(text: str, ranks_path: str, pattern: str, tokenizer_path: str) -> list[int]:
+    """The ids of ``text`` as the tokenizer gives them."""
+    import re
+
+    encoding = _encoding(ranks_path, pattern)
+    if not re.search(rf"\s{{{LONG_GAP}}}", text):
+        try:
+            if any(special in text for special in SPECIAL):
+                return encoding.encode(text, allowed_special="all")
+            return encoding.encode_ordinary(text)
+        except BaseException as error:  # a panic of the encoder is no Exception
+            if type(error).__name__ != "PanicException":
+                raise
+    return _tokenizer(tokenizer_path).encode(text, add_special_tokens=False).ids
+
+
 def pieces_of(length: int, capacity: int) -> Iterator[tuple[int, int]]:
     """Start and length of each piece of a document of ``length`` tokens."""
     first = length % capacity or min(length, capacity)
@@ -57,30 +87,27 @@ def tokenized_pieces(
     documents: DataFrame,
     ranks_path: str,
     pattern: str,
+    tokenizer_path: str,
     capacity: int = CAPACITY,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
-    """The pieces of all documents; ``ids`` are little-endian unsigned 32-bit ids."""
+    """The pieces of all documents; ``ids`` are little-endian unsigned 32-bit ids. The ranks and
+    the tokenizer hold one vocabulary."""
 
     def cut(batches):
         import numpy as np
         import pyarrow as pa
 
-        encoding = _encoding(ranks_path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)
                 out: list[list] = [[], [], [], [], []]
                 texts = rows.column(1).to_pylist()
                 for doc_id, string in zip(rows.column(0).to_pylist(), texts, strict=True):
-                    if any(special in string for special in SPECIAL):
-                        ids = encoding.encode(string, allowed_special="all")
-                    else:
-                        ids = encoding.encode_ordinary(string)
-                    ids.append(END_ID)
-                    packed = np.array(ids, dtype="<u4").tobytes()
-                    for piece, (start, size) in enumerate(pieces_of(len(ids), capacity)):
+                    ids = ids_of(string, ranks_path, pattern, tokenizer_path)
+                    packed = np.array([*ids, END_ID], dtype="<u4").tobytes()
+                    for piece, (start, size) in enumerate(pieces_of(len(packed) // 4, capacity)):
                         span = packed[4 * start : 4 * (start + size)]
                         for column, value in zip(
                             out, (doc_id, piece, start, size, span), strict=True
@@ -182,17 +209,18 @@ class LocalSearch:
         items = sorted(self.bins[donor], key=lambda i: -self.length[i])
         if any(self._swap(donor, (item,)) for item in items):
             return True
-        return any(
-            self._swap(donor, (first, second))
-            for at, first in enumerate(items[:8])
-            for second in items[at + 1 : 9]
-        )
+        # pairs of one sum fit alike
+        pairs = {
+            int(self.length[first] + self.length[second]): (first, second)
+            for at, first in enumerate(items)
+            for second in items[at + 1 :]
+        }
+        return any(self._swap(donor, pairs[total]) for total in sorted(pairs, reverse=True))
 
     def run(self) -> list[list[int]]:
         np = self.np
         stuck: set[int] = set()
-        failures = 0
-        while failures < GIVE_UP_AFTER:
+        while True:
             open_ = [n for n in np.argsort(self.fill, kind="stable") if self.bins[n]]
             donor = next((int(n) for n in open_ if int(n) not in stuck), None)
             if donor is None:
@@ -202,12 +230,10 @@ class LocalSearch:
             )
             if room < self.fill[donor]:
                 break  # what is free elsewhere cannot take the emptiest bin
-            improved = False
             while self.bins[donor] and self._improve(donor):
-                improved = True
+                pass
             if self.bins[donor]:
                 stuck.add(donor)
-            failures = 0 if improved else failures + 1
         return [sorted(items) for items in self.bins if items]
 
 
@@ -258,14 +284,17 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (any columns, ``length`` among them) with ``sequence_id`` and ``offset``."""
     # row numbers of a written table stay the same however often it is read
     stored = written(pieces, "pieces").withColumn("__row", F.monotonically_increasing_id())
-    whole = stored.where(F.col("length") >= capacity).select(
+    done = stored.where(F.col("length") >= capacity).select(
         "*", (-1 - F.col("__row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     rest = stored.where(F.col("length") < capacity)
-    first = _pack_level(rest, rest.count(), capacity, 0)
-    again = first.where("__loose").drop("sequence_id", "offset", "__loose")
-    second = _pack_level(again, again.count(), capacity, 1)
-    done = whole.unionByName(first.where("NOT __loose").drop("__loose")).unionByName(
-        second.drop("__loose")
-    )
-    return done.drop("__row")
+    count, level = rest.count(), 0
+    while True:
+        packed = _pack_level(rest, count, capacity, level)
+        loose = packed.where("__loose")
+        left = loose.count()
+        if count <= GROUP_PIECES or left >= count or level == LAST_LEVEL:
+            return done.unionByName(packed.drop("__loose")).drop("__row")
+        done = done.unionByName(packed.where("NOT __loose").drop("__loose"))
+        rest = loose.drop("sequence_id", "offset", "__loose")
+        count, level = left, level + 1

@@ -66,6 +66,7 @@ def op3_best_fit_packing(spark, sf_dir):
         documents(spark, sf_dir, "doc_id", "text"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        public_tokenizers.path("byte_bpe_50k.json"),
     )
     digests = pieces.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
