@@ -5,7 +5,7 @@ odds against the average document. Sites form a hierarchy: all documents, a host
 the host. The mean quality of a site is shrunk towards its parent's with a strength estimated
 from the spread between sites (method of moments), so sparse sites follow their parent and
 large ones speak for themselves. A document's score adds its evidence to the log odds of its
-path.
+path, both rates taken over the other documents only: its own evidence counts once.
 
 The model is fitted on a bounded number of labelled documents. Site statistics cover all
 documents and are grouped aggregates: combined before the shuffle, so a host with a third of
@@ -153,12 +153,19 @@ def _strength(sites: DataFrame, parent: str) -> float:
     return min(max(inside / spread, LEAST_STRENGTH), MOST_STRENGTH)
 
 
-def _shrunk(strength: float, parent: Column) -> Column:
-    return (F.col("total") + strength * parent) / (F.col("n") + strength)
+def _shrunk(
+    strength: Column, parent: Column, total: Column, n: Column, own: Column | None = None
+) -> Column:
+    """A site's rate; ``own`` is the probability of a document to be left out."""
+    if own is not None:
+        total, n = total - own, n - 1
+    return (total + strength * parent) / (n + strength)
 
 
 def site_posteriors(scored: DataFrame) -> DataFrame:
-    """Posterior mean quality of each (host, path): columns host, path, n, host_rate, path_rate.
+    """Posterior mean quality of each (host, path): columns host, path, n, total, host_n,
+    host_total, host_rate, path_rate, and the same on every row, whole_n, whole_total,
+    host_strength, path_strength.
 
     ``scored`` has host, path and p, the document probability.
     """
@@ -170,22 +177,46 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
         ),
         "paths",
     )
-    whole = paths.agg(F.sum("total") / F.sum("n")).first()[0] or 0.0
+    whole_n, whole_total = paths.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0.0))
+    ).first()
+    whole = whole_total / whole_n if whole_n else 0.0
     hosts = paths.groupBy("host").agg(
         *(F.sum(name).alias(name) for name in ("n", "total", "squares"))
     )
     overall = F.lit(whole)
-    strength = _strength(hosts.withColumn("parent", overall), "parent")
-    rates = hosts.select("host", _shrunk(strength, overall).alias("host_rate"))
+    host_strength = F.lit(_strength(hosts.withColumn("parent", overall), "parent"))
+    rates = hosts.select(
+        "host",
+        F.col("n").alias("host_n"),
+        F.col("total").alias("host_total"),
+        _shrunk(host_strength, overall, F.col("total"), F.col("n")).alias("host_rate"),
+    )
     with_host = (
         paths.alias("p")
         .join(rates.alias("h"), F.col("p.host").eqNullSafe(F.col("h.host")))
-        .select("p.*", "host_rate")
+        .select("p.*", "host_n", "host_total", "host_rate")
     )
-    strength = _strength(with_host, "host_rate")
+    path_strength = F.lit(_strength(with_host, "host_rate"))
+    rate = _shrunk(path_strength, F.col("host_rate"), F.col("total"), F.col("n"))
     return with_host.select(
-        "host", "path", "n", "host_rate", _shrunk(strength, F.col("host_rate")).alias("path_rate")
+        "host", "path", "n", "total", "host_n", "host_total", "host_rate", rate.alias("path_rate"),
+        F.lit(whole_n).alias("whole_n"),
+        F.lit(whole_total).alias("whole_total"),
+        host_strength.alias("host_strength"),
+        path_strength.alias("path_strength"),
+    )
+
+
+def rates_without(p: Column) -> tuple[Column, Column]:
+    """Host and path rate over all documents but one with probability ``p``; a document alone in
+    the table has a host rate drawn to one half."""
+    rest = F.when(F.col("whole_n") > 1, (F.col("whole_total") - p) / (F.col("whole_n") - 1))
+    overall = F.coalesce(rest, F.lit(0.5))
+    host = _shrunk(
+        F.col("host_strength"), overall, F.col("host_total"), F.col("host_n"), p
     )
+    return host, _shrunk(F.col("path_strength"), host, F.col("total"), F.col("n"), p)
 
 
 def classify(
@@ -197,7 +228,7 @@ def classify(
     text: str = "text",
 ) -> DataFrame:
     """Per document: doc_id, host, path, evidence (log odds over the average), document_rate,
-    host_rate, path_rate, score and kept."""
+    host_rate and path_rate (both without the document itself), score and kept."""
     staged = documents.select(
         F.col(key).alias("doc_id"), host.alias("host"), path.alias("path"),
         text_of(text).alias("__text"),
@@ -214,7 +245,8 @@ def classify(
         F.col("s.path")
     )
     evidence = F.col("odds") - model.prior
-    total = evidence + _log_odds(F.col("path_rate"))
+    host_rate, path_rate = rates_without(F.col("p"))
+    total = F.col("evidence") + _log_odds(F.col("path_rate"))
     return (
         scored.alias("d")
         .join(sites.alias("s"), matched)
@@ -224,9 +256,9 @@ def classify(
             "d.path",
             evidence.alias("evidence"),
             F.col("p").alias("document_rate"),
-            "host_rate",
-            "path_rate",
-            (1 / (1 + F.exp(-total))).alias("score"),
+            host_rate.alias("host_rate"),
+            path_rate.alias("path_rate"),
         )
+        .select("*", (1 / (1 + F.exp(-total))).alias("score"))
         .withColumn("kept", F.col("score") >= KEEP_AT)
     )
