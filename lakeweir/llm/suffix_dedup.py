@@ -19,8 +19,9 @@ one shard wherever they come from. Consecutive windows with one anchor travel as
 
 Text is compared as UTF-8 bytes, which hold no byte 255, so that one separates phrases. Null
 and empty texts, and those shorter than a match, are left whole, as are rows without a key,
-which have no order. Rows that share a key count as one document: what is found in one of
-them is marked at the same offsets of the others. An empty table gives an empty one.
+which have no order. Rows that share a key are no earlier than each other; what is found in one
+carries a checksum of its bytes, so that it is cut out of the rows that hold them there. An empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -48,9 +49,10 @@ ANCHOR_ROW = (
 )
 PHRASE_ROW = (
     "shard int, docs binary, starts binary, hashes binary, sizes binary, bytes binary,"
-    " done_docs binary, done_starts binary, done_windows binary"
+    " done_docs binary, done_starts binary, done_windows binary, done_sums binary"
 )
-FOUND_ROW = "doc_id long, run long"  # the first window above 32 bits, their number below
+# ``run``: the first window above 32 bits, their number below; ``sum``: CRC-32 of the bytes
+FOUND_ROW = "doc_id long, run long, sum int"
 
 
 # -- windows and their anchors ---------------------------------------------------------
@@ -92,6 +94,15 @@ def _shards_of(hashes, shards: int):
     return ((hashes >> np.uint64(8 * HASH_BYTES)) % np.uint64(shards)).astype(np.int32)
 
 
+def _dealt(shard):
+    """(number, rows) of each shard that occurs."""
+    import numpy as np
+
+    order = np.argsort(shard, kind="stable")
+    numbers, begins = np.unique(shard[order], return_index=True)
+    return zip(numbers.tolist(), np.split(order, begins[1:]), strict=False)
+
+
 def _packed(hashes) -> bytes:
     import numpy as np
 
@@ -151,10 +162,7 @@ def _list_anchors(shards: int):
                 told = several[group] if len(group) else np.zeros(0, dtype=bool)
                 columns: list[list] = [[] for _ in range(7)]
                 shard = _shards_of(hashes, shards)
-                by_shard = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1))
-                for number in np.unique(shard).tolist():
-                    part = by_shard[cuts[number] : cuts[number + 1]]
+                for number, part in _dealt(shard):
                     listed, known = part[head[part]], part[told[part]]
                     values = (
                         number,
@@ -223,11 +231,8 @@ def _cut_phrases(shards: int):
                     np.concatenate(column) for column in zip(*parts, strict=True)
                 )
                 shard = _shards_of(hashes, shards)
-                by_shard = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[by_shard], np.arange(shards + 1))
-                columns: list[list] = [[] for _ in range(9)]
-                for number in np.unique(shard).tolist():
-                    part = by_shard[cuts[number] : cuts[number + 1]]
+                columns: list[list] = [[] for _ in range(10)]
+                for number, part in _dealt(shard):
                     sent, done = part[new[part]], part[~new[part]]
                     values = (
                         number,
@@ -239,6 +244,9 @@ def _cut_phrases(shards: int):
                         docs[done].tobytes(),
                         starts[done].astype(np.int32).tobytes(),
                         windows[done].astype(np.int32).tobytes(),
+                        np.array(
+                            [zlib.crc32(phrases[i]) for i in done.tolist()], dtype=np.uint32
+                        ).tobytes(),
                     )
                     for column, value in zip(columns, values, strict=True):
                         column.append(value)
@@ -394,7 +402,7 @@ def _places(index: RunIndex, text, starts):
 
 
 def shard_windows(docs, starts, hashes, phrases):
-    """Settle the phrases of a shard: lists (doc, start, windows) of repeated windows.
+    """Settle the phrases of a shard: lists (doc, start, windows, checksum) of repeated windows.
 
     The arguments are parallel lists; ``hashes`` are low bits of the phrases' anchors, so
     equal anchors have equal ones.
@@ -408,7 +416,7 @@ def shard_windows(docs, starts, hashes, phrases):
     for at in np.lexsort((starts, docs)).tolist():
         phrase = phrases[at]
         if first.setdefault(phrase, docs[at]) < docs[at]:
-            found.append((docs[at], starts[at], len(phrase) - MATCH + 1))
+            found.append((docs[at], starts[at], len(phrase) - MATCH + 1, zlib.crc32(phrase)))
         else:
             anchor[phrase] = hashes[at]
             open_.append((docs[at], starts[at], phrase))
@@ -432,12 +440,14 @@ def shard_windows(docs, starts, hashes, phrases):
     hit = (place >= 0) & (earliest < owners[owner])
     edge = np.append(True, (hit[1:] != hit[:-1]) | (owner[1:] != owner[:-1]))
     runs = np.nonzero(edge)[0]
-    spans: dict[bytes, list[tuple[int, int]]] = {}
+    spans: dict[bytes, list[tuple[int, int, int]]] = {}
     for run, size in zip(runs.tolist(), np.diff(np.append(runs, len(hit))).tolist(), strict=True):
         if hit[run]:
-            spans.setdefault(listed[owner[run]], []).append((int(window[run]), size))
+            phrase, shift = listed[owner[run]], int(window[run])
+            checksum = zlib.crc32(phrase[shift : shift + size + MATCH - 1])
+            spans.setdefault(phrase, []).append((shift, size, checksum))
     for doc, start, phrase in open_:
-        found += [(doc, start + shift, size) for shift, size in spans.get(phrase, ())]
+        found += [(doc, start + shift, *rest) for shift, *rest in spans.get(phrase, ())]
     return found
 
 
@@ -458,11 +468,18 @@ def _search_shard(table):
             np.frombuffer(row["done_docs"], np.int64).tolist(),
             np.frombuffer(row["done_starts"], np.int32).tolist(),
             np.frombuffer(row["done_windows"], np.int32).tolist(),
+            np.frombuffer(row["done_sums"], np.uint32).tolist(),
             strict=True,
         )
     found += shard_windows(docs, starts, hashes, phrases)
-    columns = np.array(found, dtype=np.int64).reshape(-1, 3)
-    return pa.table({"doc_id": columns[:, 0], "run": (columns[:, 1] << 32) + columns[:, 2]})
+    columns = np.array(found, dtype=np.int64).reshape(-1, 4)
+    return pa.table(
+        {
+            "doc_id": columns[:, 0],
+            "run": (columns[:, 1] << 32) + columns[:, 2],
+            "sum": columns[:, 3].astype(np.uint32).view(np.int32),
+        }
+    )
 
 
 # -- over a table ----------------------------------------------------------------------
@@ -484,8 +501,8 @@ def packed_texts(rows: DataFrame) -> DataFrame:
 
 
 def repeated_windows(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, run) of runs of repeated windows: the first one, shifted by 32 bits, and
-    their number."""
+    """Rows (doc_id, run, sum) of runs of repeated windows: the first one, shifted by 32 bits, and
+    their number, with the checksum of their bytes."""
     rows = documents.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text")
     )
@@ -520,13 +537,22 @@ def covered_spans(starts, windows, size: int) -> list[tuple[int, int]]:
     return list(zip(turns[::2], turns[1::2], strict=True))
 
 
+def _held(data: bytes, starts, windows, sums):
+    """Which runs have their bytes in ``data``: rows of one key may differ."""
+    import numpy as np
+
+    ends = starts + windows + MATCH - 1
+    spans = zip(starts.tolist(), ends.tolist(), sums.tolist(), strict=True)
+    return np.array([zlib.crc32(data[b:e]) == c for b, e, c in spans], dtype=bool)
+
+
 def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id``, ``n_bytes``, ``spans`` (the marked byte ranges) and ``kept``,
     the bytes outside of them."""
     found = (
         repeated_windows(documents, key, text)
         .groupBy("doc_id")
-        .agg(F.collect_list("run").alias("runs"))
+        .agg(F.collect_list(F.struct("run", "sum")).alias("runs"))
         .withColumnRenamed("doc_id", "__key")
     )
     rows = documents.select(
@@ -551,8 +577,10 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
                     data = zlib.decompress(packed)
                     found = []
                     if runs.is_valid:
-                        run = runs.values.to_numpy()
-                        found = covered_spans(run >> 32, run & 0xFFFFFFFF, len(data))
+                        run = runs.values.field("run").to_numpy()
+                        sums = runs.values.field("sum").to_numpy().view(np.uint32)
+                        own = _held(data, run >> 32, run & 0xFFFFFFFF, sums)
+                        found = covered_spans(run[own] >> 32, run[own] & 0xFFFFFFFF, len(data))
                     ends = [0, *(end for _, end in found)]
                     begins = [*(begin for begin, _ in found), len(data)]
                     sizes.append(len(data))
