@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and character Markov models that add what looks random.
 
 Two first-order models over characters, one of random strings and one of ordinary
-identifiers, are fitted from labelled samples; a long run of key-like characters whose
-log-likelihood ratio favours the random model is a secret. Everything runs as column
+identifiers, are fitted from labelled samples that all documents give. What base patterns leave
+of a long run of key-like characters is searched for the stretch, between separators, whose
+log-likelihood ratio favours the random model most; a long one that it favours enough is a
+secret. So a key is found beside an access key or behind a path. Everything runs as column
 expressions; positions come from splitting a text at the matches.
 
 A null text is empty. Each text is judged alone, so ties, repeats and extra columns change
@@ -29,11 +31,12 @@ ASSIGN = (
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA and more, 20 characters at least
 HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+SEPARATORS = ("/", "_", "=", "-")
+LEAST_KEY = 20
 KINDS = ("assign", "access", "hex", MARKOV)
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 WIDTH = len(ALPHABET) + 1  # place 0 is any other character
 
-TRAIN_DOCUMENTS = 1000
 LEAST_WORD = 4
 SMOOTHING = 0.5
 MARGIN = 12.0  # nats in favour of the random model
@@ -120,18 +123,16 @@ def _place(character: Column) -> Column:
     return F.instr(F.lit(ALPHABET), character)
 
 
-def labelled_samples(
-    documents: DataFrame, text: str = "text", key: str = "doc_id", most: int = TRAIN_DOCUMENTS
-) -> DataFrame:
-    """``word`` and ``random`` from about ``most`` documents picked by a hash of their key.
+def labelled_samples(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``word`` and ``random`` from all documents.
 
     Random: the values that base patterns find, and digests, which are random by
     construction. Ordinary: the words outside of base matches.
     """
-    n = documents.count()
-    picked = documents.where(F.pmod(F.xxhash64(F.lit("train"), key), F.lit(max(1, n // most))) == 0)
-    picked = picked.select(F.coalesce(key, F.lit(-1)).alias("key"), text_of(text).alias("text"))
-    digest = F.unhex(F.sha2(F.col("key").cast("string"), 256))
+    picked = documents.select(
+        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), text_of(text).alias("text")
+    )
+    digest = F.unhex(F.sha2(F.col("key").cast("binary"), 256))
     secrets = F.concat(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
@@ -162,16 +163,44 @@ def train(samples: DataFrame) -> MarkovRatio:
     return fit({(row["first"], row["second"], row["random"]): row["count"] for row in counted})
 
 
-def ratio_of(word: Column, model: MarkovRatio) -> Column:
-    """Sum of the log-likelihood ratios over all neighbouring characters."""
+def likeliest_key(word: Column, model: MarkovRatio) -> Column:
+    """The stretch of ``word`` between two separators or ends, without separators at its own ends,
+    with the greatest sum of log-likelihood ratios over its neighbouring other characters:
+    ``ratio``, and the places ``first`` and ``last`` of its characters, from 1."""
     table = model.column()
+    size = F.length(word)
+
+    def step(seen: Column, i: Column) -> Column:
+        here, following = F.substring(word, i, F.lit(1)), F.substring(word, i + 1, F.lit(1))
+        apart = here.isin(*SEPARATORS)
+        stops = ~apart & ((i == size) | following.isin(*SEPARATORS))
+        better = stops & (seen["ratio"] > seen["best"])
+        # a separator says nothing: ordinary words seldom hold one, paths and keys do
+        inside = (i < size) & ~apart & ~following.isin(*SEPARATORS)
+        pair = F.when(inside, F.get(table, _place(here) * WIDTH + _place(following)))
+        onward = seen["ratio"] + F.coalesce(pair, F.lit(0.0))
+        restart = apart & ((onward <= 0) | (seen["begin"] == i))
+        return F.struct(
+            F.when(restart, 0.0).otherwise(onward).alias("ratio"),
+            F.when(restart, i + 1).otherwise(seen["begin"]).alias("begin"),
+            F.when(better, seen["ratio"]).otherwise(seen["best"]).alias("best"),
+            F.when(better, seen["begin"]).otherwise(seen["first"]).alias("first"),
+            F.when(better, i).otherwise(seen["last"]).alias("last"),
+        )
 
-    def step(total: Column, i: Column) -> Column:
-        first = _place(F.substring(word, i, F.lit(1)))
-        second = _place(F.substring(word, i + 1, F.lit(1)))
-        return total + F.get(table, first * WIDTH + second)
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(word) - 1), F.lit(0.0), step)
+    start = F.struct(
+        F.lit(0.0).alias("ratio"),
+        F.lit(1).alias("begin"),
+        F.lit(float("-inf")).alias("best"),
+        F.lit(1).alias("first"),
+        F.lit(0).alias("last"),
+    )
+    return F.aggregate(
+        F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
+        start,
+        step,
+        lambda seen: F.struct(seen["best"].alias("ratio"), seen["first"], seen["last"]),
+    )
 
 
 # -- the scan --------------------------------------------------------------------------
@@ -198,13 +227,55 @@ def scan(
         }
     )
     out = out.withColumn("__base", F.sort_array(F.concat("__assign", "__access", "__hex")))
-    markov = F.filter(
-        "__candidates",
-        lambda c: ~F.exists(
-            "__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])
+
+    def left_of(run: Column) -> Column:
+        """The parts of a run outside of base spans, as (start, end)."""
+        none = F.array().cast("array<struct<start:int,end:int>>")
+
+        def part(start: Column, end: Column) -> Column:
+            return F.array(F.struct(start.alias("start"), end.alias("end")))
+
+        def step(seen: Column, base: Column) -> Column:
+            gap = F.when(base["start"] > seen["at"], part(seen["at"], base["start"]))
+            return F.struct(
+                F.greatest(seen["at"], base["end"]).alias("at"),
+                F.concat(seen["parts"], F.coalesce(gap, none)).alias("parts"),
+            )
+
+        inside = F.filter(
+            "__base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])
+        )
+        start = F.struct(run["start"].alias("at"), none.alias("parts"))
+        parts = F.aggregate(
+            inside, start, step, lambda seen: F.concat(seen["parts"], part(seen["at"], run["end"]))
         )
-        & (ratio_of(c["value"], model) > margin),
+        return F.filter(parts, lambda p: p["end"] - p["start"] >= LEAST_KEY)
+
+    parts = F.transform(
+        F.flatten(F.transform("__candidates", left_of)),
+        lambda p: F.struct(
+            p["start"].alias("start"),
+            likeliest_key(F.substring(t, p["start"] + 1, p["end"] - p["start"]), model).alias("key"),
+        ),
     )
+    out = out.withColumn("__parts", parts)
+    keys = F.filter(
+        "__parts",
+        lambda p: (p["key"]["ratio"] > margin)
+        & (p["key"]["last"] - p["key"]["first"] + 1 >= LEAST_KEY),
+    )
+
+    def span(p: Column) -> Column:
+        first, last = p["key"]["first"], p["key"]["last"]
+        return F.struct(
+            (p["start"] + first - 1).alias("start"),
+            F.lit(KINDS.index(MARKOV)).alias("rank"),
+            (p["start"] + last).alias("end"),
+            F.lit(MARKOV).alias("kind"),
+            F.substring(t, p["start"] + first, last - first + 1).alias("value"),
+        )
+
+    markov = F.transform(keys, span)
     out = out.withColumn("__markov", markov)
     found = F.struct(
         F.col("__assign").alias("assign"),
