@@ -18,6 +18,7 @@ from lakeweir.llm.text import documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def collect(frame):
@@ -164,7 +165,7 @@ def test_packing_edges(edge_frame, empty_frame):
     from pyspark.sql import functions as F
 
     def packed(frame):
-        pieces = packing.tokenized_pieces(frame, RANKS, public_tokenizers.PATTERN)
+        pieces = packing.tokenized_pieces(frame, RANKS, public_tokenizers.PATTERN, TOKENIZER)
         digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
         return collect(packing.pack(digests))
 
@@ -179,7 +180,7 @@ def test_special_token_string(spark):
 
     text = "a <|endoftext|> b"
     frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    pieces = packing.tokenized_pieces(frame, RANKS, public_tokenizers.PATTERN)
+    pieces = packing.tokenized_pieces(frame, RANKS, public_tokenizers.PATTERN, TOKENIZER)
     rows = collect(packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")))
     check_packing(rows, [(1, text)])
 

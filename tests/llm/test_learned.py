@@ -189,6 +189,44 @@ def test_sites_shrink_by_moments(spark):
         assert r["path_rate"] == pytest.approx(path_rate[r["host"], r["path"]])
 
 
+def test_a_document_counts_once(spark):
+    """Scores recomputed from the evidence, each document left out of its own site's rates."""
+    rng = np.random.default_rng(7)
+    rows = [
+        (i, "".join(rng.choice(list("ab!#. 7\n"), 60)), rng.choice(["a", "b", "c"]), f"p{i % 2}")
+        for i in range(60)
+    ] + [(100, "one of its own", "d", "p")]
+    schema = "doc_id long, text string, h string, p string"
+    frame = spark.createDataFrame([(int(i), t, str(h), p) for i, t, h, p in rows], schema)
+    names = tuple(quality_classifier.features(text_of()))
+    weights = (0.9, 3.0, 2.0, -2.0, 1.0, 4.0, 0.5, 1.0)
+    model = quality_classifier.Model(names, weights, -1.0, 0.4)
+    got = collect(quality_classifier.classify(frame, model, F.col("h"), F.col("p")))
+    sites = collect(
+        quality_classifier.site_posteriors(
+            spark.createDataFrame(
+                [(r["host"], r["path"], r["document_rate"]) for r in got],
+                "host string, path string, p double",
+            )
+        )
+    )
+    strengths = sites[0]["host_strength"], sites[0]["path_strength"]
+    for r in got:
+        others = [o for o in got if o["doc_id"] != r["doc_id"]]
+        host = [o["document_rate"] for o in others if o["host"] == r["host"]]
+        path = [
+            o["document_rate"] for o in others
+            if (o["host"], o["path"]) == (r["host"], r["path"])
+        ]
+        overall = np.mean([o["document_rate"] for o in others])
+        host_rate = (sum(host) + strengths[0] * overall) / (len(host) + strengths[0])
+        path_rate = (sum(path) + strengths[1] * host_rate) / (len(path) + strengths[1])
+        odds = r["evidence"] + np.log(path_rate / (1 - path_rate))
+        assert r["host_rate"] == pytest.approx(host_rate)
+        assert r["path_rate"] == pytest.approx(path_rate)
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-odds)))
+
+
 def test_quality_query_and_edges(spark, sf_dir, edge_frame, empty_frame):
     rows = collect(QUERIES["op5_quality_classifier"](spark, sf_dir))
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
