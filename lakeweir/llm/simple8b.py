@@ -27,12 +27,16 @@ def _selectors(values):
     import numpy as np
 
     n = len(values)
-    places = np.arange(n)
+    places = np.arange(n, dtype=np.int32)
+    limits = np.array([1 << width for width in sorted(set(WIDTHS))], dtype=np.uint64)
+    # which width each id needs, as its number among the widths
+    need = np.searchsorted(limits, values, side="right").astype(np.uint8)
+    rank = {width: number for number, width in enumerate(sorted(set(WIDTHS)))}
     chosen = np.full(n, len(COUNTS) - 1, dtype=np.uint8)
     for selector in range(len(COUNTS) - 2, -1, -1):
-        wide = values >> np.uint64(WIDTHS[selector]) != 0
         # place of the next id that is too wide; what follows the last id is padding and fits
-        stop = np.where(wide, places, n + max(COUNTS))[::-1]
+        wide = need > rank[WIDTHS[selector]]
+        stop = np.where(wide, places, np.int32(n + max(COUNTS)))[::-1]
         stop = np.minimum.accumulate(stop)[::-1]
         chosen[stop - places >= COUNTS[selector]] = selector
     return chosen

@@ -14,15 +14,18 @@ one number for each partition of the sort.
 Null and empty texts are the end id alone. Rows with a null key come first; rows with equal keys
 follow in the order in which they are read, and being sorted by that too, a key that many rows
 share is spread over parts. An empty table writes no block and reads as an empty one. Columns but
-key and text are not carried. Very long texts are encoded in pieces cut at a space, which no token
-of a tokenizer that drops white space spans; a stretch without any space is one piece.
+key and text are not carried. Very long texts that the tokenizer itself must cut are given to it in
+parts cut at a space, which no token of a tokenizer that drops white space spans; a stretch without
+any space is one part.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +36,9 @@ from lakeweir.sources.scratch import written
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-PIECE_CHARS = 1 << 17
+PART_CHARS = 1 << 17
 BATCH_CHARS = 1 << 19
+MOST_PIECES = 300_000  # that a worker remembers
 BLOCKS = (
     "part int, block int, first long, n_ids int, payload binary, doc_ids array<long>, "
     "doc_starts array<int>, carried long, continues boolean"
@@ -42,24 +46,176 @@ BLOCKS = (
 SEGMENTS = "part int, doc_start long, doc_id long, place long, n long, crc long, whole boolean"
 # Fixed value: the polynomial of CRC-32, lowest power in the highest bit.
 CRC_POLYNOMIAL = 0xEDB88320
+# The cutting rules of tokenizers that lower-case, drop white space and mark the
+# end of a word, and what they say of ASCII and of the letters of Latin-1.
+END_OF_WORD = "</w>"
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {
+                    "Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+                },
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {
+                "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+                "use_regex": False,
+            },
+        ],
+    },
+    "suffix": END_OF_WORD,
+    "prefix": None,
+}
+PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+LETTER = "a-zß-öø-ÿ"
+PIECES = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[0-9]|[^ \t\n\x0b\x0c\r{LETTER}0-9]+"
+)
 _AT = "__at"
 
 
 # -- encoding --------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    import os
+class Encoder:
+    """Ids of texts, by a table of the pieces seen so far.
+
+    The tokenizer cuts a text into pieces and merges inside each alone, so a piece has the same
+    ids wherever it stands. Where its rules are those of ``PIECES``, and a text holds only
+    characters of which these are known to say the same, pieces are cut here, and the tokenizer
+    is asked once for each new one. Any other text goes to the tokenizer as it is.
+    """
+
+    def __init__(self, path: str, most_pieces: int = MOST_PIECES):
+        import json
+        import os
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+        import numpy as np
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.most_pieces = most_pieces
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.known = _rules_of(rules) == RULES
+        special = [token["content"] for token in rules.get("added_tokens") or ()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        for token, number in vocabulary.items():
+            self.closes[number] = token.endswith(END_OF_WORD)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes = _Codes()
+        self.ids, self.begin, self.size = array("I"), array("q"), array("q")
+
+    def _asked(self, texts: list[str]) -> list:
+        import numpy as np
 
-    return Tokenizer.from_file(path)
+        rows = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(row.ids, dtype=np.uint32) for row in rows]
+
+    def _learn(self, new: list[str]) -> None:
+        """Put the ids of new pieces into the table, in the order of their codes."""
+        import numpy as np
+
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            ids = self._asked([" ".join(part)])[0]
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(part):
+                rows = self._asked(part)
+                ids = np.concatenate(rows)
+                ends = np.cumsum([len(row) for row in rows])
+            begins = np.concatenate([[0], ends[:-1]])
+            self.begin.frombytes((begins + len(self.ids)).astype(np.int64).tobytes())
+            self.size.frombytes((ends - begins).astype(np.int64).tobytes())
+            self.ids.frombytes(ids[: ends[-1]].astype(np.uint32).tobytes())
+        new.clear()
+
+    def _cut(self, texts: list[str]) -> list:
+        import numpy as np
+
+        found = [PIECES.findall(text.lower()) for text in texts]
+        counts = np.cumsum([0, *map(len, found)])
+        coded = map(self.codes.__getitem__, chain.from_iterable(found))
+        codes = np.fromiter(coded, dtype=np.int64, count=int(counts[-1]))
+        self._learn(self.codes.new)
+        size = np.frombuffer(self.size, dtype=np.int64)[codes]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        shift = np.frombuffer(self.begin, dtype=np.int64)[codes] - (ends - size)
+        ids = np.frombuffer(self.ids, dtype=np.uint32)[np.repeat(shift, size) + np.arange(total)]
+        cuts = np.concatenate([[0], ends])[counts]
+        return [ids[b:e] for b, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def encode(self, texts: list[str]) -> list:
+        """The ids of each text as an array."""
+        if len(self.codes) > self.most_pieces:
+            self._forget()
+        simple = [
+            self.known and PLAIN.fullmatch(text) is not None and not self.special.search(text)
+            for text in texts
+        ]
+        cut = iter(self._cut([t for t, own in zip(texts, simple, strict=True) if own]))
+        return [
+            next(cut) if own else self._whole(text)
+            for text, own in zip(texts, simple, strict=True)
+        ]
+
+    def _whole(self, text: str):
+        """Part by part, so that memory does not follow the text."""
+        import numpy as np
 
+        return np.concatenate([self._asked([part])[0] for part in parts_of(text)])
 
-def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
-    """``text`` cut at spaces or line ends into pieces of at least ``size`` characters."""
+
+class _Codes(dict):
+    """Numbers pieces as they come and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self.new.append(piece)
+        self[piece] = code = len(self)
+        return code
+
+
+def _rules_of(tokenizer: dict) -> dict:
+    """What decides how a tokenizer cuts a text into pieces."""
+    model = tokenizer.get("model") or {}
+    return {
+        "normalizer": tokenizer.get("normalizer"),
+        "pre_tokenizer": tokenizer.get("pre_tokenizer"),
+        "suffix": model.get("end_of_word_suffix"),
+        "prefix": model.get("continuing_subword_prefix"),
+    }
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def parts_of(text: str, size: int = PART_CHARS) -> Iterator[str]:
+    """``text`` cut at spaces or line ends into parts of at least ``size`` characters."""
     gap = re.compile(r"[ \n]")
     start = 0
     while len(text) - start > size and (found := gap.search(text, start + size)):
@@ -68,38 +224,19 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encoded(texts: list[str], tokenizer_path: str, end_id: int) -> Iterator:
+def encoded(texts: list[str], encoder: Encoder, end_id: int) -> Iterator:
     """The ids of each text with the end id, as an array."""
     import numpy as np
 
-    tokenizer = _tokenizer(tokenizer_path)
-
-    def encode(batch, owners, n):
-        found: list[list] = [[] for _ in range(n)]
-        rows = tokenizer.encode_batch_fast(batch, add_special_tokens=False)
-        for owner, row in zip(owners, rows, strict=True):
-            found[owner].append(np.array(row.ids, dtype=np.uint32))
-        return found
-
     end = np.array([end_id], dtype=np.uint32)
     at = 0
     while at < len(texts):
-        batch, owners, chars, first, long = [], [], 0, at, []
+        first, chars = at, 0
         while at < len(texts) and chars < BATCH_CHARS:
-            if len(texts[at]) > PIECE_CHARS:
-                if batch:
-                    break
-                # piece by piece, so that memory does not follow the text
-                for piece in pieces(texts[at]):
-                    long += encode([piece], [0], 1)[0]
-                at += 1
-                break
-            batch.append(texts[at])
-            owners.append(at - first)
             chars += len(texts[at])
             at += 1
-        for parts in [long] if long else encode(batch, owners, at - first):
-            yield np.concatenate([*parts, end])
+        for ids in encoder.encode(texts[first:at]):
+            yield np.concatenate([ids, end])
 
 
 def _blocks_of(tokenizer_path: str, end_id: int, block_ids: int):
@@ -108,6 +245,7 @@ def _blocks_of(tokenizer_path: str, end_id: int, block_ids: int):
         import pyarrow as pa
         from pyspark import TaskContext
 
+        encoder = _encoder(tokenizer_path)
         part = TaskContext.get().partitionId()
         held: list = []  # ids of the open block
         n_held = number = first = 0
@@ -134,7 +272,7 @@ def _blocks_of(tokenizer_path: str, end_id: int, block_ids: int):
                 rows = batch.slice(at, 256)
                 texts = rows.column(1).to_pylist()
                 for key, ids in zip(
-                    rows.column(0).to_pylist(), encoded(texts, tokenizer_path, end_id), strict=True
+                    rows.column(0).to_pylist(), encoded(texts, encoder, end_id), strict=True
                 ):
                     keys.append(key)
                     starts.append(n_held)

@@ -94,17 +94,52 @@ def test_edges(spark, tmp_path, edge_frame, empty_frame):
     assert token_files.read_ids(spark, str(tmp_path / "none")).collect() == []
 
 
+PARTS = [
+    "naïve", "don't", "éte", "\u0301mark", "ΣΑΣ", "<|endoftext|>", "12", "?!", "x" * 30, "STRASSE",
+    "Straße", "it's", "we'LL", "'sß", "½", "µ", "\x1c", "\x85", "İ", "😀", "$5.00", "ÀÖØÞ", "i'd've",
+]
+
+
+def mixed(seed, parts, n=4000):
+    rng = random.Random(seed)
+    return "".join(rng.choice(parts) + rng.choice([" ", "\n", "  ", "\t", ""]) for _ in range(n))
+
+
+def test_pieces_are_those_of_the_tokenizer():
+    encoder, tokenizer = token_files.Encoder(VOCABULARY, 50), Tokenizer.from_file(VOCABULARY)
+    assert encoder.known
+    plain = [p for p in PARTS if token_files.PLAIN.fullmatch(p) and "<|" not in p]
+    assert len(plain) > 10
+    texts = [chr(i) + "a" + chr(i) * 2 + "'s b" + chr(i) for i in range(0x250)]
+    texts += ["", " ", *PARTS, *(mixed(i, plain, 50) for i in range(60)), mixed(1, PARTS)]
+    for at in range(0, len(texts), 37):
+        part = texts[at : at + 37]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+        assert [ids.tolist() for ids in encoder.encode(part)] == want
+    cut = [t for t in texts if token_files.PLAIN.fullmatch(t) and "<|" not in t]
+    assert len(cut) > 200
+
+
+def test_a_tokenizer_with_other_rules_is_asked():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.known
+    texts = ["Some words, it's 12 o'clock.", "", "ünï"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == want
+
+
 def test_long_texts_are_cut_at_spaces():
-    rng = random.Random(3)
-    parts = ["naïve", "don't", "éte", "́mark", "ΣΑΣ", "<|endoftext|>", "12", "?!", "x" * 30]
-    text = "".join(rng.choice(parts) + rng.choice([" ", "\n", "  ", "\t", ""]) for _ in range(4000))
-    cut = list(token_files.pieces(text, 50))
+    text = mixed(3, PARTS)
+    cut = list(token_files.parts_of(text, 50))
     assert "".join(cut) == text and len(cut) > 100
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    assert [i for piece in cut for i in tokenizer.encode(piece).ids] == tokenizer.encode(text).ids
+    assert [i for part in cut for i in tokenizer.encode(part).ids] == tokenizer.encode(text).ids
     long = text * 12
-    got = list(token_files.encoded(["a", long, "b", "", long], VOCABULARY, 2))
+    assert len(long) > token_files.PART_CHARS
+    encoder = token_files.Encoder(VOCABULARY)
+    got = list(token_files.encoded(["a", long, "b", "", "w" * 300_000, long], encoder, 2))
     ids = [*tokenizer.encode(long).ids, 2]
-    assert len(long) > token_files.PIECE_CHARS
-    assert [len(x) for x in got] == [2, len(ids), 2, 1, len(ids)]
-    assert got[1].tolist() == ids == got[4].tolist()
+    assert [len(x) for x in got[:4]] == [2, len(ids), 2, 1]
+    assert got[1].tolist() == ids == got[5].tolist()
+    assert got[4].tolist() == [*tokenizer.encode("w" * 300_000).ids, 2]
