@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +40,20 @@ def count_of(text: Column, characters: str) -> Column:
     for character in characters:
         rest = F.replace(rest, F.lit(character), F.lit(""))
     return F.octet_length(text) - F.octet_length(rest)
+
+
+def slices(batch, column: int, rows: int, size: int) -> Iterator:
+    """An Arrow batch cut into runs of at most ``rows`` rows and, but for a single longer one,
+    ``size`` bytes of the given binary column."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + size, side="right"))
+        stop = min(max(stop, start + 1), start + rows)
+        yield batch.slice(start, stop - start)
+        start = stop

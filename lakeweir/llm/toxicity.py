@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.text import text_of, words_of
+from lakeweir.llm.text import slices, text_of, words_of
 from lakeweir.sources.scratch import written
 
 ORDER = 3  # characters in a common subsequence
@@ -45,7 +45,7 @@ TRAIN_TEXTS = 8000
 LEAST_TEXTS = 5
 LEAST_GAIN = 0.05  # of the best landmark's
 BEGINNING = b"^"
-TEXTS_AT_ONCE = 2000
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 2000, 8 << 20
 PREDICT_AT = 0.3
 
 
@@ -227,10 +227,13 @@ def fit_machine(
     return Machine(tuple(landmarks), tuple(folded.tolist()), float(b), float(slope), float(shift))
 
 
-def pick_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[bytes]:
+def pick_landmarks(
+    sample: DataFrame, count: int = LANDMARKS, least_texts: int = LEAST_TEXTS
+) -> list[bytes]:
     """The words and word beginnings whose presence tells the classes apart best.
 
-    A beginning counts for a text that has ``STEM_WORDS`` different words with it. Only the
+    One counts from ``least_texts`` toxic texts on, as a word of fewer may be there by chance;
+    with few labels, or many toxic texts each in words of its own, ask for less. A beginning counts for a text that has ``STEM_WORDS`` different words with it. Only the
     best few hundred reach the driver; of related ones the best is taken.
     """
     totals = sample.groupBy("label").count().collect()
@@ -260,7 +263,7 @@ def pick_landmarks(sample: DataFrame, count: int = LANDMARKS) -> list[bytes]:
     bad, good = F.col("bad"), F.col("good")
     expected = (bad + good) * (sizes[1] / (sizes[0] + sizes[1]))
     best = (
-        counted.where((bad >= LEAST_TEXTS) & (bad > 2 * expected))
+        counted.where((bad >= least_texts) & (bad > 2 * expected))
         .select("mark", (bad * F.log((bad + 0.5) / expected)).alias("gain"))
         .orderBy(F.desc("gain"), "mark")
         .limit(10 * count)
@@ -295,10 +298,10 @@ def labelled_sample(
     return rows.join(F.broadcast(chosen), F.col("__id") == F.col("__key")).select("text", "label")
 
 
-def train(sample: DataFrame) -> Machine:
+def train(sample: DataFrame, least_texts: int = LEAST_TEXTS) -> Machine:
     # copies of a text would make its own words look like a mark of its class
     sample = written(sample.dropDuplicates(["text", "label"]), "toxic-sample")
-    landmarks = pick_landmarks(sample)
+    landmarks = pick_landmarks(sample, least_texts=least_texts)
     if not landmarks:
         return Machine((), (), 0.0, 0.0, 0.0)
 
@@ -306,8 +309,7 @@ def train(sample: DataFrame) -> Machine:
         import pyarrow as pa
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                rows = batch.slice(at, TEXTS_AT_ONCE)
+            for rows in slices(batch, 0, TEXTS_AT_ONCE, BYTES_AT_ONCE):
                 values = text_features(rows.column(0).to_pylist(), landmarks)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values.tolist(), pa.list_(pa.float32())), rows.column(1)],
@@ -337,8 +339,9 @@ def score(text: Column, machine: Machine) -> Column:
         import pyarrow as pa
 
         out = []
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            part = texts.slice(at, TEXTS_AT_ONCE).to_pylist()
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        for rows in slices(batch, 0, TEXTS_AT_ONCE, BYTES_AT_ONCE):
+            part = rows.column(0).to_pylist()
             out.append(machine.probabilities(text_features(part, machine.landmarks)))
         return pa.array(np.concatenate(out) if out else [], pa.float64())
 

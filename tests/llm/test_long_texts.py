@@ -6,12 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_suffix import check
 from tokenizers import Tokenizer
 
-from lakeweir.llm import packing, quality_rules
+from lakeweir.llm import packing, quality_rules, toxicity
+from lakeweir.llm.text import slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +87,23 @@ def test_unlike_windows_that_agree_in_few_bits(spark, monkeypatch, docs):
     assert (texts[-1], 0) in want
 
 
+def test_batches_are_bounded_by_bytes():
+    texts = ["a" * n for n in (0, 5, 0, 300, 4, 4, 4, 90, 0, 11)] + [None, "b"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    got = [[len(t or "") for t in part.column(0).to_pylist()] for part in slices(batch, 0, 3, 100)]
+    assert got == [[0, 5, 0], [300], [4, 4, 4], [90, 0], [11, 0, 1]]
+    assert list(slices(batch.slice(0, 0), 0, 3, 100)) == []
+
+
+def test_insults_of_few_texts(spark):
+    """Four toxic texts with a word: a landmark only when asked for."""
+    rows = [(f"you are a blockhead number {i}", 1) for i in range(4)]
+    rows += [(f"the tree by the river is number {i}", 0) for i in range(30)]
+    sample = spark.createDataFrame(rows, "text string, label int")
+    assert toxicity.pick_landmarks(sample) == []
+    assert b"^blockhead" in toxicity.pick_landmarks(sample, least_texts=2)
+
+
 def test_repeated_keys_keep_their_own_bytes(spark):
     copied = "this passage of more than fifty bytes is held by several rows, 0123456789"
     own = "nothing of this row's text is found anywhere else in the whole table, truly not"
