@@ -31,13 +31,13 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeweir.llm.text import text_of
+from lakeweir.llm.text import slices, text_of
 
 MATCH = 50
 ANCHOR = 24
 SHARD_BYTES = 4 << 20  # text a shard answers for
 LIST_BYTES = 32 << 20  # the same for the lists of anchors, which are shorter
-TEXTS_AT_ONCE = 4000
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 4000, 16 << 20
 SEPARATOR = 255
 HASH_BYTES = 4  # of an anchor hash that travel; the shard number holds further bits
 # Odd multipliers of the anchor hash.
@@ -143,8 +143,7 @@ def _list_anchors(shards: int):
         import pyarrow as pa
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                rows = batch.slice(at, TEXTS_AT_ONCE)
+            for rows in slices(batch, 1, TEXTS_AT_ONCE, BYTES_AT_ONCE):
                 docs, hashes = [], []
                 for doc, data in zip(
                     rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True
@@ -205,8 +204,7 @@ def _cut_phrases(shards: int):
         import pyarrow as pa
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                rows = batch.slice(at, TEXTS_AT_ONCE)
+            for rows in slices(batch, 1, TEXTS_AT_ONCE, BYTES_AT_ONCE):
                 rows = rows.sort_by("doc_id")
                 columns_in = (rows.column(0).to_pylist(), rows.column(1).to_pylist())
                 first: dict[bytes, int] = {}
@@ -568,8 +566,7 @@ def cut_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text") -
 
         span = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            for part in slices(batch, 1, TEXTS_AT_ONCE, BYTES_AT_ONCE):
                 sizes, spans, kept = [], [], []
                 for packed, runs in zip(
                     part.column(1).to_pylist(), part.column(2), strict=True
