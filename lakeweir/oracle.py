@@ -335,11 +335,11 @@ ORACLE: dict[str, str] = {
     "salvaged_pages": f"""
         WITH {SITES},
         placed AS (
-            SELECT id, name, city, row_number() OVER (ORDER BY id) - 1 AS at FROM sites
+            SELECT id, name, city, row_number() OVER (ORDER BY id) - 1 AS spot FROM sites
         ),
         paged AS (
-            SELECT *, at // 200 + 1 AS page, at % 200 + 1 AS place,
-                   count(*) OVER (PARTITION BY at // 200) AS n
+            SELECT *, spot // 200 + 1 AS page, spot % 200 + 1 AS place,
+                   count(*) OVER (PARTITION BY spot // 200) AS n
             FROM placed
         )
         SELECT id, name, city FROM paged WHERE NOT (page % 2 = 1 AND n >= 150 AND place >= 150)
