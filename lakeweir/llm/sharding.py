@@ -1,15 +1,17 @@
 """Two-pass external shuffle of records into shards.
 
 Pass one scatters records by seeded hashes into buckets that fit in memory: the shard comes
-from the key alone, the bucket within it from key and content. Pass two loads each bucket,
-shuffles it by Fisher-Yates and writes it. A shard is the concatenation of its buckets.
+from the key alone, the bucket within it from key and content. A shard has as many buckets as its
+bytes ask for, so a key that many rows share makes more of them, not larger ones. Pass two loads
+each bucket, shuffles it by Fisher-Yates and writes it. A shard is the concatenation of its buckets.
 
 The shard is the one whose seeded hash of (key, shard) is highest, so adding a shard moves
 rows only into the new one. All steps are functions of the rows, never of task order, so a
 repeated task writes the same rows again.
 
 Null texts count as empty. A null key is a key like any other. Rows equal in key and content
-share a bucket; their order is arbitrary. An empty table gives an empty table. Input columns
+share a bucket, in any order, up to ``EQUAL_ROWS`` of them; more are spread over the buckets of their
+shard by where they are read, which tells nothing but equal rows apart. An empty table gives an empty table. Input columns
 travel inside the struct column ``record``, so their names cannot clash with the output's.
 """
 
@@ -20,11 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lakeweir.sources.scratch import new_area
+from lakeweir.sources.scratch import new_area, written
 
 SEED = 42
 BUCKET_BYTES = 32 << 20
 ROW_BYTES = 16
+EQUAL_ROWS = 1000  # rows alike that one bucket takes
 
 
 def _rank(key: Column, shard: Column, seed: int) -> Column:
@@ -81,14 +84,24 @@ def shuffle_into_shards(
     in one folder per shard, sorted by bucket and position; a shard is its buckets in order.
     """
     path = path or new_area(rows.sparkSession, "shards")
-    total = rows.agg(F.sum(record_bytes(text))).first()[0] or 0
-    buckets = max(1, -(-total // (shards * bucket_bytes)))
-    content = F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text))
-    scattered = rows.select(
+    # a row per shard
+    sizes = (
+        rows.select(shard_of(F.col(key), shards, seed).alias("shard"), record_bytes(text).alias("n"))
+        .groupBy("shard")
+        .agg(F.sum("n").alias("n"))
+        .collect()
+    )
+    asked = {row["shard"]: max(1, -(-row["n"] // bucket_bytes)) for row in sizes}
+    buckets = F.get(F.array(*(F.lit(asked.get(n, 1)) for n in range(shards))), F.col("shard"))
+    record = F.struct(*(F.col(f"`{name}`") for name in rows.columns))
+    scattered = _told_apart(rows, key, text, seed).select(
         shard_of(F.col(key), shards, seed).alias("shard"),
-        F.pmod(content, F.lit(buckets)).cast("int").alias("bucket"),
-        F.xxhash64(F.lit(seed + 2), F.col(key), F.col(text)).alias("__rank"),
-        F.struct(*(F.col(f"`{name}`") for name in rows.columns)).alias("record"),
+        F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text), F.col("__own")).alias("__content"),
+        F.xxhash64(F.lit(seed + 2), F.col(key), F.col(text), F.col("__own")).alias("__rank"),
+        record.alias("record"),
+    )
+    scattered = scattered.select(
+        "shard", F.pmod("__content", buckets).cast("int").alias("bucket"), "__rank", "record"
     )
     schema = T.StructType(
         [
@@ -105,6 +118,29 @@ def shuffle_into_shards(
     return rows.sparkSession.read.schema(schema).parquet(path)
 
 
+def _told_apart(rows: DataFrame, key: str, text: str, seed: int) -> DataFrame:
+    """``rows`` with ``__own``, a number that differs among rows alike where there are very many of
+    them, and is null else."""
+    alike = F.xxhash64(F.lit(seed + 3), F.col(key), F.col(text))
+    many = (
+        rows.select(alike.alias("__alike"))
+        .groupBy("__alike")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > EQUAL_ROWS)
+        .select("__alike")
+    )
+    many = written(many, "rows-alike")
+    if many.isEmpty():
+        return rows.withColumn("__own", F.lit(None).cast("long"))
+    numbered = rows.withColumn("__alike", alike).withColumn(
+        "__at", F.monotonically_increasing_id()
+    )
+    marked = numbered.join(many.withColumn("__many", F.lit(True)), "__alike", "left")
+    return marked.withColumn("__own", F.when(F.col("__many"), F.col("__at"))).drop(
+        "__alike", "__at", "__many"
+    )
+
+
 def with_slots(shuffled: DataFrame) -> DataFrame:
     """Add ``slot``, the place in the shard, gapless from 0.
 

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakeweir.llm import packing, quality_rules, sharding, simhash
@@ -59,6 +60,24 @@ def test_small_buckets_shuffle_repeatably(spark, sf_dir):
     assert all(r["shard"] in (shard[r["record"]["doc_id"]], 3) for r in collect(grown))
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_equal_rows_spread_over_buckets(spark, key):
+    """A hundred thousand rows alike, and others of their key, in buckets of bounded size."""
+    own = F.lit(key).cast("long").alias("doc_id")
+    alike = spark.range(100_000).select(own, F.lit("x").alias("text"))
+    other = spark.range(20_000).select(own, F.concat(F.lit("own "), "id").alias("text"))
+    few = spark.range(50).select("id", F.lit("few").alias("text")).toDF("doc_id", "text")
+    rows = alike.unionByName(other).unionByName(few)
+    out = sharding.with_slots(sharding.shuffle_into_shards(rows, 3, bucket_bytes=200_000))
+    sizes = out.groupBy("shard", "bucket").count().collect()
+    assert sum(r["count"] for r in sizes) == 120_050
+    assert len(sizes) > 9 and max(r["count"] for r in sizes) < 15_000
+    texts = Counter(r["text"][:3] for r in out.select("record.text").collect())
+    assert texts == {"x": 100_000, "own": 20_000, "few": 50}
+    slots = out.groupBy("shard").agg(F.count_distinct("slot").alias("n"), F.max("slot").alias("m"))
+    assert all(r["n"] == r["m"] + 1 for r in slots.collect())
+
+
 def test_sharding_edges(edge_frame, empty_frame):
     rows = collect(sharding.shuffle_into_shards(edge_frame, 2))
     assert Counter((r["record"]["doc_id"], r["record"]["text"]) for r in rows) == Counter(
