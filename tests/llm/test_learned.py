@@ -86,6 +86,54 @@ def test_features_are_the_nearest_words():
     assert (second, one) == (pytest.approx(1), pytest.approx(1 / toxicity.NEAREST))
 
 
+def brute_score(text, machine, order=3, decay=0.7):
+    """The probability of a text from the landmarks and weights, with kernels by definition."""
+
+    def weights(word):
+        out = {}
+        for places in itertools.combinations(range(len(word)), order):
+            key = bytes(word[p] for p in places)
+            out[key] = out.get(key, 0) + decay ** (places[-1] - places[0] + 1)
+        return out
+
+    tokens = set()
+    for word in text.encode().lower().split():
+        tokens.add(b"^" + word[:20])
+        tokens |= {word[at : at + 20] for at in range(10, len(word) - 10, 10)}
+    parts = {token: weights(token) for token in tokens}
+    best, near = [], []
+    for mark in machine.landmarks:
+        own = weights(mark)
+        whole = sum(v * v for v in own.values())
+        wanted = {c & 31 for c in mark}
+        values = []
+        for token, found in parts.items():
+            if len(wanted & {c & 31 for c in token}) >= np.ceil(0.7 * len(wanted)):
+                shared = sum(found[k] * own[k] for k in found.keys() & own.keys())
+                values.append(min(shared / whole, 1) ** 4)
+        values = sorted(values, reverse=True)[:4]
+        best.append(values[0] if values else 0.0)
+        near.append(sum(values) / 4)
+    margin = np.dot([*best, *near], machine.weights) + machine.bias
+    return 1 / (1 + np.exp(-np.clip(machine.slope * margin + machine.shift, -30, 30)))
+
+
+def test_scores_by_definition(spark, sf_dir, docs):
+    """Scores of whole and odd texts recomputed from the machine that the query trains."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    machine = toxicity.train(toxicity.labelled_sample(rows, labels))
+    assert len(machine.landmarks) > 5
+    marks = [mark.decode(errors="ignore").strip("^") for mark in machine.landmarks]
+    texts = [text[:400] for _, text in docs[:25]]
+    texts += ["", " \n", "x" * 75, " ".join(marks), f"such an {'.'.join(marks[0])} and {marks[1]}s!"]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    got = collect(frame.select("text", toxicity.score(text_of(), machine).alias("s")))
+    for r in got:
+        assert r["s"] == pytest.approx(brute_score(r["text"], machine), abs=2e-4)
+    assert max(r["s"] for r in got) > 0.5 > min(r["s"] for r in got)
+
+
 # -- toxicity on held-out rows ---------------------------------------------------------
 
 
