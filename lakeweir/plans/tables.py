@@ -236,11 +236,12 @@ class Table:
             # holds a large share of the rows over several tasks and files
             df = df.hint("rebalance", *self.partition_by)
         seen = Observation()
-        writer = df.observe(seen, *_span_of(df)).write if self.schema else df.write
+        keyed = self.schema is not None
+        writer = df.observe(seen, *_span_of(df)).write if keyed else df.write
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(path)
-        if self.schema:
+        if keyed:
             storage.write_text(self.spark, self._span_path(path), json.dumps(seen.get))
         return Commit(version, kind, token, path)
 

@@ -46,7 +46,8 @@ def complete_records(body: Column) -> Column:
     """The texts of the whole objects of a JSON array, up to where it is damaged.
 
     Brackets outside of strings are counted along the text; an object counts once its own
-    bracket closes inside the array. A text that is no array has none.
+    bracket closes inside the array. A text that is no array has none. Meant for pages of some
+    hundred records: the list of cuts is copied for each.
     """
     # an escaped character is masked by two others, so that quotes come in pairs and places stay
     masked = F.regexp_replace(body, r"(?s)\\.", "__")
