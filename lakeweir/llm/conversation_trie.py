@@ -41,7 +41,8 @@ SHARED_TURNS = 6
 FAMILY = 100
 NODES = (
     "depth long, k1 long, k2 long, p1 long, p2 long, parent long, conv_id long, n_convs long, "
-    "chars long, n_children long, n_leaves long, saved_tokens long, open boolean, first_end long, ends string"
+    "chars long, n_children long, n_leaves long, saved_tokens long, open boolean, "
+    "first_end long, ends string"
 )
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 _SALT = 7

@@ -16,8 +16,9 @@ its size: it is broadcast while under the session's limit and shuffled beyond it
 Words are runs other than ASCII white space, without case and without any character but
 letters and digits, so neither marks around words nor signs between them hide a passage.
 Items of fewer than five words, and null or empty ones, have no shingle and match nothing; so
-do such documents, and documents without a key. Repeated documents and items give one row;
-an empty table on either side gives none. Extra columns are not carried.
+do such documents, and documents without a key. Repeated documents and items give one row. Rows
+that share a key are told apart by the hash of their text; what any of them holds counts for the
+key. An empty table on either side gives none. Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -138,9 +139,14 @@ def find_leaks(
         items.select("n_words", F.posexplode("hashes").alias("in_item", "hash")).distinct(),
         "item-shingles",
     )
-    words = documents.select(F.col(key).alias("doc_id"), _words(text).alias("words"))
+    words = documents.select(
+        F.col(key).alias("doc_id"),
+        F.xxhash64(text_of(text)).alias("digest"),
+        _words(text).alias("words"),
+    )
+    row = ["doc_id", "digest"]
     hits = words.select(
-        "doc_id",
+        *row,
         F.size("words").alias("size"),
         F.posexplode(_shingle_hashes(F.col("words"), shingle)).alias("place", "hash"),
     ).join(places, "hash")
@@ -148,28 +154,27 @@ def find_leaks(
     placed = F.least(F.col("place") - F.col("in_item"), F.col("size") - F.col("n_words"))
     starts = (
         hits.where(enough)
-        .select("doc_id", "n_words", F.greatest(placed, F.lit(0)).alias("start"))
-        .select("doc_id", F.struct("start", "n_words").alias("window"))
+        .select(*row, "n_words", F.greatest(placed, F.lit(0)).alias("start"))
+        .select(*row, F.struct("start", "n_words").alias("window"))
         .distinct()
     )
-    # a document has at most as many windows as shingles times lengths; equal keys share them
-    gathered = starts.groupBy("doc_id").agg(F.collect_list("window").alias("wanted"))
+    # a document has at most as many windows as shingles times lengths; equal rows share them
+    gathered = starts.groupBy(*row).agg(F.collect_list("window").alias("wanted"))
     wanted = written(gathered, "starts")
     # a merge join at every size: the windows grow with the documents
     windows = (
-        words.join(wanted.hint("merge"), "doc_id")
-        .select("doc_id", "words", F.explode("wanted").alias("window"))
+        words.join(wanted.hint("merge"), row)
+        .select(*row, "words", F.explode("wanted").alias("window"))
         .select(
-            "doc_id",
+            *row,
             F.size("words").alias("size"),
             "window.start",
             "window.n_words",
             F.slice("words", F.col("window.start") + 1, F.col("window.n_words")).alias("own"),
         )
-        # rows may share a key: a window of one may not fit into another
         .where(enough & (F.size("own") == F.least("size", "n_words")))
         .select(
-            "doc_id",
+            *row,
             "start",
             "n_words",
             F.size("own").alias("own_words"),
@@ -181,20 +186,20 @@ def find_leaks(
     index = items.select("item_id", "n_words", "item_print").withColumn(
         "block", F.explode(_blocks(F.col("item_print"), radius))
     )
-    probes = windows.select("doc_id", "start", "n_words", "print").withColumn(
+    probes = windows.select(*row, "start", "n_words", "print").withColumn(
         "block", F.explode(_blocks(F.col("print"), radius))
     )
     hamming = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     candidates = (
         probes.join(index, ["n_words", "block"])
         .where(hamming <= radius)
-        .select("doc_id", "start", "n_words", "item_id", hamming.alias("hamming"))
+        .select(*row, "start", "n_words", "item_id", hamming.alias("hamming"))
         .distinct()
     )
     similarity = weighted_similarity(F.col("shingles"), F.col("item_shingles"))
     texts = items.select("item_id", "n_words", "item_shingles").distinct()
     verified = (
-        candidates.join(windows.drop("print").distinct(), ["doc_id", "start", "n_words"])
+        candidates.join(windows.drop("print").distinct(), [*row, "start", "n_words"])
         .join(texts, ["item_id", "n_words"])
         .select(
             "doc_id",

@@ -10,8 +10,9 @@ rows only into the new one. All steps are functions of the rows, never of task o
 repeated task writes the same rows again.
 
 Null texts count as empty. A null key is a key like any other. Rows equal in key and content
-share a bucket, in any order, up to ``EQUAL_ROWS`` of them; more are spread over the buckets of their
-shard by where they are read, which tells nothing but equal rows apart. An empty table gives an empty table. Input columns
+share a bucket, in any order, up to ``EQUAL_ROWS`` of them; more are spread over the buckets of
+their shard by where they are read, which tells nothing but equal rows apart. An empty table gives
+an empty table. Input columns
 travel inside the struct column ``record``, so their names cannot clash with the output's.
 """
 
@@ -86,7 +87,9 @@ def shuffle_into_shards(
     path = path or new_area(rows.sparkSession, "shards")
     # a row per shard
     sizes = (
-        rows.select(shard_of(F.col(key), shards, seed).alias("shard"), record_bytes(text).alias("n"))
+        rows.select(
+            shard_of(F.col(key), shards, seed).alias("shard"), record_bytes(text).alias("n")
+        )
         .groupBy("shard")
         .agg(F.sum("n").alias("n"))
         .collect()

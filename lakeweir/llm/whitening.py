@@ -71,7 +71,8 @@ def numbered(rows: DataFrame, name: str, index: str = "index") -> DataFrame:
     part = F.shiftright("__at", _POSITION_BITS).alias("__part")
     sizes = stored.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    starts = sizes.select("__part", before.alias("__before"))
     place = F.col("__at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     # as many rows as the table was written by tasks
     return (

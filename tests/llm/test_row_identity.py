@@ -7,7 +7,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from lakeweir.llm import line_dedup
+from lakeweir.llm import decontamination, line_dedup
 
 STAGES = dict(corpus_pipeline.STAGES)
 SCHEMA = "doc_id long, text string"
@@ -72,3 +72,16 @@ def test_leaks_without_a_key_go_and_clean_namesakes_stay(spark, sf_dir):
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(
         [(8, words(3)), (None, words(5)), (None, None)], key=repr
     )
+
+
+def test_windows_of_rows_that_share_a_key(spark):
+    """The item lies at different places of two rows, and a third has none; a row that is a
+    prefix of another finds its own windows only."""
+    item = words(20, 50)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    early, late = f"{item} {words(21, 90)}", f"{words(22, 70)} {item} {words(23, 5)}"
+    rows = [(5, early), (5, late), (5, words(24, 300)), (5, early), (6, late), (7, words(25))]
+    found = decontamination.find_leaks(spark.createDataFrame(rows, SCHEMA), items).collect()
+    got = {r.doc_id: (r.start, r.n_words, r.similarity, r.n_windows) for r in found}
+    assert got.keys() == {5, 6}
+    assert got[5][:3] == (0, 50, 1.0) and got[6][:3] == (70, 50, 1.0)
