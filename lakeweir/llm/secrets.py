@@ -146,9 +146,14 @@ def labelled_samples(documents: DataFrame, text: str = "text", key: str = "doc_i
 
 
 def train(samples: DataFrame) -> MarkovRatio:
-    """Count pairs of characters; at most ``WIDTH`` squared counts per model reach the driver."""
-    pairs = samples.select(
+    """Count pairs of characters, each word's once for all its places; at most ``WIDTH`` squared
+    counts per model reach the driver."""
+    words = samples.where(F.length("word") > 1).groupBy("word", "random").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    pairs = words.select(
         "random",
+        "n",
         F.explode(
             F.transform(
                 F.sequence(F.lit(1), F.length("word") - 1),
@@ -158,9 +163,9 @@ def train(samples: DataFrame) -> MarkovRatio:
                 ),
             )
         ).alias("pair"),
-    ).where(F.length("word") > 1)
-    counted = pairs.groupBy("pair.first", "pair.second", "random").count().collect()
-    return fit({(row["first"], row["second"], row["random"]): row["count"] for row in counted})
+    )
+    counted = pairs.groupBy("pair.first", "pair.second", "random").agg(F.sum("n").alias("n"))
+    return fit({(r["first"], r["second"], r["random"]): r["n"] for r in counted.collect()})
 
 
 def likeliest_key(word: Column, model: MarkovRatio) -> Column:
@@ -255,7 +260,9 @@ def scan(
         F.flatten(F.transform("__candidates", left_of)),
         lambda p: F.struct(
             p["start"].alias("start"),
-            likeliest_key(F.substring(t, p["start"] + 1, p["end"] - p["start"]), model).alias("key"),
+            likeliest_key(
+                F.substring(t, p["start"] + 1, p["end"] - p["start"]), model
+            ).alias("key"),
         ),
     )
     out = out.withColumn("__parts", parts)
