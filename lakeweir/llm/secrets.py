@@ -38,6 +38,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 WIDTH = len(ALPHABET) + 1  # place 0 is any other character
 
 LEAST_WORD = 4
+DIGESTS = 4096  # made for the random model, beside what the documents hold
 SMOOTHING = 0.5
 MARGIN = 12.0  # nats in favour of the random model
 
@@ -123,26 +124,29 @@ def _place(character: Column) -> Column:
     return F.instr(F.lit(ALPHABET), character)
 
 
-def labelled_samples(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def labelled_samples(
+    documents: DataFrame, text: str = "text", digests: int = DIGESTS
+) -> DataFrame:
     """``word`` and ``random`` from all documents.
 
-    Random: the values that base patterns find, and digests, which are random by
+    Random: the values that base patterns find, and some digests, which are random by
     construction. Ordinary: the words outside of base matches.
     """
-    picked = documents.select(
-        F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), text_of(text).alias("text")
+    picked = documents.select(text_of(text).alias("text"))
+    digest = F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256))
+    made = documents.sparkSession.range(digests).select(
+        F.explode(F.array(F.base64(digest), F.lower(F.hex(digest)), F.hex(digest))).alias("word"),
+        F.lit(True).alias("random"),
     )
-    digest = F.unhex(F.sha2(F.col("key").cast("binary"), 256))
     secrets = F.concat(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
-        F.array(F.base64(digest), F.lower(F.hex(digest)), F.hex(digest)),
     )
     rest = F.regexp_replace("text", f"{ASSIGN}|{ACCESS}|{HEX}", " ")
     random = picked.select(F.explode(secrets).alias("word"), F.lit(True).alias("random"))
     plain = picked.select(F.explode(words_of(rest)).alias("word"), F.lit(False).alias("random"))
-    return random.unionByName(plain.where(F.length("word") >= LEAST_WORD))
+    return random.unionByName(made).unionByName(plain.where(F.length("word") >= LEAST_WORD))
 
 
 def train(samples: DataFrame) -> MarkovRatio:
