@@ -27,18 +27,21 @@ def _selectors(values):
     import numpy as np
 
     n = len(values)
-    places = np.arange(n, dtype=np.int32)
-    limits = np.array([1 << width for width in sorted(set(WIDTHS))], dtype=np.uint64)
-    # which width each id needs, as its number among the widths
-    need = np.searchsorted(limits, values, side="right").astype(np.uint8)
-    rank = {width: number for number, width in enumerate(sorted(set(WIDTHS)))}
+    widths = sorted(set(WIDTHS))
+    # which width each id needs, as its number among the widths; padding fits into any
+    need = np.zeros(n + max(COUNTS), dtype=np.uint8)
+    greatest = int(values.max(initial=0))
+    for width in widths:
+        if greatest >> width:
+            need[:n] += values >= np.uint64(1 << width)
     chosen = np.full(n, len(COUNTS) - 1, dtype=np.uint8)
+    # the greatest need of ``reach`` ids from each place; no count is over twice the one before
+    widest, reach = need, 1
     for selector in range(len(COUNTS) - 2, -1, -1):
-        # place of the next id that is too wide; what follows the last id is padding and fits
-        wide = need > rank[WIDTHS[selector]]
-        stop = np.where(wide, places, np.int32(n + max(COUNTS)))[::-1]
-        stop = np.minimum.accumulate(stop)[::-1]
-        chosen[stop - places >= COUNTS[selector]] = selector
+        further = COUNTS[selector] - reach
+        widest, reach = np.maximum(widest[:-further], widest[further:]), COUNTS[selector]
+        fits = widest[:n] <= widths.index(WIDTHS[selector])
+        np.copyto(chosen, np.uint8(selector), where=fits)
     return chosen
 
 
@@ -55,8 +58,8 @@ def encode(ids) -> bytes:
     selectors = _selectors(values)
     steps = np.array(COUNTS)[selectors].tolist()
     starts = []
-    at = 0
-    while at < len(steps):
+    at, stop = 0, len(steps)
+    while at < stop:
         starts.append(at)
         at += steps[at]
     starts = np.array(starts, dtype=np.int64)

@@ -23,21 +23,22 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeweir.llm import simple8b
-from lakeweir.llm.text import text_of
+from lakeweir.llm.text import slices, text_of
 from lakeweir.sources.scratch import written
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
 PART_CHARS = 1 << 17
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 21
+BATCH_ROWS = 1024
 MOST_PIECES = 300_000  # that a worker remembers
 BLOCKS = (
     "part int, block int, first long, n_ids int, payload binary, doc_ids array<long>, "
@@ -80,9 +81,18 @@ RULES = {
 }
 PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
 LETTER = "a-zß-öø-ÿ"
+# Words are lists of pieces, each word closed by a line end.
+CLOSE = "\n"
 PIECES = re.compile(
-    rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[0-9]|[^ \t\n\x0b\x0c\r{LETTER}0-9]+"
+    rf"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[0-9]|[^ \t\n\x0b\x0c\r{LETTER}0-9]+|{CLOSE}"
 )
+# Byte-level vocabularies write these bytes as themselves, the others as what
+# follows them, and so the characters of plain texts.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [byte for byte in range(256) if byte not in VISIBLE]
+_BYTES = {byte: byte for byte in VISIBLE} | {byte: 256 + n for n, byte in enumerate(_OTHERS)}
+WRITTEN = {chr(c): "".join(chr(_BYTES[b]) for b in chr(c).encode()) for c in range(256)}
+CHANGED = re.compile("[^ !-~]")  # a space stands between pieces
 _AT = "__at"
 
 
@@ -94,8 +104,9 @@ class Encoder:
 
     The tokenizer cuts a text into pieces and merges inside each alone, so a piece has the same
     ids wherever it stands. Where its rules are those of ``PIECES``, and a text holds only
-    characters of which these are known to say the same, pieces are cut here, and the tokenizer
-    is asked once for each new one. Any other text goes to the tokenizer as it is.
+    characters of which these are known to say the same, pieces are cut here, and the tokenizer's
+    model is asked once for each new one. No piece spans white space, so each different word of a
+    batch is cut once. Any other text goes to the tokenizer as it is.
     """
 
     def __init__(self, path: str, most_pieces: int = MOST_PIECES):
@@ -106,6 +117,7 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most_pieces = most_pieces
@@ -118,51 +130,79 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         for token, number in vocabulary.items():
             self.closes[number] = token.endswith(END_OF_WORD)
-        self._forget()
+        # for pieces, which are cut and lower-cased already, as the vocabulary writes their bytes
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = WhitespaceSplit()
+        self.codes = _Codes()
+        self.ids, self.begin, self.size = array("I"), array("q", [0]), array("q", [0])
+        self.met = bytearray(1)  # whether a batch after the one that brought it had the piece
 
     def _forget(self) -> None:
-        self.codes = _Codes()
-        self.ids, self.begin, self.size = array("I"), array("q"), array("q")
+        """Drop the pieces not met again, or all where the others would fill half the table."""
+        import numpy as np
 
-    def _asked(self, texts: list[str]) -> list:
+        kept = np.flatnonzero(np.frombuffer(self.met, dtype=np.uint8)[1:]) + 1
+        if 2 * len(kept) > self.most_pieces:
+            kept = kept[:0]
+        kept = np.concatenate([[0], kept])  # what closes a word stays
+        size = np.frombuffer(self.size, dtype=np.int64)[kept]
+        begin = np.frombuffer(self.begin, dtype=np.int64)[kept]
+        ids, ends = _runs(np.frombuffer(self.ids, dtype=np.uint32), begin, size)
+        pieces = list(self.codes)
+        self.codes = _Codes(pieces[code] for code in kept.tolist())
+        self.ids, self.begin = array("I", ids.tobytes()), array("q", (ends - size).tobytes())
+        self.size, self.met = array("q", size.tobytes()), bytearray(len(kept))
+
+    def _merged(self, texts: list[str]) -> list:
         import numpy as np
 
-        rows = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        rows = self.merger.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(row.ids, dtype=np.uint32) for row in rows]
 
     def _learn(self, new: list[str]) -> None:
         """Put the ids of new pieces into the table, in the order of their codes."""
         import numpy as np
 
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            ids = self._asked([" ".join(part)])[0]
+        for at in range(0, len(new), 256):
+            part = new[at : at + 256]
+            joined = CHANGED.sub(lambda found: WRITTEN[found[0]], " ".join(part))
+            ids = self._merged([joined])[0]
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) != len(part):
-                rows = self._asked(part)
+                rows = self._merged(joined.split(" "))
                 ids = np.concatenate(rows)
                 ends = np.cumsum([len(row) for row in rows])
             begins = np.concatenate([[0], ends[:-1]])
             self.begin.frombytes((begins + len(self.ids)).astype(np.int64).tobytes())
             self.size.frombytes((ends - begins).astype(np.int64).tobytes())
-            self.ids.frombytes(ids[: ends[-1]].astype(np.uint32).tobytes())
+            self.ids.frombytes(ids.tobytes())
+        self.met.extend(bytes(len(new)))
         new.clear()
 
     def _cut(self, texts: list[str]) -> list:
         import numpy as np
-
-        found = [PIECES.findall(text.lower()) for text in texts]
-        counts = np.cumsum([0, *map(len, found)])
-        coded = map(self.codes.__getitem__, chain.from_iterable(found))
-        codes = np.fromiter(coded, dtype=np.int64, count=int(counts[-1]))
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.ascii_split_whitespace(pa.array(map(str.lower, texts), pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = PIECES.findall(CLOSE.join([*different, ""]))
+        coded = map(self.codes.__getitem__, found)
+        codes = np.fromiter(coded, dtype=np.int64, count=len(found))
+        np.frombuffer(self.met, dtype=np.uint8)[codes[codes < len(self.met)]] = 1
         self._learn(self.codes.new)
-        size = np.frombuffer(self.size, dtype=np.int64)[codes]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        shift = np.frombuffer(self.begin, dtype=np.int64)[codes] - (ends - size)
-        ids = np.frombuffer(self.ids, dtype=np.uint32)[np.repeat(shift, size) + np.arange(total)]
-        cuts = np.concatenate([[0], ends])[counts]
-        return [ids[b:e] for b, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        ids, ends = _runs(
+            np.frombuffer(self.ids, dtype=np.uint32),
+            np.frombuffer(self.begin, dtype=np.int64)[codes],
+            np.frombuffer(self.size, dtype=np.int64)[codes],
+        )
+        closed = np.concatenate([[0], ends[codes == 0]])
+        at = words.indices.to_numpy()
+        ids, ends = _runs(ids, closed[at], np.diff(closed)[at])
+        cuts = np.concatenate([[0], ends])[lists.offsets.to_numpy()].tolist()
+        return [ids[b:e] for b, e in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def encode(self, texts: list[str]) -> list:
         """The ids of each text as an array."""
@@ -182,14 +222,27 @@ class Encoder:
         """Part by part, so that memory does not follow the text."""
         import numpy as np
 
-        return np.concatenate([self._asked([part])[0] for part in parts_of(text)])
+        rows = (
+            self.tokenizer.encode_batch_fast([part], add_special_tokens=False)[0].ids
+            for part in parts_of(text)
+        )
+        return np.concatenate([np.array(ids, dtype=np.uint32) for ids in rows])
+
+
+def _runs(values, begins, sizes):
+    """Runs of ``values`` one after the other, and where each of them ends."""
+    import numpy as np
+
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(begins - (ends - sizes), sizes) + np.arange(total)], ends
 
 
 class _Codes(dict):
-    """Numbers pieces as they come and lists the new ones."""
+    """Numbers pieces as they come, after the one that closes a word, and lists the new ones."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, pieces: Iterable[str] = (CLOSE,)):
+        super().__init__(zip(pieces, count()))
         self.new: list[str] = []
 
     def __missing__(self, piece: str) -> int:
@@ -268,8 +321,7 @@ def _blocks_of(tokenizer_path: str, end_id: int, block_ids: int):
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
+            for rows in slices(batch, 1, BATCH_ROWS, BATCH_CHARS):
                 texts = rows.column(1).to_pylist()
                 for key, ids in zip(
                     rows.column(0).to_pylist(), encoded(texts, encoder, end_id), strict=True

@@ -120,6 +120,65 @@ def test_pieces_are_those_of_the_tokenizer():
     assert len(cut) > 200
 
 
+def test_a_word_is_cut_once_a_batch():
+    encoder, tokenizer = token_files.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    looked_up = []
+
+    class Counted(type(encoder.codes)):
+        def __getitem__(self, piece):
+            looked_up.append(piece)
+            return super().__getitem__(piece)
+
+    encoder.codes = Counted()
+    rng = random.Random(4)
+    words = [f"{a}'{b}é!" for a in ("some", "Words") for b in ("s", "t", "x", "çq")]
+    texts = ["", " ", *(" ".join(rng.choices(words, k=300)) for _ in range(9)), "\n"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == want
+    assert len(looked_up) < 10 * len(words)
+
+
+def test_pieces_met_again_stay():
+    encoder, tokenizer = token_files.Encoder(VOCABULARY, 100), Tokenizer.from_file(VOCABULARY)
+    learned, learn = [], encoder._learn
+
+    def listed(new):
+        learned.extend(new)
+        learn(new)
+
+    encoder._learn = listed
+    rng = random.Random(5)
+    common = ["often", "again", "é", "?!", "\x1c\x7f"]
+    for _ in range(12):
+        rare = ["".join(rng.choices("abcdefgh", k=9)) for _ in range(40)]
+        texts = ["", " ".join(rng.sample(common + rare, k=45))]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids.tolist() for ids in encoder.encode(texts)] == want
+        assert len(encoder.codes) <= 100 + 46
+    assert [learned.count(piece) for piece in common] == [1] * 5
+    # where those met again would fill the table, none stays
+    many = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(200))] * 2
+    for text in [*many, "", "one two", *many]:
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.encode([text])[0].tolist() == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.just(0), st.integers(0, 3), st.integers(0, 2**60 - 1)), max_size=300))
+def test_a_selector_packs_the_most_that_fit(values):
+    want = [
+        next(
+            selector
+            for selector, (n, width) in enumerate(
+                zip(simple8b.COUNTS, simple8b.WIDTHS, strict=True)
+            )
+            if max(values[at : at + n]) < 1 << width
+        )
+        for at in range(len(values))
+    ]
+    assert simple8b._selectors(np.array(values, dtype=np.uint64)).tolist() == want
+
+
 def test_a_tokenizer_with_other_rules_is_asked():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder, tokenizer = token_files.Encoder(path), Tokenizer.from_file(path)
